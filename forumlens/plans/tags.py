@@ -12,6 +12,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, OneVsRest
 from pyspark.ml.feature import HashingTF, Tokenizer, Word2Vec
 from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,18 +55,23 @@ def top_tags(posts: DataFrame, k: int = TOP_TAGS) -> DataFrame:
 # ------------------------------------------------------------------ Q6 --
 
 def fit_tag_embeddings(posts: DataFrame, vector_size: int = W2V_VECTOR_SIZE,
-                       seed: int = W2V_SEED, num_partitions: int = 1,
+                       seed: int = W2V_SEED, num_partitions: int | None = None,
                        min_count: int = 5):
     """Word2Vec over the tag arrays of tagged posts.
 
     The vocabulary (distinct tags with >= ``min_count`` uses) and the model
     live on the driver; their size grows with the number of distinct tags,
-    not with the number of posts.  ``num_partitions`` > 1 trains in parallel
-    at the cost of bit-for-bit reproducibility.
+    not with the number of posts.  Training runs on ``num_partitions``
+    partitions, by default as many as the input has (so the work spreads
+    with the data instead of passing through one task); ``1`` reproduces a
+    single-partition fit exactly.
     """
+    sentences = tagged(posts).select("id", "tags")
+    if num_partitions is None:
+        num_partitions = max(1, sentences.rdd.getNumPartitions())
     w2v = Word2Vec(inputCol="tags", outputCol="vector", vectorSize=vector_size, seed=seed,
                    numPartitions=num_partitions, minCount=min_count)
-    return w2v.fit(tagged(posts).select("id", "tags"))
+    return w2v.fit(sentences)
 
 
 def tag_vectors(model) -> DataFrame:
@@ -152,20 +158,28 @@ def tag_probabilities(train: DataFrame, test: DataFrame, k: int = TOP_TAGS,
     the probability that the post does / does not carry the tag.
 
     One binary logistic regression per tag (label: the exploded row's tag is
-    that tag), fitted by ``OneVsRest`` over one cached featurised frame with
-    ``parallelism`` concurrent fits.  Columns ``tag, post_id, p_not_tag, p_tag``.
+    that tag), fitted by ``OneVsRest`` over one featurised frame (cached by
+    the estimator) with ``parallelism`` concurrent fits.  Test posts are
+    featurised once and cached; each tag's model scores them in its own
+    small projection and the per-tag results are unioned.
+    Columns ``tag, post_id, p_not_tag, p_tag``.
     """
     top = top_tags(train, k)
     rows = training_rows(train, top, k, num_features)
     ovr = OneVsRest(classifier=logistic_regression(), parallelism=parallelism)
     model = ovr.fit(rows)
-    test_feats = featurizer(num_features).fit(test).transform(tagged(test).select("id", "body"))
-    raw = model.transform(test_feats).select(
-        F.col("id").alias("post_id"), vector_to_array("rawPrediction").alias("raw"))
-    per_class = raw.select("post_id", F.posexplode("raw").alias("class", "margin"))
-    names = broadcast_bounded(top.select("tag", (F.col("rank") - 1).alias("class")), k)
-    out = per_class.join(names, "class").select(
+    test_feats = (featurizer(num_features).fit(test)
+                  .transform(tagged(test).select(F.col("id").alias("post_id"), "body"))
+                  .select("post_id", "features")
+                  .persist(StorageLevel.MEMORY_AND_DISK))
+    scored = None
+    for cls, binary in enumerate(model.models[:k]):
+        part = binary.transform(test_feats).select(
+            "post_id", F.lit(cls).alias("class"),
+            vector_to_array("rawPrediction")[1].alias("margin"))
+        scored = part if scored is None else scored.unionByName(part)
+    names = broadcast_bounded(top.select("tag", (F.col("rank") - 1).cast("int").alias("class")), k)
+    return scored.join(names, "class").select(
         "tag", "post_id",
         (1.0 / (1.0 + F.exp(F.col("margin")))).alias("p_not_tag"),
         (1.0 / (1.0 + F.exp(-F.col("margin")))).alias("p_tag"))
-    return out
