@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 # Fixed values that must equal the reference's for equal results.
 ENTRY_MARKER = "<row "          # a dump line that holds an entry
 VALID_ROW_PATTERN = "<row.*/>"  # searched anywhere in the line
-TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # dump timestamp layout
 TAG_PATTERN = "<(.*?)>"         # one tag inside the Tags attribute
 QUESTION, ANSWER = 1, 2         # PostTypeId codes
 UPVOTE, DOWNVOTE = 2, 3         # VoteTypeId codes
@@ -40,25 +39,45 @@ def parse_timestamp(text: Column | str) -> Column:
     return col_of(text).try_cast("timestamp_ntz")
 
 
-def format_timestamp(ts: Column | str) -> Column:
-    """TIMESTAMP_NTZ -> dump text with six fraction digits (lossless)."""
-    return F.date_format(col_of(ts), TIMESTAMP_TEXT)
+def format_timestamp(ts: Column | str, digits: int = 6) -> Column:
+    """TIMESTAMP_NTZ -> dump text ``yyyy-MM-ddTHH:mm:ss[.f]`` with ``digits``
+    fraction digits (6 is lossless).
+
+    Built from the string cast and the seconds field, which do not depend on
+    the session time zone (``date_format`` would shift local times that do
+    not exist in a daylight-saving zone).
+    """
+    c = col_of(ts)
+    base = F.replace(F.substring(c.cast("string"), 1, 19), F.lit(" "), F.lit("T"))
+    if digits == 0:
+        return base
+    if not 1 <= digits <= 6:
+        raise ValueError("digits must be between 0 and 6")
+    micros = (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("bigint") % 1_000_000
+    frac = F.lpad((micros / F.lit(10 ** (6 - digits))).cast("bigint").cast("string"), digits, "0")
+    return F.concat(base, F.lit("."), frac)
+
+
+def gap(start: Column | str, end: Column | str) -> Column:
+    """``end - start`` as an exact day-time interval (wall clock for NTZ)."""
+    return col_of(end) - col_of(start)
 
 
 def micros_between(start: Column | str, end: Column | str) -> Column:
     """Exact signed difference ``end - start`` in microseconds."""
-    return F.timestamp_diff("MICROSECOND", col_of(start), col_of(end))
+    return (gap(start, end).cast("decimal(38,6)") * 1_000_000).cast("bigint")
 
 
 def within_hours(start: Column | str, end: Column | str, hours: int) -> Column:
     """``(end - start) < hours`` measured exactly; negative gaps qualify."""
-    return micros_between(start, end) < F.lit(hours * MICROS_PER_HOUR)
+    return gap(start, end) < F.make_dt_interval(hours=F.lit(hours))
 
 
 def day_window(start: Column | str, end: Column | str, lo_days: int, hi_days: int) -> Column:
-    """``lo_days <= floor-days(end - start) < hi_days`` as an exact micros test."""
-    gap = micros_between(start, end)
-    return (gap >= F.lit(lo_days * MICROS_PER_DAY)) & (gap < F.lit(hi_days * MICROS_PER_DAY))
+    """``lo_days <= floor-days(end - start) < hi_days`` as an exact interval test."""
+    g = gap(start, end)
+    return (g >= F.make_dt_interval(days=F.lit(lo_days))) & \
+        (g < F.make_dt_interval(days=F.lit(hi_days)))
 
 
 def shift_days(ts: Column | str, days: int) -> Column:

@@ -8,7 +8,7 @@ and a hot key is reduced map-side before anything is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumlens.operators.aggregates import activity_per_owner, pooled_ratio, vote_counts_per_post
@@ -64,19 +64,25 @@ def answer_share(posts: DataFrame, users: DataFrame, k: int = Q2_USERS) -> DataF
 
     Columns ``row_kind, rank, user_id, answer_share``.  The mean row has
     ``row_kind='mean'``, ``user_id=-1`` and rank ``n+1``; users whose share is
-    undefined (NULL) do not enter the mean.
+    undefined (NULL) do not enter the mean; with no user rows there is no
+    mean row.  The mean is taken over the <= k rows left after the top-k
+    (a window over that bounded set), so the join and aggregation run once.
     """
     per_user = answer_counts_per_user(posts, users).select(
         "reputation", "user_id", pooled_ratio("n_answers", "n_qa").alias("answer_share"))
     order = [F.col("reputation").desc(), F.col("user_id").cast("string").asc()]
-    top = ranked_top_k(per_user, order, k).select(
-        F.lit("user").alias("row_kind"), "rank", "user_id", "answer_share")
-    mean = top.agg(
-        (F.count(F.lit(1)) + 1).cast("int").alias("rank"),
-        F.avg("answer_share").alias("answer_share"),
-    ).select(F.lit("mean").alias("row_kind"), "rank",
-             F.lit(MEAN_ROW_USER_ID).cast("bigint").alias("user_id"), "answer_share")
-    return top.unionByName(mean)
+    top = ranked_top_k(per_user, order, k)
+    everything = Window.partitionBy()
+    top = (top.withColumn("_n", F.count(F.lit(1)).over(everything))
+              .withColumn("_mean", F.avg("answer_share").over(everything)))
+    user_row = F.struct(F.lit("user").alias("row_kind"), F.col("rank"),
+                        F.col("user_id"), F.col("answer_share"))
+    mean_row = F.struct(F.lit("mean").alias("row_kind"), (F.col("_n") + 1).cast("int").alias("rank"),
+                        F.lit(MEAN_ROW_USER_ID).cast("bigint").alias("user_id"),
+                        F.col("_mean").alias("answer_share"))
+    rows = F.when(F.col("rank") == F.col("_n"), F.array(user_row, mean_row)) \
+        .otherwise(F.array(user_row))
+    return top.select(F.inline(rows))
 
 
 def posts_per_user(posts: DataFrame, users: DataFrame) -> DataFrame:

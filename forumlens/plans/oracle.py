@@ -93,7 +93,7 @@ Q2 = with_fixtures(
 UNION ALL
 SELECT 'mean' AS row_kind, CAST(count(*) + 1 AS INTEGER) AS rank,
        CAST(-1 AS BIGINT) AS user_id, avg(answer_share) AS answer_share
-FROM top""", Q2_PER_USER, Q2_TOP)
+FROM top HAVING count(*) > 0""", Q2_PER_USER, Q2_TOP)
 
 Q3_PER_USER = """per_user AS (
   SELECT u.id, u.reputation, count(*) AS n_posts
@@ -357,7 +357,7 @@ FROM per_user""", Q2_PER_USER)
     d["op_agg_mean_row"] = with_fixtures("""
 SELECT 'mean' AS row_kind, CAST(count(*) + 1 AS INTEGER) AS rank,
        CAST(-1 AS BIGINT) AS user_id, avg(answer_share) AS answer_share
-FROM top""", Q2_PER_USER, Q2_TOP)
+FROM top HAVING count(*) > 0""", Q2_PER_USER, Q2_TOP)
     d["op_agg_posts_per_user"] = with_fixtures("""
 SELECT u.id AS user_id, u.reputation, CAST(count(*) AS BIGINT) AS n_posts
 FROM users_t u JOIN posts_t p ON u.id = p.owner_user_id

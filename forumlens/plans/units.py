@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from forumlens.functions.columns import (
     day_window,
+    format_timestamp,
     indicator,
     is_entry,
     is_valid,
@@ -80,12 +81,10 @@ def project_post_metrics(spark: S, d: str) -> DataFrame:
 def parse_timestamp_variants(spark: S, d: str) -> DataFrame:
     """Creation times written with 6, 3 and 0 fraction digits, parsed back."""
     p = tables.posts(spark, d).select("id", "creation_date")
-    layouts = {"micros": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "millis": "yyyy-MM-dd'T'HH:mm:ss.SSS",
-               "seconds": "yyyy-MM-dd'T'HH:mm:ss"}
     out = None
-    for name, layout in layouts.items():
+    for name, digits in (("micros", 6), ("millis", 3), ("seconds", 0)):
         v = p.select("id", F.lit(name).alias("layout"),
-                     F.date_format("creation_date", layout).alias("text"))
+                     format_timestamp("creation_date", digits).alias("text"))
         out = v if out is None else out.unionByName(v)
     return out.select("id", "layout", "text", parse_timestamp("text").alias("parsed"))
 
