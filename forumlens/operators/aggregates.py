@@ -51,16 +51,38 @@ def activity_per_owner(posts: DataFrame) -> DataFrame:
                  F.sum(indicator(t.isin(QUESTION, ANSWER))).cast("bigint").alias("n_qa")))
 
 
-def first_per_key(df: DataFrame, key: str, values: Sequence[str], order: Sequence[str],
+EPOCH_NTZ = "1970-01-01 00:00:00"
+_TIE_OFFSET = 2 ** 63   # shifts any BIGINT tie-breaker to [0, 2^64)
+_TIE_SPAN = 10 ** 20    # > 2^64, so the tie-breaker never reaches the time digits
+
+
+def packed_order_key(ts: str | Column, tie: str | Column) -> Column:
+    """``(ts, tie)`` packed into one ``DECIMAL(38,0)`` that sorts the same way.
+
+    ``micros(ts) * 10^20 + (tie + 2^63)``: fixed width, so aggregates over it
+    run as hash aggregates instead of sorting their input.  NULL when ``ts``
+    or ``tie`` is NULL (such rows are never the minimum).
+    """
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    tie = F.col(tie) if isinstance(tie, str) else tie
+    since = (ts - F.lit(EPOCH_NTZ).cast("timestamp_ntz")).cast("decimal(38,6)")
+    micros = (since * 1_000_000).cast("decimal(38,0)")
+    shifted = tie.cast("decimal(38,0)") + F.lit(str(_TIE_OFFSET)).cast("decimal(38,0)")
+    return (micros * F.lit(str(_TIE_SPAN)).cast("decimal(38,0)") + shifted).cast("decimal(38,0)")
+
+
+def first_per_key(df: DataFrame, key: str, values: Sequence[str], ts: str, tie: str,
                   out: str = "first") -> DataFrame:
-    """Per ``key`` the ``values`` of the row that is smallest under ``order``.
+    """Per ``key`` the ``values`` of the row with the smallest ``(ts, tie)``.
 
-    ``min_by(struct(values), struct(order))`` is a partial aggregate (no sort,
-    no window over a whole group); put a unique column last in ``order`` to
-    break ties deterministically.
+    One ``min_by`` per value over a packed fixed-width ordering key: a
+    partial hash aggregate (no sort, no window over a whole group), so a key
+    holding a third of all rows is reduced map-side to one row per task.
+    Put a unique column in ``tie`` to make the choice deterministic.
     """
-    return df.groupBy(key).agg(
-        F.min_by(F.struct(*values), F.struct(*order)).alias(out))
+    order = packed_order_key(ts, tie)
+    agg = df.groupBy(key).agg(*[F.min_by(F.col(v), order).alias(v) for v in values])
+    return agg.select(key, F.struct(*values).alias(out))
 
 
 def pooled_ratio(num: str, den: str) -> Column:

@@ -127,7 +127,7 @@ def first_questions(posts: DataFrame) -> DataFrame:
         (F.col("post_type_id") == QUESTION) & F.col("owner_user_id").isNotNull())
     return first_per_key(q, "owner_user_id",
                          ["id", "score", "views", "answers", "favorites"],
-                         ["creation_date", "id"])
+                         ts="creation_date", tie="id")
 
 
 def veterans(posts: DataFrame, users: DataFrame,
