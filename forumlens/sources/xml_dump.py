@@ -157,18 +157,49 @@ def audit(lines: DataFrame, table: str = "posts") -> DataFrame:
 
 # ------------------------------------------------------------------ files --
 
-def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """``value STRING`` per line of every (optionally gzipped) file under ``path``.
+# Codecs whose files Spark cannot split: one such file is read by one task.
+NON_SPLITTABLE = (".gz", ".gzip", ".zst", ".zstd", ".snappy", ".lz4", ".deflate")
+
+
+def _file_sizes(spark: SparkSession, files: list[str]) -> list[int]:
+    """Byte sizes of ``files`` from one listing per parent folder (driver side,
+    bounded by the number of files, not by their content)."""
+    sc = spark.sparkContext
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    wanted = {jvm.org.apache.hadoop.fs.Path(f).toUri().getPath(): f for f in files}
+    sizes = {}
+    for parent in {os.path.dirname(p) for p in wanted}:
+        jp = jvm.org.apache.hadoop.fs.Path(files[0]).getFileSystem(conf).makeQualified(
+            jvm.org.apache.hadoop.fs.Path(parent))
+        for st in jp.getFileSystem(conf).listStatus(jp):
+            path = st.getPath().toUri().getPath()
+            if path in wanted:
+                sizes[path] = st.getLen()
+    return [sizes.get(p, 0) for p in wanted]
+
 
-    A ``.gz`` file is not splittable, so it arrives as one partition; when
-    there are fewer partitions than ``min_partitions`` (default: the
-    session's shuffle partitions) the lines are spread by a round-robin
-    repartition before the expensive parse.
+def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+    """``value STRING`` per line of every (optionally compressed) file under ``path``.
+
+    Plain and bzip2 text is split by ``spark.sql.files.maxPartitionBytes``.
+    A gzip (or other non-splittable) file arrives as one partition, so when
+    such files are fewer than ``min_partitions`` (default: the session's
+    shuffle partitions) or one of them is much larger than the others (a
+    source holding a large share of all rows), the lines are spread by a
+    round-robin repartition before the expensive parse.  The repartition is
+    retry-safe (Spark sorts before round-robin partitioning).
     """
     lines = spark.read.text(path)
+    files = lines.inputFiles()
+    packed = [f for f in files if f.lower().endswith(NON_SPLITTABLE)]
+    if not packed:
+        return lines
     target = min_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if lines.rdd.getNumPartitions() < target:
-        lines = lines.repartition(target)
+    sizes = _file_sizes(spark, packed)
+    mean = sum(sizes) / max(len(sizes), 1)
+    unbalanced = mean > 0 and max(sizes) > 4 * mean
+    if lines.rdd.getNumPartitions() < target or unbalanced:
+        lines = lines.repartition(max(target, len(files)))
     return lines
 
 

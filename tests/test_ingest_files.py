@@ -79,3 +79,27 @@ def test_write_results(spark, scratch):
     path = sinks.write_results(df, os.path.join(scratch, "users"))
     sinks.write_results(df, path)  # overwrite is idempotent
     assert spark.read.parquet(path).count() == df.count()
+
+
+def test_one_big_gzip_among_small_ones_is_spread(spark, scratch):
+    d = os.path.join(scratch, "posts")
+    os.makedirs(d)
+    for i in range(12):
+        n = 4000 if i == 0 else 20
+        with gzip.open(os.path.join(d, f"part-{i}.xml.gz"), "wt") as f:
+            for j in range(n):
+                f.write(f'  <row Id="{i * 10000 + j}" PostTypeId="1" />\n')
+    lines = xml_dump.read_lines(spark, d, min_partitions=4)
+    assert lines.rdd.getNumPartitions() >= 12
+    sizes = lines.rdd.glom().map(len).collect()
+    assert max(sizes) < 4000      # the big file no longer sits in one task
+    assert xml_dump.typed_rows(lines, "posts").count() == 4000 + 11 * 20
+
+
+def test_plain_text_is_not_reshuffled(spark, scratch):
+    d = os.path.join(scratch, "users")
+    os.makedirs(d)
+    with open(os.path.join(d, "a.xml"), "w") as f:
+        f.write('  <row Id="1" Reputation="3" CreationDate="2020-01-01T00:00:00.000" />\n')
+    plan = xml_dump.read_lines(spark, d)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
