@@ -152,28 +152,57 @@ def training_rows(train: DataFrame, top: DataFrame, k: int,
             .select(F.coalesce(F.col("label"), F.lit(float(k))).alias("label"), "features"))
 
 
+def _fit_per_post(train: DataFrame, top: DataFrame, k: int, num_features: int,
+                  parallelism: int) -> list:
+    """One binary model per top tag on one row per post (label: the post has the tag)."""
+    from multiprocessing.pool import ThreadPool
+
+    feats = (featurizer(num_features).fit(train).transform(tagged(train).select("tags", "body"))
+             .select("tags", "features").persist(StorageLevel.MEMORY_AND_DISK))
+    names = [r["tag"] for r in top.orderBy("rank").collect()]  # <= k names
+
+    def fit(tag: str):
+        rows = feats.select(F.array_contains("tags", tag).cast("double").alias("label"),
+                            "features")
+        return logistic_regression().fit(rows)
+
+    try:
+        with ThreadPool(max(1, min(parallelism, len(names)))) as pool:
+            return pool.map(fit, names)
+    finally:
+        feats.unpersist()
+
+
 def tag_probabilities(train: DataFrame, test: DataFrame, k: int = TOP_TAGS,
-                      num_features: int = NUM_FEATURES, parallelism: int = 4) -> DataFrame:
+                      num_features: int = NUM_FEATURES, parallelism: int = 8,
+                      training: str = "exploded") -> DataFrame:
     """Q7: for each of the ``k`` top training tags and each tagged test post,
     the probability that the post does / does not carry the tag.
 
-    One binary logistic regression per tag (label: the exploded row's tag is
-    that tag), fitted by ``OneVsRest`` over one featurised frame (cached by
-    the estimator) with ``parallelism`` concurrent fits.  Test posts are
-    featurised once and cached; each tag's model scores them in its own
-    small projection and the per-tag results are unioned.
-    Columns ``tag, post_id, p_not_tag, p_tag``.
+    One binary logistic regression per tag.  ``training="exploded"`` (the
+    original program's choice) labels each (post, tag) row by whether its tag
+    is that tag and fits all tags with ``OneVsRest`` over one featurised frame
+    (cached by the estimator) with ``parallelism`` concurrent fits;
+    ``training="per_post"`` uses one row per post, labelled by whether the
+    post carries the tag.  Test posts are featurised once and cached; each
+    tag's model scores them in its own small projection and the per-tag
+    results are unioned.  Columns ``tag, post_id, p_not_tag, p_tag``.
     """
     top = top_tags(train, k)
-    rows = training_rows(train, top, k, num_features)
-    ovr = OneVsRest(classifier=logistic_regression(), parallelism=parallelism)
-    model = ovr.fit(rows)
+    if training == "exploded":
+        rows = training_rows(train, top, k, num_features)
+        ovr = OneVsRest(classifier=logistic_regression(), parallelism=parallelism)
+        models = ovr.fit(rows).models[:k]
+    elif training == "per_post":
+        models = _fit_per_post(train, top, k, num_features, parallelism)
+    else:
+        raise ValueError(f"unknown training {training!r}")
     test_feats = (featurizer(num_features).fit(test)
                   .transform(tagged(test).select(F.col("id").alias("post_id"), "body"))
                   .select("post_id", "features")
                   .persist(StorageLevel.MEMORY_AND_DISK))
     scored = None
-    for cls, binary in enumerate(model.models[:k]):
+    for cls, binary in enumerate(models):
         part = binary.transform(test_feats).select(
             "post_id", F.lit(cls).alias("class"),
             vector_to_array("rawPrediction")[1].alias("margin"))

@@ -29,11 +29,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = os.environ.get("PARITY_EXACT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return v if EXACT else round(v, 9)
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     if hasattr(v, "tolist"):

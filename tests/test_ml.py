@@ -77,3 +77,18 @@ def test_hashing_tf_counts_tokens(spark, split):
     feats = tags.featurizer(1 << 10).fit(t).transform(t)
     for r in feats.select("words", vector_to_array("features").alias("v")).collect():
         assert sum(r["v"]) == len(r["words"])
+
+
+def test_per_post_training_matches_single_fits(spark, split):
+    train, test = split
+    out = tags.tag_probabilities(train, test, k=2, num_features=1 << 12, training="per_post")
+    top = [r["tag"] for r in tags.top_tags(train, 2).orderBy("rank").collect()]
+    got = {(r["tag"], r["post_id"]): r["p_tag"] for r in out.collect()}
+    from pyspark.ml.classification import LogisticRegression  # noqa: F401
+    feats = tags.featurizer(1 << 12).fit(train).transform(tags.tagged(train))
+    for tag in top:
+        m = tags.logistic_regression().fit(
+            feats.select(F.array_contains("tags", tag).cast("double").alias("label"), "features"))
+        tf = tags.featurizer(1 << 12).fit(test).transform(tags.tagged(test))
+        for r in m.transform(tf).select("id", vector_to_array("probability")[1].alias("p")).collect():
+            assert got[(tag, r["id"])] == pytest.approx(r["p"], abs=1e-9)
