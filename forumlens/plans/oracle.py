@@ -163,8 +163,14 @@ ORDER BY n DESC, tag LIMIT 100""",
   SELECT unnest(tags) AS tag FROM tagged_t WHERE split = 'train' AND tags IS NOT NULL)""")
 
 
+VOCABULARY = with_fixtures(
+    """SELECT tag AS word, CAST(count(*) AS BIGINT) AS n FROM ex GROUP BY tag HAVING count(*) >= 5""",
+    """ex AS (SELECT unnest(tags) AS tag FROM tagged_t WHERE tags IS NOT NULL)""")
+
+
 def analyses() -> dict[str, str]:
     return {
+        "q6_vocabulary": VOCABULARY,
         "q1_upvote_ratio": Q1,
         "q2_answer_share": Q2,
         "q3_post_counts": Q3,

@@ -56,6 +56,11 @@ def _q6_tag_vectors(spark, d):
     return tags.tag_vectors(_w2v(spark, d))
 
 
+def _q6_vocabulary(spark, d):
+    t = tables.tagged_posts(spark, d)
+    return tags.vocabulary(_w2v(spark, d), t)
+
+
 def _q6_synonyms(spark, d):
     return tags.synonyms(_w2v(spark, d), FIXTURE_TAG)
 
@@ -89,6 +94,7 @@ def analyses() -> dict[str, Query]:
         "q4_quick_answers": _q4,
         "q5_veterans": _q5,
         "q6_tag_vectors": _q6_tag_vectors,
+        "q6_vocabulary": _q6_vocabulary,
         "q6_synonyms": _q6_synonyms,
         "q6_post_vectors": _q6_post_vectors,
         "q7_top_tags": _q7_top_tags,

@@ -79,6 +79,16 @@ def tag_vectors(model) -> DataFrame:
     return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 
+def vocabulary(model, posts: DataFrame) -> DataFrame:
+    """``(word, n)``: the model's vocabulary with each word's use count.
+
+    Must equal the tags used at least ``minCount`` times; the vocabulary side
+    is small (distinct frequent tags), the counts are a partial aggregate.
+    """
+    words = model.getVectors().select(F.col("word").alias("tag"))
+    return tag_counts(posts).join(words, "tag").select(F.col("tag").alias("word"), "n")
+
+
 def synonyms(model, word: str = SYNONYM_WORD, n: int = SYNONYMS) -> DataFrame:
     """``(rank, word, similarity)``: the ``n`` tags closest to ``word``; none when
     ``word`` is outside the vocabulary."""
