@@ -215,3 +215,19 @@ def test_split_tags_function(spark):
     from forumlens.functions.columns import split_tags
     out = [r[0] for r in df.select(split_tags("t")).collect()]
     assert out == [["r", "ggplot2"], [], None]
+
+
+def test_duplicate_ids_multiply_through_joins(spark):
+    # H23: a duplicated user row doubles that user's counts; no silent de-duplication
+    u = users_df(spark, [{"id": 1, "reputation": 5}, {"id": 1, "reputation": 5},
+                         {"id": 2, "reputation": 3}])
+    p = posts_df(spark, [{"id": 10, "post_type_id": 2, "owner_user_id": 1},
+                         {"id": 11, "post_type_id": 1, "owner_user_id": 2},
+                         {"id": 12, "post_type_id": 2, "owner_user_id": 2}])
+    per_user = {r["user_id"]: r["n_posts"] for r in engagement.posts_per_user(p, u).collect()}
+    assert per_user == {1: 2, 2: 2}
+    # a duplicated post id meets every vote of that id twice
+    p2 = posts_df(spark, [{"id": 5, "favorite_count": 1}, {"id": 5, "favorite_count": 1}])
+    v = votes_df(spark, [(5, 2), (5, 3)])
+    agg = engagement.upvote_counts_by_favorites(p2, v).collect()[0]
+    assert (agg["n_up"], agg["n_updown"]) == (2, 4)

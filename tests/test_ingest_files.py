@@ -103,3 +103,20 @@ def test_plain_text_is_not_reshuffled(spark, scratch):
         f.write('  <row Id="1" Reputation="3" CreationDate="2020-01-01T00:00:00.000" />\n')
     plan = xml_dump.read_lines(spark, d)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_cli_ingest_then_analyze_equals_fixture_run(spark, scratch):
+    from forumlens import cli
+
+    root = os.path.join(scratch, "dump")
+    for table, build in dump_fixture.LINES.items():
+        xml_dump.write_dump(build(spark, SF_SMALL), os.path.join(root, table))
+    cli.main(["ingest", root, os.path.join(scratch, "tables")])
+    cli.main(["analyze", os.path.join(scratch, "tables"), os.path.join(scratch, "from_dump")])
+    # the same analyses straight from the typed rows the dump should yield
+    t = {name: dump_fixture.expected_typed(spark, SF_SMALL, name)
+         for name in ("posts", "users", "votes")}
+    want = cli.analyses(t["posts"], t["users"], t["votes"])
+    for name, df in want.items():
+        got = spark.read.parquet(os.path.join(scratch, "from_dump", name))
+        assert _same(got.select(*df.columns), df), name
