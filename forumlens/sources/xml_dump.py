@@ -77,12 +77,31 @@ BAD_KEY = "bad_key"                # parsed, but the key is missing / not a numb
 MARKUP = "markup"                  # header / footer lines; not data, not bad
 
 
-def attribute_schema(table: str) -> T.StructType:
-    """All attributes as strings (``_Name``) plus the corrupt-record field."""
-    fields = [T.StructField("_" + attr, T.StringType()) for attr, _, _ in ATTRIBUTES[table]]
+def attribute_schema(table: str, only_key: bool = False) -> T.StructType:
+    """All attributes as strings (``_Name``) plus the corrupt-record field;
+    ``only_key`` keeps just the key attribute (well-formedness is decided by
+    the parse either way)."""
+    attrs = [attr for attr, name, _ in ATTRIBUTES[table]
+             if not only_key or name == KEY_COLUMN[table]]
+    fields = [T.StructField("_" + attr, T.StringType()) for attr in attrs]
     return T.StructType(fields + [T.StructField(CORRUPT, T.StringType())])
 
 
+def _classify(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """``value, _entry, _valid, _x``: line tests, then ``from_xml`` of valid lines.
+
+    Two projections, so the regex of ``_valid`` is evaluated once and reused
+    as the parse guard (the optimizer does not merge projections when that
+    would repeat a non-trivial expression).
+    """
+    tested = lines.select("value", is_entry("value").alias("_entry"),
+                          is_valid("value").alias("_valid"))
+    return tested.select(
+        "value", "_entry", "_valid",
+        F.when(F.col("_valid"), F.from_xml(F.col("value"), schema, FROM_XML_OPTIONS))
+        .alias("_x"))
+
+
 def _typed(raw: Column, sql_type: str) -> Column:
     if sql_type == "timestamp_ntz":
         return parse_timestamp(raw)
@@ -96,18 +115,11 @@ def _typed(raw: Column, sql_type: str) -> Column:
 def parse_lines(lines: DataFrame, table: str) -> DataFrame:
     """Lines -> typed columns + ``status`` (+ the raw ``value``).
 
-    ``from_xml`` runs once per line: the parse result is produced by a
+    ``from_xml`` runs once per valid line: the parse result is consumed by a
     generator (``inline``), which the optimizer does not inline into later
     filters, so splitting good and bad rows does not parse twice.
     """
-    entry, valid = is_entry("value"), is_valid("value")
-    parsed = F.from_xml(F.col("value"), attribute_schema(table), FROM_XML_OPTIONS)
-    tested = lines.select(
-        "value",
-        entry.alias("_entry"),
-        valid.alias("_valid"),
-        # Parse only lines that can hold a row.
-        F.when(valid, parsed).alias("_x"))
+    tested = _classify(lines, attribute_schema(table))
     rows = tested.select(
         "value", "_entry", "_valid",
         F.inline(F.array(F.struct(*[
@@ -141,10 +153,13 @@ def bad_rows(lines: DataFrame, table: str) -> DataFrame:
 def audit(lines: DataFrame, table: str = "posts") -> DataFrame:
     """Q0: ``n_lines, n_entries, n_valid, n_bad_entries, n_unparsable``.
 
-    One pass with conditional counts (partial aggregation, one row out).
+    One pass with conditional counts (partial aggregation, one row out); the
+    parse keeps only the key attribute, since well-formedness is all the
+    audit needs.
     """
-    p = parse_lines(lines, table)
-    e, v, c = F.col("_entry"), F.col("_valid"), F.coalesce(F.col("_corrupt"), F.lit(False))
+    p = _classify(lines, attribute_schema(table, only_key=True))
+    e, v = F.col("_entry"), F.col("_valid")
+    c = F.coalesce(F.col("_x." + CORRUPT).isNotNull(), F.lit(False))
     n = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
     return p.agg(
         F.count(F.lit(1)).alias("n_lines"),

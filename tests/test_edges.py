@@ -29,6 +29,7 @@ def test_line_classes(spark):
         '<rows Id="5" />',
         '<row Id="4" Body="raw & amp" />',
         '<row Id="4" Body="a < b" />',
+        '<row Id="1" Id="2" />',
         'junk <row Id="7" />',
         '<row Id="12x" PostTypeId="1" />',
         '  <row Id="3" PostTypeId="1" />')
@@ -39,6 +40,7 @@ def test_line_classes(spark):
     assert s['<rows Id="5" />']["status"] == "not_row_element"
     assert s['<row Id="4" Body="raw & amp" />']["status"] == "unparsable"
     assert s['<row Id="4" Body="a < b" />']["status"] == "unparsable"
+    assert s['<row Id="1" Id="2" />']["status"] == "unparsable"   # repeated attribute
     assert s['junk <row Id="7" />']["status"] == "unparsable"
     assert s['<row Id="12x" PostTypeId="1" />']["status"] == "bad_key"
     ok = s['  <row Id="3" PostTypeId="1" />']

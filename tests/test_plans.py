@@ -37,3 +37,14 @@ def test_projection_and_filter_reach_the_scan(spark):
 def test_topk_is_take_ordered(spark):
     p = plan_text(registry.queries()["q3_post_counts"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
+
+
+def test_dump_parse_evaluates_regex_and_xml_once(spark):
+    from forumlens.sources import xml_dump
+
+    lines = spark.createDataFrame([('<row Id="1" />',)], "value string")
+    typed = plan_text(xml_dump.typed_rows(lines, "posts"))
+    assert typed.count("RLIKE") == 1 and typed.count("from_xml") == 1
+    audit = plan_text(xml_dump.audit(lines, "posts"))
+    assert audit.count("RLIKE") == 1 and "try_cast" not in audit
+    assert "_PostTypeId" not in audit  # the audit parses the key attribute only
