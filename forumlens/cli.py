@@ -16,7 +16,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from forumlens.plans import engagement, timing
-from forumlens.session import tune
+from forumlens.session import input_bytes, size_shuffles, tune
 from forumlens.sources import sinks, tables, xml_dump
 
 
@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("target")
     args = parser.parse_args(argv)
     spark = tune(SparkSession.builder.appName(f"forumlens-{args.command}").getOrCreate())
+    size_shuffles(spark, input_bytes(spark, [args.source]))
     if args.command == "ingest":
         xml_dump.ingest(spark, args.source, args.target)
         return

@@ -75,3 +75,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(jpath))
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (one file-system summary per path)."""
+    sc = spark.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        jp = sc._jvm.org.apache.hadoop.fs.Path(p)
+        fs = jp.getFileSystem(conf)
+        if fs.exists(jp):
+            total += int(fs.getContentSummary(jp).getLength())
+    return total
+
+
+def size_shuffles(spark: SparkSession, total_bytes: int,
+                  bytes_per_partition: int = 1 << 30,
+                  lo: int = 200, hi: int = 50_000) -> int:
+    """Size the first shuffle of a job from its input size.
+
+    Adaptive execution starts every shuffle with ``initialPartitionNum``
+    partitions and coalesces them towards the advisory size (128 MB), so the
+    start only has to be large enough that no reducer partition of the
+    biggest shuffle outgrows executor memory: one partition per GiB of input,
+    between ``lo`` and ``hi``.  Returns the partition count it set.
+    """
+    n = max(lo, min(hi, -(-total_bytes // bytes_per_partition)))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(n, current)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

@@ -111,8 +111,14 @@ def test_cli_ingest_then_analyze_equals_fixture_run(spark, scratch):
     root = os.path.join(scratch, "dump")
     for table, build in dump_fixture.LINES.items():
         xml_dump.write_dump(build(spark, SF_SMALL), os.path.join(root, table))
-    cli.main(["ingest", root, os.path.join(scratch, "tables")])
-    cli.main(["analyze", os.path.join(scratch, "tables"), os.path.join(scratch, "from_dump")])
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        cli.main(["ingest", root, os.path.join(scratch, "tables")])
+        cli.main(["analyze", os.path.join(scratch, "tables"),
+                  os.path.join(scratch, "from_dump")])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
     # the same analyses straight from the typed rows the dump should yield
     t = {name: dump_fixture.expected_typed(spark, SF_SMALL, name)
          for name in ("posts", "users", "votes")}
@@ -120,3 +126,20 @@ def test_cli_ingest_then_analyze_equals_fixture_run(spark, scratch):
     for name, df in want.items():
         got = spark.read.parquet(os.path.join(scratch, "from_dump", name))
         assert _same(got.select(*df.columns), df), name
+
+
+def test_shuffle_sizing_from_input(spark, scratch):
+    from forumlens.session import input_bytes, size_shuffles
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert input_bytes(spark, [SF_SMALL]) > 0
+        assert size_shuffles(spark, 100 * (1 << 40)) == 50_000       # 100 TB: capped
+        assert size_shuffles(spark, 3 * (1 << 40)) == 50_000         # never shrinks
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert size_shuffles(spark, 3 * (1 << 40)) == 3072           # 1 per GiB
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert size_shuffles(spark, 1 << 20) == 200                  # small: floor
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
