@@ -54,6 +54,9 @@ def top_tags(posts: DataFrame, k: int = TOP_TAGS) -> DataFrame:
 
 # ------------------------------------------------------------------ Q6 --
 
+W2V_MAX_PARTITIONS = 64
+
+
 def fit_tag_embeddings(posts: DataFrame, vector_size: int = W2V_VECTOR_SIZE,
                        seed: int = W2V_SEED, num_partitions: int | None = None,
                        min_count: int = 5):
@@ -62,13 +65,15 @@ def fit_tag_embeddings(posts: DataFrame, vector_size: int = W2V_VECTOR_SIZE,
     The vocabulary (distinct tags with >= ``min_count`` uses) and the model
     live on the driver; their size grows with the number of distinct tags,
     not with the number of posts.  Training runs on ``num_partitions``
-    partitions, by default as many as the input has (so the work spreads
-    with the data instead of passing through one task); ``1`` reproduces a
-    single-partition fit exactly.
+    partitions (Spark repartitions the sentences), by default as many as the
+    input has, up to ``W2V_MAX_PARTITIONS``: the work spreads with the data
+    instead of passing through one task, while the per-iteration merge of
+    the partition-local models (vocabulary x vector size each) stays
+    bounded.  ``1`` reproduces a single-partition fit exactly.
     """
     sentences = tagged(posts).select("id", "tags")
     if num_partitions is None:
-        num_partitions = max(1, sentences.rdd.getNumPartitions())
+        num_partitions = max(1, min(W2V_MAX_PARTITIONS, sentences.rdd.getNumPartitions()))
     w2v = Word2Vec(inputCol="tags", outputCol="vector", vectorSize=vector_size, seed=seed,
                    numPartitions=num_partitions, minCount=min_count)
     return w2v.fit(sentences)
