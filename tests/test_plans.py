@@ -48,3 +48,12 @@ def test_dump_parse_evaluates_regex_and_xml_once(spark):
     audit = plan_text(xml_dump.audit(lines, "posts"))
     assert audit.count("RLIKE") == 1 and "try_cast" not in audit
     assert "_PostTypeId" not in audit  # the audit parses the key attribute only
+
+
+@pytest.mark.parametrize("key", ["q6_tag_vectors", "q6_post_vectors", "q7_one_tag",
+                                 "q7_tag_probabilities", "op_hashing_tf"])
+def test_model_queries_stay_in_the_jvm(spark, key):
+    p = plan_text(registry.queries()[key](spark, SF_SMALL))
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
+                "BroadcastNestedLoopJoin"):
+        assert bad not in p, (key, bad)
