@@ -58,3 +58,13 @@ def test_tagged_bodies_survive_the_dump(spark):
     back = xml_dump.typed_rows(xml_dump.render(t, "posts"), "posts").select("id", "tags", "body")
     assert back.count() == t.count()
     assert back.exceptAll(t).count() == 0 and t.exceptAll(back).count() == 0
+
+
+def test_day_buckets_equal_per_post_window_test(spark):
+    posts, users = tables.posts(spark, SF_MID), tables.users(spark, SF_MID)
+    flags = timing.window_flags(posts, users)
+    counts = timing.window_post_counts(posts, users)
+    j = flags.join(counts, "user_id", "full_outer")
+    assert j.where(F.col("in_window").isNull() | F.col("n_window").isNull()).count() == 0
+    assert j.where(F.col("in_window") != (F.col("n_window") > 0)).count() == 0
+    assert j.where(F.col("in_window")).count() > 0 and j.where(~F.col("in_window")).count() > 0
