@@ -17,7 +17,6 @@ QUESTION, ANSWER = 1, 2         # PostTypeId codes
 UPVOTE, DOWNVOTE = 2, 3         # VoteTypeId codes
 
 MICROS_PER_HOUR = 3_600_000_000
-MICROS_PER_DAY = 86_400_000_000
 
 
 def col_of(c: Column | str) -> Column:

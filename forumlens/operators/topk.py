@@ -27,7 +27,3 @@ def ranked_top_k(df: DataFrame, order: Sequence[Column], k: int,
     # The window sees only the <= k rows left after the limit.
     return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("int"))
 
-
-def ranked(df: DataFrame, order: Sequence[Column], rank_col: str = "rank") -> DataFrame:
-    """Rank every row of a result already known to be small (e.g. 24 hours)."""
-    return df.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("int"))

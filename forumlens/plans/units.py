@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.functions.columns import (
+    MICROS_PER_HOUR,
     day_window,
     format_timestamp,
     indicator,
@@ -115,8 +116,8 @@ def tokenize(spark: S, d: str) -> DataFrame:
 def filter_quick(spark: S, d: str) -> DataFrame:
     pairs = timing.accepted_pairs(tables.posts(spark, d))
     gap = micros_between("q_created", "a_created")
-    return pairs.where(gap < F.lit(timing.QUICK_HOURS * 3_600_000_000)).select(
-        "question_id", "answer_id", (gap / F.lit(3.6e9)).alias("gap_hours"))
+    return pairs.where(gap < F.lit(timing.QUICK_HOURS * MICROS_PER_HOUR)).select(
+        "question_id", "answer_id", (gap / F.lit(float(MICROS_PER_HOUR))).alias("gap_hours"))
 
 
 def flag_day_window(spark: S, d: str) -> DataFrame:
