@@ -143,3 +143,19 @@ def test_shuffle_sizing_from_input(spark, scratch):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_ingested_posts_are_clustered_by_type(spark, scratch):
+    root = os.path.join(scratch, "dump")
+    xml_dump.write_dump(dump_fixture.posts_lines(spark, SF_SMALL), os.path.join(root, "posts"))
+    out = os.path.join(scratch, "tables")
+    xml_dump.ingest(spark, root, out, tables=("posts",))
+    files = spark.read.parquet(os.path.join(out, "posts")).where(F.col("status") == "ok") \
+        .select(F.input_file_name().alias("f"), "post_type_id")
+    # within each file the types come in order (runs, not interleaved)
+    import pyarrow.parquet as pq
+    for f in {r["f"] for r in files.select("f").distinct().collect()}:
+        col = pq.read_table(f.replace("file://", ""), columns=["post_type_id"]).column(0).to_pylist()
+        assert col == sorted(col)
+    q = xml_dump.read_ingested(spark, out, "posts").where(F.col("post_type_id") == 1)
+    assert "EqualTo(post_type_id,1)" in q._jdf.queryExecution().executedPlan().toString()
