@@ -8,6 +8,7 @@ order-insensitive values agree.
 from __future__ import annotations
 
 import math
+from collections import Counter
 import os
 import sys
 
@@ -66,9 +67,13 @@ def compare(spark, sf_dir, key, query, sql, con=None):
     d_cols, d_rows = duck_rows(con, sql)
     sc, sv = canon(s_cols, s_rows)
     dc, dv = canon(d_cols, d_rows)
+    match = sv == dv
+    diff = []
+    if not match:  # multiset difference, linear time
+        a, b = Counter(sv), Counter(dv)
+        diff = list((a - b).elements())[:3] + ["|"] + list((b - a).elements())[:3]
     return {"key": key, "spark_rows": len(sv), "duck_rows": len(dv), "cols_match": sc == dc,
-            "values_match": sv == dv, "spark_cols": sc, "duck_cols": dc,
-            "diff": [x for x in sv if x not in dv][:3] + ["|"] + [x for x in dv if x not in sv][:3]}
+            "values_match": match, "spark_cols": sc, "duck_cols": dc, "diff": diff}
 
 
 if __name__ == "__main__":
