@@ -92,3 +92,16 @@ def test_per_post_training_matches_single_fits(spark, split):
         tf = tags.featurizer(1 << 12).fit(test).transform(tags.tagged(test))
         for r in m.transform(tf).select("id", vector_to_array("probability")[1].alias("p")).collect():
             assert got[(tag, r["id"])] == pytest.approx(r["p"], abs=1e-9)
+
+
+def test_post_vector_is_mean_of_tag_vectors(spark):
+    t = tables.tagged_posts(spark, SF_MID)
+    m = tags.fit_tag_embeddings(t, num_partitions=1)
+    vec = {r["word"]: r["vector"] for r in tags.tag_vectors(m).collect()}
+    posts = {r["id"]: r["tags"] for r in t.select("id", "tags").limit(20).collect()}
+    got = {r["post_id"]: r["vector"] for r in
+           tags.post_vectors(m, t).where(F.col("post_id").isin(list(posts))).collect()}
+    for pid, ts in posts.items():
+        known = [vec[w] for w in ts if w in vec]
+        want = [sum(c) / len(ts) for c in zip(*known)]
+        assert got[pid] == pytest.approx(want, abs=1e-6)
