@@ -105,3 +105,21 @@ def test_post_vector_is_mean_of_tag_vectors(spark):
         known = [vec[w] for w in ts if w in vec]
         want = [sum(c) / len(ts) for c in zip(*known)]
         assert got[pid] == pytest.approx(want, abs=1e-6)
+
+
+def test_synonyms_are_cosine_ranked(spark):
+    import math
+
+    t = tables.tagged_posts(spark, SF_MID)
+    m = tags.fit_tag_embeddings(t, num_partitions=1)
+    vec = {r["word"]: r["vector"] for r in tags.tag_vectors(m).collect()}
+    rows = tags.synonyms(m, "en", 5).orderBy("rank").collect()
+    assert [r["rank"] for r in rows] == [1, 2, 3, 4, 5]
+    sims = [r["similarity"] for r in rows]
+    assert sims == sorted(sims, reverse=True) and "en" not in [r["word"] for r in rows]
+
+    def cos(a, b):
+        return sum(x * y for x, y in zip(a, b)) / math.sqrt(
+            sum(x * x for x in a) * sum(y * y for y in b))
+    for r in rows:
+        assert r["similarity"] == pytest.approx(cos(vec["en"], vec[r["word"]]), abs=1e-4)
