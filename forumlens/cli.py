@@ -7,6 +7,11 @@
     run Q1-Q5 on ingested tables and write one Parquet folder per analysis.
 ``fixtures <sf_dir> <results_root>``
     the same analyses on the tables derived from the driver's Parquet files.
+
+``--models`` adds the tag analyses on the posts that carry tags: top tags,
+Word2Vec tag vectors and the synonyms of ``--word``; with ``--test
+<tables_root>`` (ingested test posts) also the one-vs-rest tag
+probabilities, trained on the source posts.
 """
 
 from __future__ import annotations
@@ -15,7 +20,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from forumlens.plans import engagement, timing
+from forumlens.plans import engagement, tags, timing
 from forumlens.session import input_bytes, size_shuffles, tune
 from forumlens.sources import sinks, tables, xml_dump
 
@@ -30,11 +35,26 @@ def analyses(posts, users, votes) -> dict:
     }
 
 
+def tag_analyses(posts, word: str, test=None) -> dict:
+    model = tags.fit_tag_embeddings(posts)
+    out = {
+        "q7_top_tags": tags.top_tags(posts),
+        "q6_tag_vectors": tags.tag_vectors(model),
+        "q6_synonyms": tags.synonyms(model, word),
+    }
+    if test is not None:
+        out["q7_tag_probabilities"] = tags.tag_probabilities(posts, test)
+    return out
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="forumlens")
     parser.add_argument("command", choices=["ingest", "analyze", "fixtures"])
     parser.add_argument("source")
     parser.add_argument("target")
+    parser.add_argument("--models", action="store_true", help="also run the tag analyses")
+    parser.add_argument("--word", default=tags.SYNONYM_WORD, help="tag whose synonyms to list")
+    parser.add_argument("--test", default=None, help="ingested test tables root (Q7)")
     args = parser.parse_args(argv)
     spark = tune(SparkSession.builder.appName(f"forumlens-{args.command}").getOrCreate())
     size_shuffles(spark, input_bytes(spark, [args.source]))
@@ -46,7 +66,11 @@ def main(argv: list[str] | None = None) -> None:
              for name in ("posts", "users", "votes")}
     else:
         t = tables.dataset(spark, args.source)
-    sinks.write_all(analyses(t["posts"], t["users"], t["votes"]), args.target)
+    results = analyses(t["posts"], t["users"], t["votes"])
+    if args.models:
+        test = xml_dump.read_ingested(spark, args.test, "posts") if args.test else None
+        results.update(tag_analyses(t["posts"], args.word, test))
+    sinks.write_all(results, args.target)
 
 
 if __name__ == "__main__":

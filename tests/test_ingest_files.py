@@ -159,3 +159,34 @@ def test_ingested_posts_are_clustered_by_type(spark, scratch):
         assert col == sorted(col)
     q = xml_dump.read_ingested(spark, out, "posts").where(F.col("post_type_id") == 1)
     assert "EqualTo(post_type_id,1)" in q._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cli_tag_analyses(spark, scratch):
+    from forumlens import cli
+
+    # tagged posts rendered as dumps: training and test folders
+    for split in ("train", "test"):
+        posts = tables.tagged_posts(spark, SF_SMALL, split).select("id", "tags", "body")
+        root = os.path.join(scratch, f"dump-{split}")
+        xml_dump.write_dump(xml_dump.render(posts, "posts"), os.path.join(root, "posts"))
+        for name in ("users", "votes"):
+            xml_dump.write_dump(dump_fixture.LINES[name](spark, SF_SMALL),
+                                os.path.join(root, name))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for split in ("train", "test"):
+            cli.main(["ingest", os.path.join(scratch, f"dump-{split}"),
+                      os.path.join(scratch, f"tables-{split}")])
+        cli.main(["analyze", os.path.join(scratch, "tables-train"), os.path.join(scratch, "out"),
+                  "--models", "--word", "en", "--test", os.path.join(scratch, "tables-test")])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    out = os.path.join(scratch, "out")
+    top = spark.read.parquet(os.path.join(out, "q7_top_tags"))
+    assert top.count() == 20
+    assert spark.read.parquet(os.path.join(out, "q6_tag_vectors")).count() > 0
+    assert spark.read.parquet(os.path.join(out, "q6_synonyms")).count() > 0
+    probs = spark.read.parquet(os.path.join(out, "q7_tag_probabilities"))
+    n_test = tables.tagged_posts(spark, SF_SMALL, "test").count()
+    assert probs.count() == 20 * n_test
