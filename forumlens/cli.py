@@ -18,18 +18,23 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 
+from forumlens.operators.aggregates import activity_per_owner
 from forumlens.plans import engagement, tags, timing
 from forumlens.session import input_bytes, size_shuffles, tune
 from forumlens.sources import sinks, tables, xml_dump
 
 
 def analyses(posts, users, votes) -> dict:
+    # Q2 and Q3 share one per-owner aggregate (one posts scan and shuffle);
+    # it is about one row per user, kept MEMORY_AND_DISK while both are written.
+    per_owner = activity_per_owner(posts).persist(StorageLevel.MEMORY_AND_DISK)
     return {
         "q1_upvote_ratio": engagement.upvote_ratio(posts, votes),
-        "q2_answer_share": engagement.answer_share(posts, users),
-        "q3_post_counts": engagement.post_counts(posts, users),
+        "q2_answer_share": engagement.answer_share(posts, users, per_owner=per_owner),
+        "q3_post_counts": engagement.post_counts(posts, users, per_owner=per_owner),
         "q4_quick_answers": timing.quick_answers(posts),
         "q5_veterans": timing.veterans(posts, users),
     }

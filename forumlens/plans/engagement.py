@@ -48,9 +48,14 @@ def upvote_ratio(posts: DataFrame, votes: DataFrame, k: int = Q1_KEYS) -> DataFr
     return top.select("rank", "favorite_count", "upvote_ratio")
 
 
-def answer_counts_per_user(posts: DataFrame, users: DataFrame) -> DataFrame:
-    """``(reputation, user_id, n_answers, n_qa)`` per (reputation, user)."""
-    per_owner = activity_per_owner(posts)
+def answer_counts_per_user(posts: DataFrame, users: DataFrame,
+                           per_owner: DataFrame | None = None) -> DataFrame:
+    """``(reputation, user_id, n_answers, n_qa)`` per (reputation, user).
+
+    ``per_owner`` may pass a precomputed ``activity_per_owner(posts)`` shared
+    with other analyses.
+    """
+    per_owner = activity_per_owner(posts) if per_owner is None else per_owner
     joined = users.select("id", "reputation").join(
         per_owner, F.col("id") == F.col("owner_user_id"))
     return (joined.groupBy("reputation", F.col("id").alias("user_id"))
@@ -58,7 +63,8 @@ def answer_counts_per_user(posts: DataFrame, users: DataFrame) -> DataFrame:
                  F.sum("n_qa").cast("bigint").alias("n_qa")))
 
 
-def answer_share(posts: DataFrame, users: DataFrame, k: int = Q2_USERS) -> DataFrame:
+def answer_share(posts: DataFrame, users: DataFrame, k: int = Q2_USERS,
+                 per_owner: DataFrame | None = None) -> DataFrame:
     """Q2: share of answers among a user's questions+answers for the ``k`` users
     of highest reputation (ties: user id compared as text), plus one mean row.
 
@@ -68,7 +74,7 @@ def answer_share(posts: DataFrame, users: DataFrame, k: int = Q2_USERS) -> DataF
     mean row.  The mean is taken over the <= k rows left after the top-k
     (a window over that bounded set), so the join and aggregation run once.
     """
-    per_user = answer_counts_per_user(posts, users).select(
+    per_user = answer_counts_per_user(posts, users, per_owner).select(
         "reputation", "user_id", pooled_ratio("n_answers", "n_qa").alias("answer_share"))
     order = [F.col("reputation").desc(), F.col("user_id").cast("string").asc()]
     top = ranked_top_k(per_user, order, k)
@@ -85,20 +91,23 @@ def answer_share(posts: DataFrame, users: DataFrame, k: int = Q2_USERS) -> DataF
     return top.select(F.inline(rows))
 
 
-def posts_per_user(posts: DataFrame, users: DataFrame) -> DataFrame:
+def posts_per_user(posts: DataFrame, users: DataFrame,
+                   per_owner: DataFrame | None = None) -> DataFrame:
     """``(user_id, reputation, n_posts)``: joined posts per (user, reputation)."""
-    per_owner = activity_per_owner(posts).select("owner_user_id", "n_posts")
+    per_owner = activity_per_owner(posts) if per_owner is None else per_owner
+    per_owner = per_owner.select("owner_user_id", "n_posts")
     joined = users.select("id", "reputation").join(
         per_owner, F.col("id") == F.col("owner_user_id"))
     return (joined.groupBy(F.col("id").alias("user_id"), "reputation")
             .agg(F.sum("n_posts").cast("bigint").alias("n_posts")))
 
 
-def post_counts(posts: DataFrame, users: DataFrame, k: int = Q3_COUNTS) -> DataFrame:
+def post_counts(posts: DataFrame, users: DataFrame, k: int = Q3_COUNTS,
+                per_owner: DataFrame | None = None) -> DataFrame:
     """Q3: the ``k`` largest per-user post counts with the mean reputation of
     the users having that count.  Columns ``rank, n_posts, avg_reputation``.
     """
-    per_count = (posts_per_user(posts, users).groupBy("n_posts")
+    per_count = (posts_per_user(posts, users, per_owner).groupBy("n_posts")
                  .agg(F.avg(F.col("reputation").cast("double")).alias("avg_reputation")))
     top = ranked_top_k(per_count, [F.col("n_posts").desc()], k)
     return top.select("rank", "n_posts", "avg_reputation")

@@ -68,3 +68,16 @@ def test_day_buckets_equal_per_post_window_test(spark):
     assert j.where(F.col("in_window").isNull() | F.col("n_window").isNull()).count() == 0
     assert j.where(F.col("in_window") != (F.col("n_window") > 0)).count() == 0
     assert j.where(F.col("in_window")).count() > 0 and j.where(~F.col("in_window")).count() > 0
+
+
+def test_shared_per_owner_aggregate_gives_same_results(spark):
+    from forumlens.operators.aggregates import activity_per_owner
+
+    posts, users = tables.posts(spark, SF_MID), tables.users(spark, SF_MID)
+    shared = activity_per_owner(posts).cache()
+    try:
+        for fn in (engagement.answer_share, engagement.post_counts):
+            a, b = fn(posts, users), fn(posts, users, per_owner=shared)
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    finally:
+        shared.unpersist()
