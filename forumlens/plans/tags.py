@@ -203,7 +203,15 @@ def tag_probabilities(train: DataFrame, test: DataFrame, k: int = TOP_TAGS,
     tag's model scores them in its own small projection and the per-tag
     results are unioned.  Columns ``tag, post_id, p_not_tag, p_tag``.
     """
-    top = top_tags(train, k)
+    # The <= k top tags are fetched once (bounded by k) and reused as a small
+    # local relation for the labels and the output names, instead of
+    # re-aggregating the training tags for every use.
+    spark = train.sparkSession
+    ranked = [(r["rank"], r["tag"], r["n"]) for r in top_tags(train, k).collect()]
+    top = spark.createDataFrame(ranked, "rank int, tag string, n bigint")
+    if not ranked:
+        return spark.createDataFrame([], "tag string, post_id bigint, p_not_tag double, "
+                                         "p_tag double")
     if training == "exploded":
         rows = training_rows(train, top, k, num_features)
         ovr = OneVsRest(classifier=logistic_regression(), parallelism=parallelism)

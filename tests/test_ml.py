@@ -123,3 +123,9 @@ def test_synonyms_are_cosine_ranked(spark):
             sum(x * x for x in a) * sum(y * y for y in b))
     for r in rows:
         assert r["similarity"] == pytest.approx(cos(vec["en"], vec[r["word"]]), abs=1e-4)
+
+
+def test_no_tagged_training_posts_gives_no_rows(spark):
+    p = posts_df(spark, [{"id": 1, "body": "no tags here"}])
+    out = tags.tag_probabilities(p, p, k=3, num_features=1 << 8)
+    assert out.count() == 0 and out.columns == ["tag", "post_id", "p_not_tag", "p_tag"]
