@@ -134,21 +134,24 @@ def logistic_regression() -> LogisticRegression:
 
 
 def one_tag_model(train: DataFrame, tag: str = TRIAL_TAG, num_features: int = NUM_FEATURES):
-    """The single-tag pipeline: label 1 for exploded rows of ``tag``."""
-    rows = exploded_tags(train).select(
-        "body", (F.col("tag") == tag).cast("double").alias("label"))
-    pipe = Pipeline(stages=[*featurizer(num_features).getStages(), logistic_regression()])
-    return pipe.fit(rows)
+    """The single-tag model: tokenise + hash each body once, explode the
+    tags, label 1 for rows of ``tag``, fit logistic regression."""
+    feats = featurizer(num_features).fit(train).transform(
+        tagged(train).select("tags", "body"))
+    rows = feats.select(F.explode("tags").alias("tag"), "features").select(
+        (F.col("tag") == tag).cast("double").alias("label"), "features")
+    return logistic_regression().fit(rows)
 
 
 def one_tag_probabilities(train: DataFrame, test: DataFrame, tag: str = TRIAL_TAG,
                           num_features: int = NUM_FEATURES) -> DataFrame:
-    """``(post_id, p_not_tag, p_tag)`` of the single-tag pipeline on test posts."""
+    """``(post_id, p_not_tag, p_tag)`` of the single-tag model on test posts."""
     model = one_tag_model(train, tag, num_features)
-    pred = model.transform(tagged(test).select("id", "body"))
+    test_feats = featurizer(num_features).fit(test).transform(
+        tagged(test).select("id", "body"))
     prob = vector_to_array("probability")
-    return pred.select(F.col("id").alias("post_id"),
-                       prob[0].alias("p_not_tag"), prob[1].alias("p_tag"))
+    return model.transform(test_feats).select(
+        F.col("id").alias("post_id"), prob[0].alias("p_not_tag"), prob[1].alias("p_tag"))
 
 
 def training_rows(train: DataFrame, top: DataFrame, k: int,
