@@ -186,3 +186,18 @@ def test_first_question_is_hash_aggregated(spark):
                           "creation_date": T0}])
     plan = timing.first_questions(p)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.lists(st.sampled_from(list("abcdefg")), max_size=4)),
+                min_size=1, max_size=25), st.integers(1, 5))
+def test_top_tags_brute_force(spark, tag_lists, k):
+    from collections import Counter
+
+    from forumlens.plans import tags
+
+    p = posts_df(spark, [{"id": i, "tags": t, "body": "x"} for i, t in enumerate(tag_lists)])
+    got = [(r["rank"], r["tag"], r["n"]) for r in tags.top_tags(p, k).orderBy("rank").collect()]
+    counts = Counter(t for ts in tag_lists if ts for t in ts)
+    want = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:k]
+    assert got == [(i + 1, t, n) for i, (t, n) in enumerate(want)]
