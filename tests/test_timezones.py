@@ -36,3 +36,19 @@ def test_local_time_in_dst_gap_round_trips(new_york):
     assert 'CreationDate="2024-03-10T02:30:00.940000"' in line
     back = xml_dump.typed_rows(xml_dump.render(p, "posts"), "posts").collect()[0]
     assert back["creation_date"] == t
+
+
+@pytest.fixture()
+def ansi_off(spark):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    yield spark
+    spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+@pytest.mark.parametrize("key", ["q1_upvote_ratio", "q2_answer_share", "q5_veterans",
+                                 "op_parse_posts", "op_parse_users", "q0_ingest_audit"])
+def test_parity_without_ansi_mode(ansi_off, key):
+    r = parity.compare(ansi_off, SF_SMALL, key, registry.queries()[key],
+                       registry.oracle_sql()[key])
+    assert r["values_match"] and r["spark_rows"] == r["duck_rows"], r["diff"]
