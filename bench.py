@@ -8,7 +8,8 @@ Runs every end-to-end analysis (Q0-Q7) on ``$BENCH_SF_DIR`` (default
 Each query is executed in full with the ``noop`` sink (all rows computed,
 nothing collected); model queries include their fits.  The XML fixture dump
 is written once before timing starts; ``ingest`` times parsing it into typed
-Parquet tables (posts, users, votes and their bad rows).
+Parquet tables (posts, users, votes and their bad rows).  ``BENCH_EVENT_LOG=<dir>``
+writes Spark's event log there for stage / task timings.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     keys = sys.argv[1:] or HEADLINE
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS", "16")))
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS", "16")),
+                          event_log_dir=os.environ.get("BENCH_EVENT_LOG"))
     qs = registry.queries()
     root = dump_fixture.dump_root(spark, sf_dir)  # fixture set-up, not timed
     # Warm the JVM (class loading, codegen caches) on a tiny query.

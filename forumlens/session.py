@@ -36,17 +36,25 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "forumlens", driver_memory: str = "16g") -> SparkSession:
-    """A local session for tests, the bench and the examples."""
-    spark = (
+                  app: str = "forumlens", driver_memory: str = "16g",
+                  event_log_dir: str | None = None) -> SparkSession:
+    """A local session for tests, the bench and the examples.
+
+    ``event_log_dir`` turns on Spark's event log there (stage and task
+    times for later inspection; the web UI stays off).
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    if event_log_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log_dir))
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)
 
