@@ -30,6 +30,7 @@ def test_line_classes(spark):
         '<row Id="4" Body="raw & amp" />',
         '<row Id="4" Body="a < b" />',
         '<row Id="1" Id="2" />',
+        '<row Id="5" Body="x &bogus; y" />',
         'junk <row Id="7" />',
         '<row Id="12x" PostTypeId="1" />',
         '  <row Id="3" PostTypeId="1" />')
@@ -41,6 +42,7 @@ def test_line_classes(spark):
     assert s['<row Id="4" Body="raw & amp" />']["status"] == "unparsable"
     assert s['<row Id="4" Body="a < b" />']["status"] == "unparsable"
     assert s['<row Id="1" Id="2" />']["status"] == "unparsable"   # repeated attribute
+    assert s['<row Id="5" Body="x &bogus; y" />']["status"] == "unparsable"  # unknown entity
     assert s['junk <row Id="7" />']["status"] == "unparsable"
     assert s['<row Id="12x" PostTypeId="1" />']["status"] == "bad_key"
     ok = s['  <row Id="3" PostTypeId="1" />']
