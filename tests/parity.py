@@ -86,6 +86,7 @@ if __name__ == "__main__":
     spark = local_session(8)
     qs, sqls = entry.queries(), entry.oracle_sql()
     con = duck(sf)
+    n_ok = n_bad = 0
     for k in keys or list(qs):
         if k not in sqls:
             n = qs[k](spark, sf).count()
@@ -93,5 +94,7 @@ if __name__ == "__main__":
             continue
         r = compare(spark, sf, k, qs[k], sqls[k], con)
         ok = r["cols_match"] and r["values_match"] and r["spark_rows"] == r["duck_rows"]
+        n_ok, n_bad = n_ok + ok, n_bad + (not ok)
         print(f"{k:32s} {'OK ' if ok else 'BAD'} spark={r['spark_rows']} duck={r['duck_rows']}"
               + ("" if ok else f" cols={r['spark_cols']} vs {r['duck_cols']} diff={r['diff']}"))
+    print(f"summary: {n_ok} match, {n_bad} differ")
