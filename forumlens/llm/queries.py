@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlens.llm import (langid_crf, lm_lbl, minhash_oph, mix_pareto, quality_mcd, sp_viterbi, warc)
+from forumlens.llm import (langid_crf, line_join, lm_lbl, minhash_oph, mix_pareto, pii_boost, quality_mcd, sp_viterbi,
+                           topk_pivot, warc)
 from forumlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,14 @@ def op1_quality_mcd(spark: SparkSession, d: str) -> DataFrame:
     return quality_mcd.judge(table(spark, d, "documents"))
 
 
+def op2_topk_pivot(spark: SparkSession, d: str) -> DataFrame:
+    return topk_pivot.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op3_line_join(spark: SparkSession, d: str) -> DataFrame:
+    return line_join.report(table(spark, d, "documents"))
+
+
 def op4_minhash_oph(spark: SparkSession, d: str) -> DataFrame:
     return minhash_oph.clusters(table(spark, d, "documents"), width=2)
 
@@ -37,11 +46,25 @@ def op8_langid_crf(spark: SparkSession, d: str) -> DataFrame:
     return langid_crf.identify(table(spark, d, "documents"))
 
 
+def op9_pii_boost(spark: SparkSession, d: str) -> DataFrame:
+    return pii_boost.find(table(spark, d, "documents"))
+
+
 def op10_sp_viterbi(spark: SparkSession, d: str) -> DataFrame:
     enc = sp_viterbi.encode(table(spark, d, "documents"), sp_viterbi.Vocabulary(), check=True)
     return enc.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
 
 
+OP2_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
 OP5_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 h AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS hex FROM p),
@@ -57,9 +80,9 @@ FROM h JOIN m USING (hex)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_mcd, op4_minhash_oph, op5_warc, op6_mix_pareto, op7_lm_lbl,
-                                    op8_langid_crf, op10_sp_viterbi)}
+    return {f.__name__: f for f in (op1_quality_mcd, op2_topk_pivot, op3_line_join, op4_minhash_oph, op5_warc, op6_mix_pareto,
+                                    op7_lm_lbl, op8_langid_crf, op9_pii_boost, op10_sp_viterbi)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc": OP5_SQL}
+    return {"op2_topk_pivot": OP2_SQL, "op5_warc": OP5_SQL}

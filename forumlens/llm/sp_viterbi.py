@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -66,93 +67,106 @@ class Vocabulary:
         return [self.bytes[b] for b in ch.encode("utf-8", "surrogatepass")]
 
 
-def segment(words: list[str], vocab: Vocabulary) -> dict[str, list[int]]:
+def segment(words: list[str], vocab: Vocabulary) -> dict[str, tuple[int, ...]]:
     """Best pieces of each word; ``words`` may come in any order."""
-    tail, out = vocab.tail.get, {}
-    best, back, before = [0.0], [(0, -1)], ""
+    tail, low, out = vocab.tail.get, -math.inf, {}
+    best, frm, pid, before = [0.0], [0], [-1], ""
     for w in sorted(set(words)):
-        same, most = 0, min(len(w), len(before))
+        size, had = len(w), len(before)
+        same, most = 0, size if size < had else had
         while same < most and w[same] == before[same]:
             same += 1
-        del best[same + 1:], back[same + 1:]
-        for end in range(same + 1, len(w) + 1):
-            top, frm, pid, a = -math.inf, end - 1, -1, end - 1
-            hit = tail(w[a:end])
+        del best[same + 1:], frm[same + 1:], pid[same + 1:]
+        for end in range(same + 1, size + 1):
+            at = a = end - 1
+            top, piece = low, -1
+            hit = tail(w[a])
             if hit is None or hit[1] < 0:
                 # A character without a piece of its own may be written in bytes.
                 top = best[a] + vocab.byte_score * len(w[a].encode("utf-8", "surrogatepass"))
-            while hit is not None:
+            while hit:
                 s = best[a] + hit[0]
                 if s > top:
-                    top, frm, pid = s, a, hit[1]
+                    top, at, piece = s, a, hit[1]
                 if not a:
                     break
                 a -= 1
                 hit = tail(w[a:end])
             best.append(top)
-            back.append((frm, pid))
-        ids, at = [], len(w)
-        while at > 0:
-            frm, pid = back[at]
-            ids[:0] = vocab.byte_ids(w[frm:at]) if pid < 0 else [pid]
-            at = frm
-        out[w], before = ids, w
+            frm.append(at)
+            pid.append(piece)
+        ids, at = [], size
+        while at:
+            a, piece = frm[at], pid[at]
+            if piece < 0:
+                ids += vocab.byte_ids(w[a:at])[::-1]
+            else:
+                ids.append(piece)
+            at = a
+        ids.reverse()
+        out[w], before = tuple(ids), w       # tuples of ints cost the garbage collector nothing
     return out
 
 
+def _words(marked: str) -> list[str]:
+    """Marked words of a text whose spaces are marks already."""
+    if MARK + MARK in marked:
+        return WORDS.findall(marked)
+    return marked.replace(MARK, " " + MARK).replace("\n", " \n ").split(" ")     # with some empty strings
+
+
 def marked_words(text: str) -> list[str]:
     """Marked words of a text without marks of its own."""
-    return WORDS.findall(MARK + text.replace(" ", MARK)) if text else []
+    return [w for w in _words(MARK + text.replace(" ", MARK)) if w] if text else []
 
 
 def encode_texts(texts: list[str | None], vocab: Vocabulary, known: dict[str, list[int]]) -> list[list[int] | None]:
     """Ids of each text; ``known`` keeps words from call to call."""
     parts: list = []
-    new: set[str] = set()
+    seen: set[str] = set()
+    own = vocab.byte_ids(MARK)
     for t in texts:
-        if t is None:
-            parts.append(None)
+        if not t:
+            parts.append(t if t is None else [])
             continue
         if MARK in t:            # marks of the text itself are written in bytes
-            pieces = t.split(MARK)
-            ws = marked_words(pieces[0]) or [MARK]
-            for p in pieces[1:]:
-                ws.append("")
-                ws += WORDS.findall(p.replace(" ", MARK))
+            first, *rest = t.split(MARK)
+            ws = [*_words(MARK + first.replace(" ", MARK))]
+            for p in rest:
+                ws += [own, *_words(p.replace(" ", MARK))]
+            seen.update(w for w in ws if w is not own)
         else:
-            ws = marked_words(t)
-        new.update(w for w in ws if w and w not in known)
+            ws = _words(MARK + t.replace(" ", MARK))
+            seen.update(ws)
         parts.append(ws)
-    known.update(segment(list(new), vocab))
-    known[""] = vocab.byte_ids(MARK)
-    out = []
-    for ws in parts:
-        ids = None
-        if ws is not None:
-            ids = []
-            for w in ws:
-                ids += known[w]
-        out.append(ids)
-    return out
+    known.update(segment([w for w in seen if w not in known], vocab))
+    get = known.__getitem__
+    return [ws if ws is None else list(chain.from_iterable(
+        map(get, ws) if own not in ws else (w if w is own else get(w) for w in ws))) for ws in parts]
 
 
 def decode_ids(ids: list[int], piece: list[str | None], byte_of: dict[int, int]) -> str:
-    """The text of ids; ``piece`` is by id, None for bytes and special ids."""
-    out, run = [], bytearray()
-    for i in ids:
-        b = byte_of.get(i)
-        if b is not None:
-            run.append(b)
-            continue
+    """The text of ids; ``piece`` is by id, None for special ids and bytes from 128."""
+    try:
+        text = "".join(map(piece.__getitem__, ids))
+    except TypeError:
+        out, run = [], bytearray()
+        for i in ids:
+            if piece[i] is None:
+                if i in byte_of:
+                    run.append(byte_of[i])
+                continue
+            if run:
+                out.append(run.decode("utf-8", "replace").replace(MARK, "\0" + MARK))
+                run = bytearray()
+            out.append(piece[i].replace("\0", "\0\0"))
         if run:
-            out.append(run.decode("utf-8", "replace"))
-            run = bytearray()
-        p = piece[i]
-        if p is not None:
-            out.append(p.replace(MARK, " "))
-    if run:
-        out.append(run.decode("utf-8", "replace"))
-    text = "".join(out)
+            out.append(run.decode("utf-8", "replace").replace(MARK, "\0" + MARK))
+        # A mark behind an odd zero came from bytes and is the text's own.
+        text = "".join(out)
+        text = re.sub(f"\0(\0|{MARK})|{MARK}", lambda m: m[1] or " ", text)
+        return text[1:] if text.startswith(" ") else text
+    text = text.replace(MARK, " ")
     return text[1:] if text.startswith(" ") else text
 
 
@@ -160,6 +174,8 @@ def _tables(vocab: Vocabulary) -> tuple[list[str | None], dict[int, int]]:
     piece: list[str | None] = [None] * vocab.size
     for p, (_, i) in vocab.score.items():
         piece[i] = p
+    for b in range(128):         # a byte below 128 is a character by itself
+        piece[vocab.bytes[b]] = chr(b)
     return piece, {i: b for b, i in vocab.bytes.items()}
 
 
