@@ -5,7 +5,7 @@ of all words of the corpus, kept in ``BUCKETS`` hashed counters, give a class of
 half a power of two, ties go by hash; any total order keeps the join exact.  Two
 sets with a Jaccard similarity of NUM / DEN or more share a word of their
 prefixes, so prefixes are joined word by word, with filters on length, on the
-position in the prefix and on the Hamming distance of 64-bit word maps (each
+position in the prefix and on the Hamming distance of 128-bit word maps (each
 differing bit stands for a word the sets do not share).  Surviving pairs are
 verified on full sets.
 
@@ -32,7 +32,7 @@ NUM, DEN = 4, 5
 BUCKETS = 1 << 17
 LOW_BITS = 57            # hash bits of a packed word; the rarity class stands above
 NO_ID = (1 << 63) - 1
-BROADCAST_ROWS = 1 << 20     # rows of at most 16 bytes: 16 MB
+BROADCAST_ROWS = 1 << 20     # short rows of three or four numbers: 40 MB
 
 
 def _key() -> Column:
@@ -71,12 +71,17 @@ def line_table(docs: DataFrame, classes: Column) -> DataFrame:
     """doc, line, set hash, size, word map and prefix of every line with a word."""
     def row(s: Column) -> Column:
         n = F.size(s)
-        bits = F.aggregate(s, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(
-            F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))))
+
+        def word_map(half: int) -> Column:
+            own = F.filter(s, lambda x: x.bitwiseAND(64) == 64 * half)
+            return F.aggregate(own, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(
+                F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))))
+
         size = n - F.ceil(n * NUM / DEN).cast("int") + 1
         prefix = F.transform(F.slice(s, 1, F.greatest(size, F.lit(1))),
-                             lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int"))
-        return F.struct(F.xxhash64(s).alias("h"), n.alias("n"), bits.alias("bits"), prefix.alias("prefix"))
+                             lambda x: F.shiftright(x, 7).bitwiseAND(0x7FFFFFFF).cast("int"))
+        return F.struct(F.xxhash64(s).alias("h"), n.alias("n"), word_map(0).alias("map0"),
+                        word_map(1).alias("map1"), prefix.alias("prefix"))
 
     rows = _line_rows(docs).filter(F.col("s").rlike(r"[^\x20\x09-\x0D]"))
     return rows.select("doc", "line", let(word_set(F.col("s"), classes), row).alias("x")).select("doc", "line", "x.*")
@@ -84,7 +89,7 @@ def line_table(docs: DataFrame, classes: Column) -> DataFrame:
 
 def candidates(classes: DataFrame) -> DataFrame:
     """Pairs of classes that pass the prefix, length, position and map filters."""
-    post = classes.select("h", "n", "bits", F.posexplode("prefix").alias("pos", "word"))
+    post = classes.select("h", "n", "map0", "map1", F.posexplode("prefix").alias("pos", "word"))
     a = post.select(*[F.col(c).alias(f"{c}_a") for c in post.columns])
     b = post.select(*[F.col(c).alias(f"{c}_b") for c in post.columns])
     both = F.col("n_a") + F.col("n_b")
@@ -93,7 +98,8 @@ def candidates(classes: DataFrame) -> DataFrame:
     ok = ((F.col("word_a") == F.col("word_b")) & (F.col("h_a") < F.col("h_b"))
           & (F.col("n_a") * DEN >= F.col("n_b") * NUM) & (F.col("n_b") * DEN >= F.col("n_a") * NUM)
           & (F.least("pos_a", "pos_b") + rest >= need)
-          & (F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= both - 2 * need))
+          & (F.bit_count(F.col("map0_a").bitwiseXOR(F.col("map0_b")))
+             + F.bit_count(F.col("map1_a").bitwiseXOR(F.col("map1_b"))) <= both - 2 * need))
     return a.join(b, ok).select("h_a", "h_b").distinct()
 
 
@@ -104,13 +110,11 @@ def _sized(df: DataFrame) -> DataFrame:
 
 def _sets(docs: DataFrame, need: DataFrame, classes: Column) -> DataFrame:
     """Full sets of the first lines (doc, line) of ``need``."""
-    at = need.select(F.col("h"), F.col("first.doc").alias("d"), F.col("first.line").alias("l"))
-    ids = _sized(written(at.select(F.col("d").alias("i")).distinct(), "lines-docs"))
-    some = docs.select(_key(), "doc_id", "text").join(ids, F.col("doc") == F.col("i"), "left_semi")
-    rows = _line_rows(some).join(at, (F.col("doc") == F.col("d")) & (F.col("line") == F.col("l")))
+    at = _sized(need.select(F.col("h"), F.col("first.doc").alias("d"), F.col("first.line").alias("l")))
+    rows = _line_rows(docs).join(at, (F.col("doc") == F.col("d")) & (F.col("line") == F.col("l")))
     sets = rows.select("h", word_set(F.col("s"), classes).alias("set"))
     # Where rows repeat a doc_id the set with the hash that was joined is the one.
-    return sets.filter(F.xxhash64("set") == F.col("h")).dropDuplicates(["h"])
+    return sets.filter(F.xxhash64("set") == F.col("h")).groupBy("h").agg(F.first("set").alias("set"))
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -118,19 +122,21 @@ def judged(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     classes = rarity(docs)
     lines = written(line_table(docs, classes), "lines")
-    group = lines.groupBy("h", "n", "bits").agg(F.min(F.struct("doc", "line")).alias("first"),
+    group = lines.groupBy("h", "n", "map0", "map1").agg(F.min(F.struct("doc", "line")).alias("first"),
                                                 F.first("prefix").alias("prefix"))
     group = written(group, "lines-classes")
     pairs = written(candidates(group), "lines-pairs")
     used = pairs.select(F.col("h_a").alias("u")).union(pairs.select(F.col("h_b").alias("u"))).distinct()
     need = written(group.select("h", "first").join(used, F.col("h") == F.col("u"), "left_semi"), "lines-need")
-    sets = written(_sets(docs, need, classes).join(need.select(F.col("h").alias("g"), "first"),
-                                                   F.col("h") == F.col("g")).select("h", "first", "set"), "lines-sets")
-    a = sets.select(F.col("h").alias("ga"), F.col("first").alias("first_a"), F.col("set").alias("set_a"))
-    b = sets.select(F.col("h").alias("gb"), F.col("first").alias("first_b"), F.col("set").alias("set_b"))
+    sets = _sets(docs, need, classes)
+    a = sets.select(F.col("h").alias("ga"), F.col("set").alias("set_a"))
+    b = sets.select(F.col("h").alias("gb"), F.col("set").alias("set_b"))
     shared = F.size(F.array_intersect("set_a", "set_b"))
     links = pairs.join(a, F.col("h_a") == F.col("ga")).join(b, F.col("h_b") == F.col("gb"))
-    links = links.filter(DEN * shared >= NUM * (F.size("set_a") + F.size("set_b") - shared))
+    links = links.filter(DEN * shared >= NUM * (F.size("set_a") + F.size("set_b") - shared)).select("h_a", "h_b")
+    at = _sized(need)
+    links = links.join(at.select(F.col("h").alias("ga"), F.col("first").alias("first_a")), F.col("h_a") == F.col("ga"))
+    links = links.join(at.select(F.col("h").alias("gb"), F.col("first").alias("first_b")), F.col("h_b") == F.col("gb"))
     later = F.col("first_a") > F.col("first_b")
     ends = links.select(F.explode(F.array(F.struct(F.col("h_a").alias("h"), later.alias("later")),
                                           F.struct(F.col("h_b").alias("h"), (~later).alias("later")))).alias("x"))
