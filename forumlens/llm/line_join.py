@@ -12,7 +12,10 @@ verified on full sets.
 Lines with equal sets are one class, represented by the first line in (doc_id,
 line) order, before anything is joined, so a line that a third of the corpus
 repeats is one row.  A line goes if an earlier line of the corpus has its set, or
-if its class's first line is similar to the first line of an earlier class.
+if its class's first line is similar to the first line of an earlier class; every
+such line is named with an earlier line it matches.  One confirmed pair decides a
+class, so the other pairs of a large group of variants are not enumerated; a
+class whose hub pairs all fail is compared with every candidate.
 Nothing is capped: broadcasts are used below a counted bound, joins beyond it.
 
 Defined cases: a null text has no lines, lines without words are never removed,
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from forumlens.llm.common import let, text_of, words, written
 
@@ -87,20 +91,56 @@ def line_table(docs: DataFrame, classes: Column) -> DataFrame:
     return rows.select("doc", "line", let(word_set(F.col("s"), classes), row).alias("x")).select("doc", "line", "x.*")
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Pairs of classes that pass the prefix, length, position and map filters."""
-    post = classes.select("h", "n", "map0", "map1", F.posexplode("prefix").alias("pos", "word"))
-    a = post.select(*[F.col(c).alias(f"{c}_a") for c in post.columns])
-    b = post.select(*[F.col(c).alias(f"{c}_b") for c in post.columns])
-    both = F.col("n_a") + F.col("n_b")
+def _postings(classes: DataFrame) -> DataFrame:
+    return classes.select("h", "first", "n", "map0", "map1", F.posexplode("prefix").alias("pos", "word"))
+
+
+def _may_match(a, b) -> Column:
+    """The filters on two postings (fields by name) of one word; ``a`` must come first."""
+    both = a("n") + b("n")
     need = F.ceil(both * NUM / (NUM + DEN)).cast("int")       # shared words of a similar pair
-    rest = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
-    ok = ((F.col("word_a") == F.col("word_b")) & (F.col("h_a") < F.col("h_b"))
-          & (F.col("n_a") * DEN >= F.col("n_b") * NUM) & (F.col("n_b") * DEN >= F.col("n_a") * NUM)
-          & (F.least("pos_a", "pos_b") + rest >= need)
-          & (F.bit_count(F.col("map0_a").bitwiseXOR(F.col("map0_b")))
-             + F.bit_count(F.col("map1_a").bitwiseXOR(F.col("map1_b"))) <= both - 2 * need))
-    return a.join(b, ok).select("h_a", "h_b").distinct()
+    rest = F.least(a("n") - a("pos"), b("n") - b("pos"))
+    apart = (F.bit_count(a("map0").bitwiseXOR(b("map0"))) + F.bit_count(a("map1").bitwiseXOR(b("map1"))))
+    return ((a("first") < b("first")) & (a("n") * DEN >= b("n") * NUM) & (b("n") * DEN >= a("n") * NUM)
+            & (F.least(a("pos"), b("pos")) + rest >= need) & (apart <= both - 2 * need))
+
+
+def _suffixed(post: DataFrame, end: str) -> DataFrame:
+    return post.select(*[F.col(c).alias(f"{c}_{end}") for c in post.columns])
+
+
+def _of(end: str):
+    return lambda c: F.col(f"{c}_{end}")
+
+
+PAIR = ["h_a", "first_a", "h_b"]
+
+
+def candidates(classes: DataFrame) -> DataFrame:
+    """Pairs (earlier a, later b) that pass the filters, and whether b is ``covered``.
+
+    At each word the earliest posting is the hub.  Where the hub may match b,
+    only that pair is emitted: b is covered there, and a group of variants of one
+    line costs its size, not its square.
+    """
+    post = _postings(classes).repartition("word")
+    hub = F.min(F.struct("first", "h", "n", "map0", "map1", "pos")).over(W.partitionBy("word"))
+    seen = post.withColumn("hub", hub)
+    covered = _may_match(lambda c: F.col(f"hub.{c}"), F.col)
+    seen = seen.withColumn("covered", covered)
+    star = seen.filter("covered").select(F.col("hub.h").alias("h_a"), F.col("hub.first").alias("first_a"),
+                                         F.col("h").alias("h_b"), F.lit(True).alias("covered"))
+    a, b = _suffixed(post, "a"), _suffixed(seen.filter(~F.col("covered")).select(*post.columns), "b")
+    rest = a.join(b, (F.col("word_a") == F.col("word_b")) & _may_match(_of("a"), _of("b")))
+    both = star.union(rest.select(*PAIR, F.lit(False).alias("covered")))
+    return both.groupBy(*PAIR).agg(F.max("covered").alias("covered"))
+
+
+def _all_candidates(classes: DataFrame, later: DataFrame) -> DataFrame:
+    """Every pair that passes the filters for the few classes ``later`` (h)."""
+    own = _sized(written(_postings(classes.join(later, classes["h"] == later["u"], "left_semi")), "lines-open"))
+    a, b = _suffixed(_postings(classes), "a"), _suffixed(own, "b")
+    return a.join(b, (F.col("word_a") == F.col("word_b")) & _may_match(_of("a"), _of("b"))).select(*PAIR).distinct()
 
 
 def _sized(df: DataFrame) -> DataFrame:
@@ -117,15 +157,8 @@ def _sets(docs: DataFrame, need: DataFrame, classes: Column) -> DataFrame:
     return sets.filter(F.xxhash64("set") == F.col("h")).groupBy("h").agg(F.first("set").alias("set"))
 
 
-def judged(docs: DataFrame) -> DataFrame:
-    """doc, line, class (first doc and line), number of links and ``kept`` per line with a word."""
-    docs = docs.select("doc_id", "text")
-    classes = rarity(docs)
-    lines = written(line_table(docs, classes), "lines")
-    group = lines.groupBy("h", "n", "map0", "map1").agg(F.min(F.struct("doc", "line")).alias("first"),
-                                                F.first("prefix").alias("prefix"))
-    group = written(group, "lines-classes")
-    pairs = written(candidates(group), "lines-pairs")
+def _confirmed(docs: DataFrame, group: DataFrame, pairs: DataFrame, classes: Column) -> DataFrame:
+    """(h, match): the earliest first line that a class's full set is similar to."""
     used = pairs.select(F.col("h_a").alias("u")).union(pairs.select(F.col("h_b").alias("u"))).distinct()
     need = written(group.select("h", "first").join(used, F.col("h") == F.col("u"), "left_semi"), "lines-need")
     sets = _sets(docs, need, classes)
@@ -133,33 +166,45 @@ def judged(docs: DataFrame) -> DataFrame:
     b = sets.select(F.col("h").alias("gb"), F.col("set").alias("set_b"))
     shared = F.size(F.array_intersect("set_a", "set_b"))
     links = pairs.join(a, F.col("h_a") == F.col("ga")).join(b, F.col("h_b") == F.col("gb"))
-    links = links.filter(DEN * shared >= NUM * (F.size("set_a") + F.size("set_b") - shared)).select("h_a", "h_b")
-    at = _sized(need)
-    links = links.join(at.select(F.col("h").alias("ga"), F.col("first").alias("first_a")), F.col("h_a") == F.col("ga"))
-    links = links.join(at.select(F.col("h").alias("gb"), F.col("first").alias("first_b")), F.col("h_b") == F.col("gb"))
-    later = F.col("first_a") > F.col("first_b")
-    ends = links.select(F.explode(F.array(F.struct(F.col("h_a").alias("h"), later.alias("later")),
-                                          F.struct(F.col("h_b").alias("h"), (~later).alias("later")))).alias("x"))
-    of = written(ends.groupBy("x.h").agg(F.count("*").alias("n_links"), F.max("x.later").alias("later")), "lines-links")
-    cls = group.select(F.col("h").alias("g"), "first").join(of, F.col("g") == F.col("h"), "left").select(
-        "g", "first", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("later", F.lit(False)).alias("later"))
-    cls = written(cls, "lines-judged")
+    links = links.filter(DEN * shared >= NUM * (F.size("set_a") + F.size("set_b") - shared))
+    return links.groupBy(F.col("h_b").alias("h")).agg(F.min("first_a").alias("match"))
+
+
+def judged(docs: DataFrame) -> DataFrame:
+    """doc, line, match (an earlier similar or equal line, else the line itself) and ``kept``."""
+    docs = docs.select("doc_id", "text")
+    classes = rarity(docs)
+    lines = written(line_table(docs, classes), "lines")
+    group = lines.groupBy("h", "n", "map0", "map1").agg(F.min(F.struct("doc", "line")).alias("first"),
+                                                        F.first("prefix").alias("prefix"))
+    group = written(group, "lines-classes")
+    pairs = written(candidates(group), "lines-pairs")
+    found = written(_confirmed(docs, group, pairs, classes), "lines-found")
+    # Covered classes without a confirmed pair: their other pairs were left out.
+    open_ = pairs.filter("covered").select(F.col("h_b").alias("u")).distinct().join(
+        found, F.col("u") == F.col("h"), "left_anti")
+    open_ = written(open_, "lines-left")
+    if not open_.isEmpty():
+        more = written(_all_candidates(group, open_), "lines-more")
+        found = found.union(_confirmed(docs, group, more, classes))
+    cls = group.select(F.col("h").alias("g"), "first").join(found, F.col("g") == F.col("h"), "left")
+    cls = written(cls.select("g", "first", "match"), "lines-judged")
     own = lines.select("doc", "line", "h").join(cls, F.col("h") == F.col("g"))
-    kept = (F.col("first") == F.struct("doc", "line")) & ~F.col("later")
-    return own.select("doc", "line", "first", "n_links", kept.alias("kept"))
+    kept = (F.col("first") == F.struct("doc", "line")) & F.col("match").isNull()
+    return own.select("doc", "line", F.when(F.col("first") == F.struct("doc", "line"), F.coalesce("match", "first"))
+                      .otherwise(F.col("first")).alias("match"), kept.alias("kept"))
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Per document: its lines with class, links and decision, and their counts."""
+    """Per document: its lines with decision and the line each repeats, and their counts."""
     got = judged(docs).groupBy("doc").agg(F.sort_array(F.collect_list(F.struct(
-        "line", F.nullif(F.col("first.doc"), F.lit(NO_ID)).alias("class_doc"),
-        F.col("first.line").alias("class_line"), "n_links", "kept"))).alias("lines"))
+        "line", F.nullif(F.col("match.doc"), F.lit(NO_ID)).alias("match_doc"),
+        F.col("match.line").alias("match_line"), "kept"))).alias("lines"))
     ids = docs.select("doc_id", _key()).distinct()
     all_ = ids.join(got.withColumnRenamed("doc", "d"), F.col("doc") == F.col("d"), "left")
     lines = F.coalesce("lines", F.array().cast(got.schema["lines"].dataType))
     return all_.select("doc_id", F.size(lines).cast("long").alias("n_lines"),
                        F.size(F.filter(lines, lambda x: ~x["kept"])).cast("long").alias("n_removed"),
-                       F.aggregate(lines, F.lit(0).cast("long"), lambda a, x: a + x["n_links"]).alias("n_links"),
                        lines.alias("lines"))
 
 

@@ -173,8 +173,26 @@ def line_truth(rows):
 
 def test_lines_against_brute_force(docs, texts):
     some = docs.filter("doc_id < 120")
-    got = {(r.doc_id, x["line"]): x["kept"] for r in line_join.report(some).collect() for x in r.lines}
-    assert got == line_truth([(i, t) for i, t in texts.items() if i < 120])
+    rows = [(r.doc_id, x) for r in line_join.report(some).collect() for x in r.lines]
+    assert {(i, x["line"]): x["kept"] for i, x in rows} == line_truth([(i, t) for i, t in texts.items() if i < 120])
+    for i, x in rows:            # a removed line names an earlier line that it matches
+        at = (x["match_doc"], x["match_line"])
+        a, b = (set(split_words(texts[d].split("\n")[k].lower())) for d, k in (at, (i, x["line"])))
+        assert (at == (i, x["line"])) == x["kept"] and at <= (i, x["line"]) and 5 * len(a & b) >= 4 * len(a | b)
+
+
+def test_lines_of_variants(spark):
+    rng = np.random.default_rng(6)
+    base = [f"b{i}" for i in range(40)]
+    rows = []
+    for i in range(150):         # variants of one line, some of them not similar to the first
+        w = list(base)
+        for k in rng.integers(0, 40, rng.integers(0, 7)):
+            w[k] = f"x{rng.integers(0, 9)}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, x["line"]): x["kept"] for r in line_join.report(df).collect() for x in r.lines}
+    assert got == line_truth(rows)
 
 
 def test_lines_edges(edge, none):
