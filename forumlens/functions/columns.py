@@ -6,13 +6,19 @@ it stays inside whole-stage code generation; no Python runs per row.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's for equal results.
-ENTRY_MARKER = "<row "          # a dump line that holds an entry
-VALID_ROW_PATTERN = "<row.*/>"  # searched anywhere in the line
-TAG_PATTERN = "<(.*?)>"         # one tag inside the Tags attribute
+# "(?d)" lets "." match every character but a line feed, as the reference's
+# pattern dialect does; without it U+0085, U+2028 and U+2029 would stop it too.
+ENTRY_MARKER = "<row "              # a dump line that holds an entry
+VALID_ROW_PATTERN = "(?d)<row.*/>"  # searched anywhere in the line
+TAG_PATTERN = "(?d)<(.*?)>"         # one tag inside the Tags attribute
+ROW_STARTS = ("<row ", "<row\t", "<row\r")     # a row element's name and XML white space
 QUESTION, ANSWER = 1, 2         # PostTypeId codes
 UPVOTE, DOWNVOTE = 2, 3         # VoteTypeId codes
 
@@ -28,6 +34,11 @@ def is_entry(line: Column | str = "value") -> Column:
     return col_of(line).contains(ENTRY_MARKER)
 
 
+def is_row_element(line: Column | str = "value") -> Column:
+    """A row start tag followed by any white space occurs in the line."""
+    return reduce(or_, [col_of(line).contains(s) for s in ROW_STARTS])
+
+
 def is_valid(line: Column | str = "value") -> Column:
     """A self-closing row element occurs somewhere in the line (regex search)."""
     return col_of(line).rlike(VALID_ROW_PATTERN)

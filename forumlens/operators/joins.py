@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast a side whose row count is bounded by construction.
 
-    ``max_rows`` documents the bound (e.g. a ``limit(k)`` result); the plan
-    carries the limit, so the broadcast can never exceed it.
+    ``max_rows`` is the bound (e.g. of an already collected ``k``-row relation);
+    a side that exceeds it is an error, rows are never dropped.
     """
     if max_rows > 1_000_000:
         raise ValueError("broadcast_bounded is for small, provably bounded sides")
-    return F.broadcast(df.limit(max_rows))
+    found = df.limit(max_rows + 1).count()
+    if found > max_rows:
+        raise ValueError(f"the side has more than the stated {max_rows} rows")
+    return F.broadcast(df)

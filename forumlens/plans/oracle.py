@@ -309,9 +309,9 @@ SELECT id, 'seconds', strftime(creation_date, '%Y-%m-%dT%H:%M:%S'),
 SELECT id AS post_id,
        CASE WHEN lowered = '' THEN [''] WHEN trimmed = '' THEN CAST([] AS VARCHAR[])
             ELSE string_split_regex(trimmed, '[ \t\n\x0B\f\r]') END AS words
-FROM (SELECT id, lower(body) AS lowered,
-             regexp_replace(lower(body), '[ \t\n\x0B\f\r]+$', '') AS trimmed
-      FROM tagged_t WHERE body IS NOT NULL)""")
+FROM (SELECT id, lower(coalesce(body, '-999')) AS lowered,
+             regexp_replace(lower(coalesce(body, '-999')), '[ \t\n\x0B\f\r]+$', '') AS trimmed
+      FROM tagged_t)""")
 
     # filters
     d["op_filter_quick"] = with_fixtures("""

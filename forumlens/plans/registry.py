@@ -71,7 +71,7 @@ def _q6_post_vectors(spark, d):
 
 def _op_hashing_tf(spark, d):
     t = tables.tagged_posts(spark, d)
-    feats = tags.featurizer().fit(t).transform(t.select("id", "body"))
+    feats = tags.featurizer().fit(t).transform(t.select("id", tags.body_text()))
     return feats.select(F.col("id").alias("post_id"), "features")
 
 

@@ -13,7 +13,7 @@ from pyspark.ml.classification import LogisticRegression, OneVsRest
 from pyspark.ml.feature import HashingTF, Tokenizer, Word2Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.operators.joins import broadcast_bounded
@@ -54,26 +54,26 @@ def top_tags(posts: DataFrame, k: int = TOP_TAGS) -> DataFrame:
 
 # ------------------------------------------------------------------ Q6 --
 
-W2V_MAX_PARTITIONS = 64
+# Word2Vec averages models of partitions, so their number is part of the result:
+# a constant, never taken from the layout of the input.
+W2V_PARTITIONS = 8
+MISSING_BODY = "-999"    # text of a post without a body
 
 
 def fit_tag_embeddings(posts: DataFrame, vector_size: int = W2V_VECTOR_SIZE,
-                       seed: int = W2V_SEED, num_partitions: int | None = None,
+                       seed: int = W2V_SEED, num_partitions: int = W2V_PARTITIONS,
                        min_count: int = 5):
     """Word2Vec over the tag arrays of tagged posts.
 
     The vocabulary (distinct tags with >= ``min_count`` uses) and the model
     live on the driver; their size grows with the number of distinct tags,
     not with the number of posts.  Training runs on ``num_partitions``
-    partitions (Spark repartitions the sentences), by default as many as the
-    input has, up to ``W2V_MAX_PARTITIONS``: the work spreads with the data
-    instead of passing through one task, while the per-iteration merge of
-    the partition-local models (vocabulary x vector size each) stays
-    bounded.  ``1`` reproduces a single-partition fit exactly.
+    partitions.  Sentences are hash-partitioned by post id and sorted within
+    a partition first, so the result depends on the arguments and the posts
+    only, not on files or cores.  ``1`` is a single-partition fit.
     """
-    sentences = tagged(posts).select("id", "tags")
-    if num_partitions is None:
-        num_partitions = max(1, min(W2V_MAX_PARTITIONS, sentences.rdd.getNumPartitions()))
+    sentences = (tagged(posts).select("id", "tags").repartition(num_partitions, "id")
+                 .sortWithinPartitions("id", "tags"))
     w2v = Word2Vec(inputCol="tags", outputCol="vector", vectorSize=vector_size, seed=seed,
                    numPartitions=num_partitions, minCount=min_count)
     return w2v.fit(sentences)
@@ -114,6 +114,11 @@ def post_vectors(model, posts: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ Q7 --
 
+def body_text() -> Column:
+    """The body, with the fixed text for a missing one."""
+    return F.coalesce("body", F.lit(MISSING_BODY)).alias("body")
+
+
 def featurizer(num_features: int = NUM_FEATURES) -> Pipeline:
     """Body text -> lower-cased white-space tokens -> hashed term counts."""
     return Pipeline(stages=[
@@ -125,7 +130,7 @@ def featurizer(num_features: int = NUM_FEATURES) -> Pipeline:
 def tokens(posts: DataFrame) -> DataFrame:
     """``(post_id, words)`` as the Tokenizer produces them."""
     tok = Tokenizer(inputCol="body", outputCol="words")
-    return tok.transform(posts.where(F.col("body").isNotNull()).select("id", "body")).select(
+    return tok.transform(posts.select("id", body_text())).select(
         F.col("id").alias("post_id"), "words")
 
 
@@ -137,7 +142,7 @@ def one_tag_model(train: DataFrame, tag: str = TRIAL_TAG, num_features: int = NU
     """The single-tag model: tokenise + hash each body once, explode the
     tags, label 1 for rows of ``tag``, fit logistic regression."""
     feats = featurizer(num_features).fit(train).transform(
-        tagged(train).select("tags", "body"))
+        tagged(train).select("tags", body_text()))
     rows = feats.select(F.explode("tags").alias("tag"), "features").select(
         (F.col("tag") == tag).cast("double").alias("label"), "features")
     return logistic_regression().fit(rows)
@@ -148,7 +153,7 @@ def one_tag_probabilities(train: DataFrame, test: DataFrame, tag: str = TRIAL_TA
     """``(post_id, p_not_tag, p_tag)`` of the single-tag model on test posts."""
     model = one_tag_model(train, tag, num_features)
     test_feats = featurizer(num_features).fit(test).transform(
-        tagged(test).select("id", "body"))
+        tagged(test).select("id", body_text()))
     prob = vector_to_array("probability")
     return model.transform(test_feats).select(
         F.col("id").alias("post_id"), prob[0].alias("p_not_tag"), prob[1].alias("p_tag"))
@@ -162,7 +167,7 @@ def training_rows(train: DataFrame, top: DataFrame, k: int,
     Bodies are featurised once per post, before the explode.
     """
     feats = featurizer(num_features).fit(train).transform(
-        tagged(train).select("id", "tags", "body"))
+        tagged(train).select("id", "tags", body_text()))
     rows = feats.select(F.explode("tags").alias("tag"), "features")
     labels = broadcast_bounded(top.select("tag", (F.col("rank") - 1).cast("double")
                                           .alias("label")), k)
@@ -175,7 +180,7 @@ def _fit_per_post(train: DataFrame, top: DataFrame, k: int, num_features: int,
     """One binary model per top tag on one row per post (label: the post has the tag)."""
     from multiprocessing.pool import ThreadPool
 
-    feats = (featurizer(num_features).fit(train).transform(tagged(train).select("tags", "body"))
+    feats = (featurizer(num_features).fit(train).transform(tagged(train).select("tags", body_text()))
              .select("tags", "features").persist(StorageLevel.MEMORY_AND_DISK))
     names = [r["tag"] for r in top.orderBy("rank").collect()]  # <= k names
 
@@ -224,7 +229,7 @@ def tag_probabilities(train: DataFrame, test: DataFrame, k: int = TOP_TAGS,
     else:
         raise ValueError(f"unknown training {training!r}")
     test_feats = (featurizer(num_features).fit(test)
-                  .transform(tagged(test).select(F.col("id").alias("post_id"), "body"))
+                  .transform(tagged(test).select(F.col("id").alias("post_id"), body_text()))
                   .select("post_id", "features")
                   .persist(StorageLevel.MEMORY_AND_DISK))
     scored = None

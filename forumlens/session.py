@@ -20,6 +20,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join also where that costs the aggregate above it a shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A partition is skewed when it is 5x the median and above 256 MB.
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
@@ -62,9 +64,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
-    Uses ``spark.checkpoint.dir`` when the cluster sets it; otherwise (local
-    runs, tests) creates a private folder and registers it, so that
-    ``DataFrame.checkpoint()`` and written intermediate tables have a home.
+    Uses ``spark.checkpoint.dir`` when the cluster sets it.  A local master
+    (one machine: runs by hand, tests) gets a private folder otherwise; on a
+    cluster a missing setting is an error, since executors would each write
+    to a disk of their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -72,6 +75,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="forumlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -100,16 +105,16 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 
 def size_shuffles(spark: SparkSession, total_bytes: int,
                   bytes_per_partition: int = 1 << 30,
-                  lo: int = 200, hi: int = 50_000) -> int:
+                  lo: int = 200) -> int:
     """Size the first shuffle of a job from its input size.
 
     Adaptive execution starts every shuffle with ``initialPartitionNum``
     partitions and coalesces them towards the advisory size (128 MB), so the
     start only has to be large enough that no reducer partition of the
-    biggest shuffle outgrows executor memory: one partition per GiB of input,
-    between ``lo`` and ``hi``.  Returns the partition count it set.
+    biggest shuffle outgrows executor memory: one partition per GiB of input
+    and ``lo`` at least.  Returns the partition count it set.
     """
-    n = max(lo, min(hi, -(-total_bytes // bytes_per_partition)))
+    n = max(lo, -(-total_bytes // bytes_per_partition))
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n = max(n, current)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))

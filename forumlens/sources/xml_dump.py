@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from forumlens.functions.columns import (
     format_timestamp,
     is_entry,
+    is_row_element,
     is_valid,
     parse_timestamp,
     render_tags,
@@ -131,7 +132,7 @@ def parse_lines(lines: DataFrame, table: str) -> DataFrame:
         ], F.col("_x." + CORRUPT).isNotNull().alias("_corrupt")))))
     key = F.col(KEY_COLUMN[table])
     status = (F.when(F.col("_entry") & ~F.col("_valid"), F.lit(TRUNCATED))
-              .when(F.col("_valid") & ~F.col("_entry"), F.lit(NOT_ROW))
+              .when(F.col("_valid") & ~is_row_element("value"), F.lit(NOT_ROW))
               .when(~F.col("_valid"), F.lit(MARKUP))
               .when(F.col("_corrupt"), F.lit(UNPARSABLE))
               .when(key.isNull(), F.lit(BAD_KEY))
@@ -176,54 +177,36 @@ def audit(lines: DataFrame, table: str = "posts") -> DataFrame:
 # ------------------------------------------------------------------ files --
 
 # Codecs whose files Spark cannot split: one such file is read by one task.
-NON_SPLITTABLE = (".gz", ".gzip", ".zst", ".zstd", ".snappy", ".lz4", ".deflate")
-
-
-def _file_sizes(spark: SparkSession, files: list[str]) -> list[int]:
-    """Byte sizes of ``files`` from one listing per parent folder (driver side,
-    bounded by the number of files, not by their content)."""
-    sc = spark.sparkContext
-    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
-    wanted = {jvm.org.apache.hadoop.fs.Path(f).toUri().getPath(): f for f in files}
-    sizes = {}
-    for parent in {os.path.dirname(p) for p in wanted}:
-        jp = jvm.org.apache.hadoop.fs.Path(files[0]).getFileSystem(conf).makeQualified(
-            jvm.org.apache.hadoop.fs.Path(parent))
-        for st in jp.getFileSystem(conf).listStatus(jp):
-            path = st.getPath().toUri().getPath()
-            if path in wanted:
-                sizes[path] = st.getLen()
-    return [sizes.get(p, 0) for p in wanted]
-
-
-def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+NON_SPLITTABLE = r"\.(gz|gzip|zst|zstd|snappy|lz4|deflate)$"
+
+
+def read_lines(spark: SparkSession, path: str, oversized: int | None = None) -> DataFrame:
     """``value STRING`` per line of every (optionally compressed) file under ``path``.
 
-    Plain and bzip2 text is split by ``spark.sql.files.maxPartitionBytes``.
-    A gzip (or other non-splittable) file arrives as one partition, so when
-    such files are fewer than ``min_partitions`` (default: the session's
-    shuffle partitions) or one of them is much larger than the others (a
-    source holding a large share of all rows), the lines are spread by a
-    round-robin repartition before the expensive parse.  The repartition is
-    retry-safe (Spark sorts before round-robin partitioning).
+    Plain and bzip2 text is split by ``spark.sql.files.maxPartitionBytes``.  A
+    file of another codec is one partition; those of more than ``oversized``
+    bytes (default: eight times that setting) are read apart and their lines
+    spread before the expensive parse.  All other files are not shuffled.  The
+    sizes come from a distributed listing, files are told apart by Spark's file
+    metadata, so folder and file names may hold any character.
     """
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    limit = oversized or 8 * split
     lines = spark.read.text(path)
-    files = lines.inputFiles()
-    packed = [f for f in files if f.lower().endswith(NON_SPLITTABLE)]
-    if not packed:
+    listed = spark.read.format("binaryFile").load(path).select("path", "length")
+    packed = listed.where(F.lower("path").rlike(NON_SPLITTABLE) & (F.col("length") > limit))
+    total = packed.agg(F.sum("length")).first()[0]
+    if not total:
         return lines
-    target = min_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sizes = _file_sizes(spark, packed)
-    mean = sum(sizes) / max(len(sizes), 1)
-    unbalanced = mean > 0 and max(sizes) > 4 * mean
-    if lines.rdd.getNumPartitions() < target or unbalanced:
-        lines = lines.repartition(max(target, len(files)))
-    return lines
+    big = ((F.col("_metadata.file_size") > limit)
+           & F.lower("_metadata.file_name").rlike(NON_SPLITTABLE))
+    spread = lines.where(big).select("value").repartition(int(-(-total // min(limit, split))))
+    return lines.where(~big).select("value").union(spread)
 
 
 def ingest(spark: SparkSession, dump_root: str, out_root: str,
            tables: tuple[str, ...] = ("posts", "users", "votes"),
-           min_partitions: int | None = None) -> dict[str, str]:
+           oversized: int | None = None) -> dict[str, str]:
     """Parse ``dump_root/<table>/`` once and write Parquet under ``out_root``.
 
     Each table is written as ``out_root/<table>`` partitioned by ``status``:
@@ -234,7 +217,7 @@ def ingest(spark: SparkSession, dump_root: str, out_root: str,
     """
     written = {}
     for table in tables:
-        lines = read_lines(spark, os.path.join(dump_root, table), min_partitions)
+        lines = read_lines(spark, os.path.join(dump_root, table), oversized)
         p = parse_lines(lines, table).where(F.col("status") != MARKUP)
         names = [name for _, name, _ in ATTRIBUTES[table]]
         out = p.select(*names,

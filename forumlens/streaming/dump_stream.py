@@ -3,15 +3,13 @@
 The same line parser as the batch ingest (``xml_dump.parse_lines``) runs over
 a Structured Streaming file source; the stream is stateless, so each
 micro-batch is parsed and appended to Parquet partitioned by ``status``.  The
-file sink's commit log and the checkpoint under the session's shared
-checkpoint folder give exactly-once output across restarts and lost
+file sink's commit log and the caller's checkpoint folder, the same one for
+every run of a stream, give exactly-once output across restarts and lost
 executors.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,16 +18,15 @@ from forumlens.sources import xml_dump
 
 
 def start_ingest(spark: SparkSession, dump_dir: str, table: str, out_dir: str,
-                 checkpoint: str | None = None, available_now: bool = True,
+                 checkpoint: str, available_now: bool = True,
                  max_files_per_trigger: int = 64) -> StreamingQuery:
     """Start a stream that ingests new files of ``dump_dir`` into ``out_dir``.
 
     ``available_now`` processes everything present and stops (a catch-up
-    job); otherwise the stream keeps polling the folder.
+    job); otherwise the stream keeps polling the folder.  ``checkpoint`` must
+    outlive the application: a folder of the session would be new after a
+    restart, and the sink would take the next batch for one it has.
     """
-    if checkpoint is None:
-        from forumlens.session import checkpoint_dir
-        checkpoint = os.path.join(checkpoint_dir(spark), f"stream-{table}")
     lines = (spark.readStream.format("text")
              .option("maxFilesPerTrigger", max_files_per_trigger)
              .load(dump_dir))

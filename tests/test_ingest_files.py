@@ -49,8 +49,6 @@ def test_hand_written_gzip_file(spark, scratch):
         f.write('  <row Id="3" PostId="oops" VoteTypeId="3" />\n')
         f.write("</votes>\n")
     lines = xml_dump.read_lines(spark, d)
-    assert lines.rdd.getNumPartitions() >= 2  # a single .gz is spread before parsing
-    typed = xml_dump.typed_rows(lines, "votes").collect()
     assert sorted((r["post_id"], r["vote_type_id"]) for r in typed) == [(7, 2), (7, 3)]
     audit = xml_dump.audit(lines, "votes").collect()[0]
     assert (audit["n_lines"], audit["n_entries"], audit["n_valid"]) == (6, 3, 3)
@@ -89,13 +87,35 @@ def test_one_big_gzip_among_small_ones_is_spread(spark, scratch):
         with gzip.open(os.path.join(d, f"part-{i}.xml.gz"), "wt") as f:
             for j in range(n):
                 f.write(f'  <row Id="{i * 10000 + j}" PostTypeId="1" />\n')
-    lines = xml_dump.read_lines(spark, d, min_partitions=4)
-    assert lines.rdd.getNumPartitions() >= 12
+    lines = xml_dump.read_lines(spark, d, oversized=2000)
     sizes = lines.rdd.glom().map(len).collect()
     assert max(sizes) < 4000      # the big file no longer sits in one task
     assert xml_dump.typed_rows(lines, "posts").count() == 4000 + 11 * 20
 
 
+def test_balanced_files_are_not_shuffled_and_names_need_no_encoding(spark, scratch):
+    d = os.path.join(scratch, "dump root", "posts")
+    os.makedirs(d)
+    for i in range(3):
+        with gzip.open(os.path.join(d, f"part {i}%20.xml.gz"), "wt") as f:
+            f.write(f'  <row Id="{i}" PostTypeId="1" />\n')
+    lines = xml_dump.read_lines(spark, d)
+    assert "Exchange" not in lines._jdf.queryExecution().executedPlan().toString()
+    assert xml_dump.typed_rows(lines, "posts").count() == 3
+    spread = xml_dump.read_lines(spark, d, oversized=1)
+    assert xml_dump.typed_rows(spread, "posts").count() == 3
+
+
+def test_any_character_but_line_feed_may_stand_in_a_row(spark):
+    ends = ["\u0085", "\u2028", "\u2029"]
+    rows = [(f'<row Id="{i}" PostTypeId="1" Body="a{c}b" />',) for i, c in enumerate(ends)]
+    rows += [('<row\tId="7" PostTypeId="1" />',), ('<rows Id="8" />',)]
+    lines = spark.createDataFrame(rows, "value string")
+    got = {r["id"]: r["body"] for r in xml_dump.typed_rows(lines, "posts").collect()}
+    assert got == {0: "a\u0085b", 1: "a\u2028b", 2: "a\u2029b", 7: None}
+    assert [r["reason"] for r in xml_dump.bad_rows(lines, "posts").collect()] == [xml_dump.NOT_ROW]
+
+
 def test_plain_text_is_not_reshuffled(spark, scratch):
     d = os.path.join(scratch, "users")
     os.makedirs(d)
@@ -134,8 +154,8 @@ def test_shuffle_sizing_from_input(spark, scratch):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         assert input_bytes(spark, [SF_SMALL]) > 0
-        assert size_shuffles(spark, 100 * (1 << 40)) == 50_000       # 100 TB: capped
-        assert size_shuffles(spark, 3 * (1 << 40)) == 50_000         # never shrinks
+        assert size_shuffles(spark, 100 * (1 << 40)) == 102_400      # 100 TB: 1 per GiB
+        assert size_shuffles(spark, 3 * (1 << 40)) == 102_400        # never shrinks
         spark.conf.set("spark.sql.shuffle.partitions", "8")
         assert size_shuffles(spark, 3 * (1 << 40)) == 3072           # 1 per GiB
         spark.conf.set("spark.sql.shuffle.partitions", "8")

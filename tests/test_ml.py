@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from conftest import SF_MID, SF_SMALL
 from forumlens.plans import tags
 from forumlens.sources import tables
 from helpers import posts_df
@@ -129,3 +129,24 @@ def test_no_tagged_training_posts_gives_no_rows(spark):
     p = posts_df(spark, [{"id": 1, "body": "no tags here"}])
     out = tags.tag_probabilities(p, p, k=3, num_features=1 << 8)
     assert out.count() == 0 and out.columns == ["tag", "post_id", "p_not_tag", "p_tag"]
+
+
+def test_missing_body_is_a_fixed_text(spark):
+    rows = [{"id": i, "tags": ["x"] if i % 2 else ["y"], "body": None if i % 5 == 0 else f"w{i % 3}"}
+            for i in range(40)]
+    posts = posts_df(spark, rows)
+    out = tags.one_tag_probabilities(posts, posts, "x", num_features=1 << 8)
+    assert out.count() == 40
+    assert tags.tag_probabilities(posts, posts, k=2, num_features=1 << 8).count() == 80
+    words = {r["post_id"]: r["words"] for r in tags.tokens(posts).collect()}
+    assert words[0] == ["-999"] and len(words) == 40
+
+
+def test_word2vec_does_not_depend_on_layout(spark):
+    posts = tables.tagged_posts(spark, SF_SMALL)
+    got = [{r["word"]: list(r["vector"]) for r in tags.tag_vectors(tags.fit_tag_embeddings(p)).collect()}
+           for p in (posts, posts.repartition(13), posts.coalesce(1))]
+    # Partition models are merged in the order in which they arrive, so the last
+    # digits may differ; values are about 5e-3.
+    assert got[0] and got[0].keys() == got[1].keys() == got[2].keys()
+    assert all(abs(x - y) < 1e-4 for g in got[1:] for w in g for x, y in zip(g[w], got[0][w]))
