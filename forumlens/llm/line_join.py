@@ -128,12 +128,11 @@ def candidates(classes: DataFrame) -> DataFrame:
     seen = post.withColumn("hub", hub)
     covered = _may_match(lambda c: F.col(f"hub.{c}"), F.col)
     seen = seen.withColumn("covered", covered)
-    star = seen.filter("covered").select(F.col("hub.h").alias("h_a"), F.col("hub.first").alias("first_a"),
-                                         F.col("h").alias("h_b"), F.lit(True).alias("covered"))
-    a, b = _suffixed(post, "a"), _suffixed(seen.filter(~F.col("covered")).select(*post.columns), "b")
-    rest = a.join(b, (F.col("word_a") == F.col("word_b")) & _may_match(_of("a"), _of("b")))
-    both = star.union(rest.select(*PAIR, F.lit(False).alias("covered")))
-    return both.groupBy(*PAIR).agg(F.max("covered").alias("covered"))
+    b = _suffixed(seen.select(*post.columns, F.col("hub.h").alias("hub"), "covered"), "b")
+    a = _suffixed(post, "a")
+    match = F.when(F.col("covered_b"), F.col("h_a") == F.col("hub_b")).otherwise(_may_match(_of("a"), _of("b")))
+    pairs = a.join(b, (F.col("word_a") == F.col("word_b")) & match)
+    return pairs.groupBy(*PAIR).agg(F.max("covered_b").alias("covered"))
 
 
 def _all_candidates(classes: DataFrame, later: DataFrame) -> DataFrame:
@@ -150,9 +149,13 @@ def _sized(df: DataFrame) -> DataFrame:
 
 def _sets(docs: DataFrame, need: DataFrame, classes: Column) -> DataFrame:
     """Full sets of the first lines (doc, line) of ``need``."""
-    at = _sized(need.select(F.col("h"), F.col("first.doc").alias("d"), F.col("first.line").alias("l")))
-    rows = _line_rows(docs).join(at, (F.col("doc") == F.col("d")) & (F.col("line") == F.col("l")))
-    sets = rows.select("h", word_set(F.col("s"), classes).alias("set"))
+    at = need.groupBy(F.col("first.doc").alias("d")).agg(F.collect_list(F.struct("first.line", "h")).alias("at"))
+    at = F.broadcast(at) if need.count() <= BROADCAST_ROWS else at
+    rows = docs.select(_key(), "text").join(at, F.col("doc") == F.col("d"))
+    picked = let(F.split(text_of("text"), "\n", -1), lambda ls: F.transform("at", lambda x: F.struct(
+        x["h"].alias("h"), F.get(ls, x["line"]).alias("s"))))
+    rows = rows.select(F.explode(picked).alias("x")).select("x.*")
+    sets = rows.select("h", word_set(F.coalesce("s", F.lit("")), classes).alias("set"))
     # Where rows repeat a doc_id the set with the hash that was joined is the one.
     return sets.filter(F.xxhash64("set") == F.col("h")).groupBy("h").agg(F.first("set").alias("set"))
 
