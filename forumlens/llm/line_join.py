@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from forumlens.llm.common import let, text_of, words, written
 
 NUM, DEN = 4, 5
-BUCKETS = 1 << 17
+BUCKETS = 1 << 15        # a literal of the plan, so kept small
 LOW_BITS = 57            # hash bits of a packed word; the rarity class stands above
 NO_ID = (1 << 63) - 1
 BROADCAST_ROWS = 1 << 20     # short rows of three or four numbers: 40 MB
