@@ -92,7 +92,9 @@ def line_table(docs: DataFrame, classes: Column) -> DataFrame:
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    return classes.select("h", "first", "n", "map0", "map1", F.posexplode("prefix").alias("pos", "word"))
+    post = classes.select("h", "first", "n", "map0", "map1", F.posexplode("prefix").alias("pos", "word"))
+    # The filter that Spark adds below a join, stated so that all uses share one exchange.
+    return post.filter(F.col("word").isNotNull())
 
 
 def _may_match(a, b) -> Column:
@@ -114,25 +116,32 @@ def _of(end: str):
 
 
 PAIR = ["h_a", "first_a", "h_b"]
+HUBS = (["word"], ["word", "n"], ["word", "pos"])
 
 
 def candidates(classes: DataFrame) -> DataFrame:
     """Pairs (earlier a, later b) that pass the filters, and whether b is ``covered``.
 
-    At each word the earliest posting is the hub.  Where the hub may match b,
-    only that pair is emitted: b is covered there, and a group of variants of one
-    line costs its size, not its square.
+    The hubs of a posting are the earliest ones of its word, of its word and set
+    size, and of its word and position (``HUBS``).  Where hubs may match b, only the
+    pairs with them are emitted, without a join: b is covered there, and a group of
+    variants of one line costs its size, not its square.  The other postings are
+    joined with all of their word.
     """
     post = _postings(classes).repartition("word")
-    hub = F.min(F.struct("first", "h", "n", "map0", "map1", "pos")).over(W.partitionBy("word"))
-    seen = post.withColumn("hub", hub)
-    covered = _may_match(lambda c: F.col(f"hub.{c}"), F.col)
-    seen = seen.withColumn("covered", covered)
-    b = _suffixed(seen.select(*post.columns, F.col("hub.h").alias("hub"), "covered"), "b")
-    a = _suffixed(post, "a")
-    match = F.when(F.col("covered_b"), F.col("h_a") == F.col("hub_b")).otherwise(_may_match(_of("a"), _of("b")))
-    pairs = a.join(b, (F.col("word_a") == F.col("word_b")) & match)
-    return pairs.groupBy(*PAIR).agg(F.max("covered_b").alias("covered"))
+    seen = post
+    for k, by in enumerate(HUBS):
+        hub = F.min(F.struct("first", "h", "n", "map0", "map1", "pos")).over(W.partitionBy(*by))
+        seen = seen.withColumn(f"hub{k}", hub)
+    near = [F.when(_may_match(lambda c, k=k: F.col(f"hub{k}.{c}"), F.col), F.struct(f"hub{k}.h", f"hub{k}.first"))
+            for k in range(len(HUBS))]
+    seen = seen.select(*post.columns, F.array_compact(F.array(*near)).alias("near"))
+    hubs = seen.select(F.explode("near").alias("x"), F.col("h").alias("h_b")).select(
+        F.col("x.h").alias("h_a"), F.col("x.first").alias("first_a"), "h_b", F.lit(True).alias("covered"))
+    a, b = _suffixed(post, "a"), _suffixed(seen.filter(F.size("near") == 0).drop("near"), "b")
+    rest = a.join(b, (F.col("word_a") == F.col("word_b")) & _may_match(_of("a"), _of("b")))
+    pairs = hubs.union(rest.select(*PAIR, F.lit(False).alias("covered")))
+    return pairs.groupBy(*PAIR).agg(F.max("covered").alias("covered"))
 
 
 def _all_candidates(classes: DataFrame, later: DataFrame) -> DataFrame:
