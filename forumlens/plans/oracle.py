@@ -168,8 +168,31 @@ VOCABULARY = with_fixtures(
     """ex AS (SELECT unnest(tags) AS tag FROM tagged_t WHERE tags IS NOT NULL)""")
 
 
+# What SQL can state of the models: which rows there are, their sizes and sums.
+VOCABULARY_CTES = (
+    "ex AS (SELECT unnest(tags) AS tag FROM tagged_t WHERE tags IS NOT NULL)",
+    "vocab AS (SELECT tag AS word FROM ex GROUP BY tag HAVING count(*) >= 5)")
+
+MODEL_ROWS = {
+    "q6_vector_sizes": with_fixtures("SELECT word, CAST(100 AS INTEGER) AS n_dims FROM vocab", *VOCABULARY_CTES),
+    "q6_synonym_words": with_fixtures(
+        """SELECT word, CAST(row_number() OVER (ORDER BY word) AS INTEGER) AS place,
+       CAST(count(*) OVER () AS INTEGER) AS last_rank
+FROM vocab WHERE word <> 'en' AND EXISTS (SELECT 1 FROM vocab WHERE word = 'en')""", *VOCABULARY_CTES),
+    "q6_post_vector_sizes": with_fixtures(
+        "SELECT id AS post_id, CAST(100 AS INTEGER) AS n_dims FROM tagged_t WHERE tags IS NOT NULL"),
+    "q7_one_tag_sums": with_fixtures(
+        "SELECT id AS post_id, CAST(1 AS DOUBLE) AS p_sum FROM tagged_t WHERE split = 'test' AND tags IS NOT NULL"),
+    "q7_probability_sums": with_fixtures(
+        """SELECT top.tag, t.id AS post_id, CAST(1 AS DOUBLE) AS p_sum, true AS inside
+FROM top CROSS JOIN (SELECT id FROM tagged_t WHERE split = 'test' AND tags IS NOT NULL) t""",
+        "ex AS (SELECT unnest(tags) AS tag FROM tagged_t WHERE split = 'train' AND tags IS NOT NULL)",
+        "top AS (SELECT tag FROM ex GROUP BY tag ORDER BY count(*) DESC, tag LIMIT 100)"),
+}
+
+
 def analyses() -> dict[str, str]:
-    return {
+    return MODEL_ROWS | {
         "q6_vocabulary": VOCABULARY,
         "q1_upvote_ratio": Q1,
         "q2_answer_share": Q2,
@@ -258,6 +281,10 @@ def units() -> dict[str, str]:
                                         "WHERE id % 101 <> 7")
     d["op_parse_votes"] = with_fixtures("SELECT post_id, vote_type_id FROM votes_t "
                                         "WHERE post_id % 89 <> 5")
+    d["op_parse_tagged_posts"] = with_fixtures("SELECT id, tags, body FROM tagged_t")
+    d["op_bad_values"] = with_fixtures("""
+SELECT 'users' AS table_name, 'Id' AS attribute, CAST(count(*) AS BIGINT) AS n
+FROM users_t WHERE id % 101 = 7 HAVING count(*) > 0""")
     d["op_bad_rows"] = with_fixtures(f"""
 SELECT 'posts' AS table_name, value,
        CASE WHEN {ENTRY} AND NOT {VALID} THEN 'truncated' ELSE 'unparsable' END AS reason
@@ -313,6 +340,8 @@ FROM (SELECT id, lower(coalesce(body, '-999')) AS lowered,
              regexp_replace(lower(coalesce(body, '-999')), '[ \t\n\x0B\f\r]+$', '') AS trimmed
       FROM tagged_t)""")
 
+    d["op_hashing_tf_sums"] = f"SELECT post_id, CAST(len(words) AS BIGINT) AS n_tokens FROM ({d['op_tokenize']})"
+
     # filters
     d["op_filter_quick"] = with_fixtures("""
 SELECT question_id, answer_id, CAST(gap AS DOUBLE) / 3.6e9 AS gap_hours FROM (

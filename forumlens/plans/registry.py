@@ -11,8 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from forumlens.plans import engagement, oracle, tags, timing, units
 from forumlens.sources import tables
@@ -75,6 +77,43 @@ def _op_hashing_tf(spark, d):
     return feats.select(F.col("id").alias("post_id"), "features")
 
 
+# Results of the models that SQL can state: row sets, sizes and sums.
+
+def _q6_vector_sizes(spark, d):
+    return _q6_tag_vectors(spark, d).select("word", F.size("vector").alias("n_dims"))
+
+
+def _q6_synonym_words(spark, d):
+    """The ranks and the words (in text order) of a search for all synonyms."""
+    model = _w2v(spark, d)
+    found = tags.synonyms(model, FIXTURE_TAG, model.getVectors().count())
+    by_text = F.row_number().over(W.orderBy("word")).cast("int")
+    return found.select("word", by_text.alias("place"), F.max("rank").over(W.partitionBy()).alias("last_rank"))
+
+
+def _q6_post_vector_sizes(spark, d):
+    return _q6_post_vectors(spark, d).select("post_id", F.size("vector").alias("n_dims"))
+
+
+def _op_hashing_tf_sums(spark, d):
+    """Sum of the hashed counts of each post: its number of tokens."""
+    t = tables.tagged_posts(spark, d)
+    feats = tags.featurizer(1 << 10).fit(t).transform(t.select("id", tags.body_text()))
+    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
+    return feats.select(F.col("id").alias("post_id"), total.cast("bigint").alias("n_tokens"))
+
+
+def _q7_probability_sums(spark, d):
+    p = _q7_tag_probabilities(spark, d)
+    inside = F.col("p_tag").between(0, 1) & F.col("p_not_tag").between(0, 1)
+    return p.select("tag", "post_id", F.round(F.col("p_tag") + F.col("p_not_tag"), 9).alias("p_sum"),
+                    inside.alias("inside"))
+
+
+def _q7_one_tag_sums(spark, d):
+    return _q7_one_tag(spark, d).select("post_id", F.round(F.col("p_tag") + F.col("p_not_tag"), 9).alias("p_sum"))
+
+
 def _q7_one_tag(spark, d):
     return tags.one_tag_probabilities(tables.tagged_posts(spark, d, "train"),
                                       tables.tagged_posts(spark, d, "test"), FIXTURE_TAG)
@@ -100,6 +139,11 @@ def analyses() -> dict[str, Query]:
         "q7_top_tags": _q7_top_tags,
         "q7_one_tag": _q7_one_tag,
         "q7_tag_probabilities": _q7_tag_probabilities,
+        "q6_vector_sizes": _q6_vector_sizes,
+        "q6_synonym_words": _q6_synonym_words,
+        "q6_post_vector_sizes": _q6_post_vector_sizes,
+        "q7_one_tag_sums": _q7_one_tag_sums,
+        "q7_probability_sums": _q7_probability_sums,
     }
 
 
@@ -111,7 +155,9 @@ def operators() -> dict[str, Query]:
         "op_parse_posts": units.parse("posts"),
         "op_parse_users": units.parse("users"),
         "op_parse_votes": units.parse("votes"),
+        "op_parse_tagged_posts": units.parse_tagged_posts,
         "op_bad_rows": units.bad_rows,
+        "op_bad_values": units.bad_values,
         "op_filter_entry_lines": units.filter_entry_lines,
         "op_filter_valid_lines": units.filter_valid_lines,
         "op_project_post_favorites": units.project_post_favorites,
@@ -124,6 +170,7 @@ def operators() -> dict[str, Query]:
         "op_filter_tagged": units.filter_tagged,
         "op_tokenize": units.tokenize,
         "op_hashing_tf": _op_hashing_tf,
+        "op_hashing_tf_sums": _op_hashing_tf_sums,
         "op_filter_quick": units.filter_quick,
         "op_flag_day_window": units.flag_day_window,
         "op_cohort": units.cohort,

@@ -207,9 +207,11 @@ def tag_probabilities(train: DataFrame, test: DataFrame, k: int = TOP_TAGS,
     is that tag and fits all tags with ``OneVsRest`` over one featurised frame
     (cached by the estimator) with ``parallelism`` concurrent fits;
     ``training="per_post"`` uses one row per post, labelled by whether the
-    post carries the tag.  Test posts are featurised once and cached; each
-    tag's model scores them in its own small projection and the per-tag
-    results are unioned.  Columns ``tag, post_id, p_not_tag, p_tag``.
+    post carries the tag.  Test posts are read and featurised once: every tag's
+    model adds its margin to the same row, which is then exploded, so nothing of
+    the test side is cached.  Up to ``parallelism`` fits run at a time, each
+    with its own cached blocks of the training rows.
+    Columns ``tag, post_id, p_not_tag, p_tag``.
     """
     # The <= k top tags are fetched once (bounded by k) and reused as a small
     # local relation for the labels and the output names, instead of
@@ -228,18 +230,17 @@ def tag_probabilities(train: DataFrame, test: DataFrame, k: int = TOP_TAGS,
         models = _fit_per_post(train, top, k, num_features, parallelism)
     else:
         raise ValueError(f"unknown training {training!r}")
-    test_feats = (featurizer(num_features).fit(test)
-                  .transform(tagged(test).select(F.col("id").alias("post_id"), body_text()))
-                  .select("post_id", "features")
-                  .persist(StorageLevel.MEMORY_AND_DISK))
-    scored = None
-    for cls, binary in enumerate(models):
-        part = binary.transform(test_feats).select(
-            "post_id", F.lit(cls).alias("class"),
-            vector_to_array("rawPrediction")[1].alias("margin"))
-        scored = part if scored is None else scored.unionByName(part)
-    names = broadcast_bounded(top.select("tag", (F.col("rank") - 1).cast("int").alias("class")), k)
-    return scored.join(names, "class").select(
-        "tag", "post_id",
-        (1.0 / (1.0 + F.exp(F.col("margin")))).alias("p_not_tag"),
-        (1.0 / (1.0 + F.exp(-F.col("margin")))).alias("p_tag"))
+    scored = (featurizer(num_features).fit(test)
+              .transform(tagged(test).select(F.col("id").alias("post_id"), body_text()))
+              .select("post_id", "features"))
+    margins = []
+    for (_, tag, _), binary in zip(sorted(ranked), models):
+        raw = f"raw_{len(margins)}"
+        scored = binary.transform(scored, {binary.rawPredictionCol: raw, binary.probabilityCol: "",
+                                           binary.predictionCol: ""})
+        margins.append(F.struct(F.lit(tag).alias("tag"), vector_to_array(raw)[1].alias("margin")))
+    scored = scored.select("post_id", F.explode(F.array(*margins)).alias("m"))
+    return scored.select(
+        F.col("m.tag").alias("tag"), "post_id",
+        (1.0 / (1.0 + F.exp(F.col("m.margin")))).alias("p_not_tag"),
+        (1.0 / (1.0 + F.exp(-F.col("m.margin")))).alias("p_tag"))

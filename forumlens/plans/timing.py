@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.functions.columns import (
@@ -14,12 +14,13 @@ from forumlens.functions.columns import (
     shift_days,
     within_hours,
 )
-from forumlens.operators.aggregates import first_per_key
+from forumlens.operators.aggregates import first_per_key, packed_order_key
 
 # Reference parameters.
 QUICK_HOURS = 3
 WINDOW_DAYS = (100, 150)
 VETERAN, BRIEF = "veteran", "brief"
+METRICS = ["score", "views", "answers", "favorites"]
 
 
 # --------------------------------------------------------------------- Q4 --
@@ -81,15 +82,19 @@ def window_flags(posts: DataFrame, users: DataFrame,
     ``in_window`` is true when some post of the user was created between
     ``lo`` and ``hi`` days (``lo`` inclusive, whole 24-hour days) after the user.
     """
-    lo, hi = window_days
-    if hi - lo < 1:
-        raise ValueError("the window must span at least one day")
     u = users.select(F.col("id").alias("user_id"), F.col("creation_date").alias("u_created"))
     days = posting_days(posts)
     joined = u.join(days, F.col("user_id") == F.col("owner_user_id"))
-    hit = ((F.col("last_ts") >= shift_days("u_created", lo))
-           & (F.col("first_ts") < shift_days("u_created", hi)))
-    return joined.groupBy("user_id").agg(F.bool_or(hit).alias("in_window"))
+    return joined.groupBy("user_id").agg(F.bool_or(_window_hit(window_days)).alias("in_window"))
+
+
+def _window_hit(window_days: tuple[int, int]) -> Column:
+    """Whether a (user, day) row holds a post inside the user's window."""
+    lo, hi = window_days
+    if hi - lo < 1:
+        raise ValueError("the window must span at least one day")
+    return ((F.col("last_ts") >= shift_days("u_created", lo))
+            & (F.col("first_ts") < shift_days("u_created", hi)))
 
 
 def window_post_counts(posts: DataFrame, users: DataFrame,
@@ -130,6 +135,19 @@ def first_questions(posts: DataFrame) -> DataFrame:
                          ts="creation_date", tie="id")
 
 
+def _question_days(posts: DataFrame) -> DataFrame:
+    """``posting_days`` with, per day, whether a question was asked (``asked`` 0 / 1)
+    and the earliest one's order key and metrics."""
+    asked = F.coalesce(F.col("post_type_id") == QUESTION, F.lit(False))
+    p = (metric_columns(posts).where(F.col("owner_user_id").isNotNull())
+         .withColumn("asked", asked)
+         .withColumn("order", F.when(F.col("asked"), packed_order_key("creation_date", "id"))))
+    return (p.groupBy("owner_user_id", F.to_date("creation_date").alias("day"))
+            .agg(F.min("creation_date").alias("first_ts"), F.max("creation_date").alias("last_ts"),
+                 F.max(indicator(F.col("asked"))).alias("asked"), F.min("order").alias("first_order"),
+                 *[F.min_by(m, "order").alias(m) for m in METRICS]))
+
+
 def veterans(posts: DataFrame, users: DataFrame,
              window_days: tuple[int, int] = WINDOW_DAYS) -> DataFrame:
     """Q5: first-question profile of veteran and brief users.
@@ -137,16 +155,16 @@ def veterans(posts: DataFrame, users: DataFrame,
     Columns ``cohort, n_users, n_with_question, avg_score, avg_views,
     avg_answers, avg_favorites``.  Users without posts are in no cohort; users
     without a question count in ``n_users`` only; a cohort with no users has
-    no row.  Both join inputs are one row per user.
+    no row.  Posts are read once: the (owner, day) rows that decide the cohort
+    carry each day's earliest question.
     """
-    c = cohorts(posts, users, window_days)
-    fq = first_questions(posts)
-    joined = c.join(fq, F.col("user_id") == F.col("owner_user_id"), "left")
-    return joined.groupBy("cohort").agg(
+    u = users.select(F.col("id").alias("user_id"), F.col("creation_date").alias("u_created"))
+    joined = u.join(_question_days(posts), F.col("user_id") == F.col("owner_user_id"))
+    per_user = joined.groupBy("user_id").agg(
+        F.bool_or(_window_hit(window_days)).alias("in_window"), F.max("asked").alias("asked"),
+        *[F.min_by(m, "first_order").alias(m) for m in METRICS])
+    cohort = F.when(F.col("in_window"), F.lit(VETERAN)).otherwise(F.lit(BRIEF)).alias("cohort")
+    return per_user.groupBy(cohort).agg(
         F.count(F.lit(1)).alias("n_users"),
-        F.count("first").alias("n_with_question"),
-        F.avg("first.score").alias("avg_score"),
-        F.avg("first.views").alias("avg_views"),
-        F.avg("first.answers").alias("avg_answers"),
-        F.avg("first.favorites").alias("avg_favorites"),
-    )
+        F.sum("asked").cast("bigint").alias("n_with_question"),
+        *[F.avg(m).alias(f"avg_{m}") for m in METRICS])

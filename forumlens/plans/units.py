@@ -36,31 +36,48 @@ def scan(table: str):
     return run
 
 
+# Only ``scan`` writes and reads files; what follows works on the rendered lines.
+
 def parse(table: str):
     def run(spark: S, d: str) -> DataFrame:
-        return xml_dump.typed_rows(dump_fixture.read_dump(spark, d, table), table)
+        return xml_dump.typed_rows(dump_fixture.LINES[table](spark, d), table)
     return run
 
 
+def parse_tagged_posts(spark: S, d: str) -> DataFrame:
+    """Tags and Body of the given texts, rendered as dump lines and parsed back."""
+    lines = xml_dump.render(tables.tagged_posts(spark, d), "posts")
+    return xml_dump.typed_rows(lines, "posts").select("id", "tags", "body")
+
+
 def bad_rows(spark: S, d: str) -> DataFrame:
     out = None
-    for table in ("posts", "users", "votes"):
-        b = xml_dump.bad_rows(dump_fixture.read_dump(spark, d, table), table).select(
+    for table, lines in dump_fixture.LINES.items():
+        b = xml_dump.bad_rows(lines(spark, d), table).select(
             F.lit(table).alias("table_name"), "value", "reason")
         out = b if out is None else out.unionByName(b)
     return out
 
 
+def bad_values(spark: S, d: str) -> DataFrame:
+    out = None
+    for table, lines in dump_fixture.LINES.items():
+        b = xml_dump.bad_values(lines(spark, d), table).select(
+            F.lit(table).alias("table_name"), "attribute", "n")
+        out = b if out is None else out.unionByName(b)
+    return out
+
+
 def ingest_audit(spark: S, d: str) -> DataFrame:
-    return xml_dump.audit(dump_fixture.read_dump(spark, d, "posts"), "posts")
+    return xml_dump.audit(dump_fixture.LINES["posts"](spark, d), "posts")
 
 
 def filter_entry_lines(spark: S, d: str) -> DataFrame:
-    return dump_fixture.read_dump(spark, d, "posts").where(is_entry("value"))
+    return dump_fixture.LINES["posts"](spark, d).where(is_entry("value"))
 
 
 def filter_valid_lines(spark: S, d: str) -> DataFrame:
-    return dump_fixture.read_dump(spark, d, "posts").where(is_valid("value"))
+    return dump_fixture.LINES["posts"](spark, d).where(is_valid("value"))
 
 
 # ------------------------------------------------------------ projections --

@@ -154,6 +154,18 @@ def bad_rows(lines: DataFrame, table: str) -> DataFrame:
         "value", F.col("status").alias("reason"))
 
 
+def bad_values(lines: DataFrame, table: str) -> DataFrame:
+    """``(attribute, n)``: how many well-formed rows hold a value of that attribute
+    which its type cannot take (the typed row has NULL there)."""
+    tested = _classify(lines.where(is_row_element("value")), attribute_schema(table))
+    found = tested.where(F.col("_valid")).select(F.explode(F.array(*[
+        F.when(F.col("_x." + CORRUPT).isNull() & F.col("_x._" + attr).isNotNull()
+               & _typed(F.col("_x._" + attr), sql_type).isNull(), F.lit(attr))
+        for attr, _, sql_type in ATTRIBUTES[table]])).alias("attribute"))
+    return (found.where(F.col("attribute").isNotNull())
+            .groupBy("attribute").agg(F.count(F.lit(1)).alias("n")))
+
+
 def audit(lines: DataFrame, table: str = "posts") -> DataFrame:
     """Q0: ``n_lines, n_entries, n_valid, n_bad_entries, n_unparsable``.
 

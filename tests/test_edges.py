@@ -82,6 +82,15 @@ def test_timestamps(spark, text, expected):
     assert statuses(spark, line)[line]["creation_date"] == expected
 
 
+def test_bad_values_are_counted_per_attribute(spark):
+    got = xml_dump.bad_values(lines(
+        spark, '<row Id="1" PostTypeId="x" Score="1.5" CreationDate="zz" Body="b" />',
+        '<row Id="2" Score="a" Tags="" />', '<row Id="3" Score="4" />', '<row Id="x" Body="a & b" />',
+        '<rows Id="y" />', "<posts>", '<row Id="z" />'), "posts")
+    assert {r["attribute"]: r["n"] for r in got.collect()} == {
+        "Id": 1, "PostTypeId": 1, "Score": 2, "CreationDate": 1}
+
+
 def test_render_round_trip_keeps_text(spark):
     body = 'x < y & "z"\nline2\r\tend  '
     p = posts_df(spark, [{"id": 1, "post_type_id": 1, "creation_date": at(hours=1),

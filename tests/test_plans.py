@@ -50,6 +50,15 @@ def test_dump_parse_evaluates_regex_and_xml_once(spark):
     assert "_PostTypeId" not in audit  # the audit parses the key attribute only
 
 
+def test_one_scan_of_posts_and_one_of_test_texts(spark):
+    q5 = registry.queries()["q5_veterans"](spark, SF_SMALL)
+    logical = q5._jdf.queryExecution().optimizedPlan().toString()
+    # One for the rows; the scalar count behind the accepted answers is pruned away.
+    assert logical.count("event_id") and logical.count("Join Inner") == 1 and "LeftOuter" not in logical
+    q7 = plan_text(registry.queries()["q7_tag_probabilities"](spark, SF_SMALL))
+    assert q7.count("Scan parquet") == 1 and "InMemoryTableScan" not in q7
+
+
 @pytest.mark.parametrize("key", ["q6_tag_vectors", "q6_post_vectors", "q7_one_tag",
                                  "q7_tag_probabilities", "op_hashing_tf"])
 def test_model_queries_stay_in_the_jvm(spark, key):
