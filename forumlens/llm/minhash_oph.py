@@ -9,10 +9,13 @@ the similarity of 0.8 shares one with probability 0.999997.
 Documents with equal shingle sets are one class, represented by its smallest
 doc_id, before anything is bucketed, so a group of copies is one row.  In a
 bucket only the star from its smallest member is a candidate; each candidate is
-confirmed on full shingle sets.  Star members that did not end in the component
-of the rest are then compared with every member of another component in their
-bucket, so no pair that shares a bucket is lost, and pairs within a group are
-not enumerated.  Components are connected by alternating star steps.
+confirmed on full shingle sets.  Bucket members outside the component that most
+of their bucket belongs to then meet every member of another component, and the
+pairs whose parity maps allow a link are confirmed too (a bit of a map says
+whether an odd number of shingles falls on it, so two maps differ in at most as
+many bits as there are shingles the sets do not share).  So no pair that shares a
+bucket is lost, and pairs within a component are not emitted.  Components are
+connected by alternating star steps.
 
 Defined cases: a null or blank text has no shingles and is linked with nothing,
 a text shorter than a shingle is one shingle, repeated rows and equal doc_ids
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.llm.common import written
@@ -36,6 +39,7 @@ from forumlens.llm.components import components
 BINS, ROWS = 256, 6
 BANDS = BINS // ROWS
 BIN_BITS = 8
+MAP_LONGS = 16               # length of a parity map
 NUM, DEN = 80, 100           # similarity of a link
 NO_ID = (1 << 63) - 1
 
@@ -101,8 +105,20 @@ def band_keys(sets: list[np.ndarray], walk: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def parity_map(h: np.ndarray) -> np.ndarray:
+    """Bit i: whether an odd number of the hashes has the value i in its low bits."""
+    bits = np.bincount((h & np.uint64(64 * MAP_LONGS - 1)).astype(np.int64), minlength=64 * MAP_LONGS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def _may_link(map_a: Column, n_a: Column, map_b: Column, n_b: Column) -> Column:
+    """Whether the parity maps leave room for a link; true for every linked pair and without a map."""
+    apart = sum((F.bit_count(F.get(map_a, i).bitwiseXOR(F.get(map_b, i))) for i in range(MAP_LONGS)), F.lit(0))
+    return F.coalesce(apart * (DEN + NUM) <= (n_a + n_b) * (DEN - NUM), F.lit(True))
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, set hash and bucket keys of every document."""
+    """doc_id, n_shingles, set hash, bucket keys and parity map of every document."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         walk = _walk()
@@ -118,10 +134,10 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                         keys[i] = k[j]
                 digest = [xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None for h in sets]
                 yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "n_shingles": [len(h) for h in sets],
-                                    "set_id": digest, "keys": keys})
+                                    "set_id": digest, "keys": keys, "map": [parity_map(h) for h in sets]})
 
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
-    return rows.mapInPandas(run, "doc_id long, n_shingles long, set_id binary, keys array<long>")
+    return rows.mapInPandas(run, "doc_id long, n_shingles long, set_id binary, keys array<long>, map array<long>")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
@@ -154,7 +170,7 @@ def clusters(docs: DataFrame, width: int = 5) -> DataFrame:
     reps = written(reps, "oph-classes")
     # Rows that represent a class; equal doc_ids with equal sets are one row here.
     heads = (sk.filter(F.col("set_id").isNotNull()).join(reps, ["set_id"]).filter(F.col("doc_id") == F.col("rep"))
-             .select("rep", "keys"))
+             .select("rep", "n_shingles", "keys", "map"))
     posts = heads.select("rep", F.explode("keys").alias("key"))
     hubs = (posts.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("far"))
             .filter(F.col("hub") != F.col("far")).select(F.col("key").alias("k"), "hub"))
@@ -164,9 +180,11 @@ def clusters(docs: DataFrame, width: int = 5) -> DataFrame:
     nodes = stars.select(F.col("a").alias("node")).union(stars.select(F.col("b").alias("node"))).distinct()
     # A doc_id that repeats with another text keeps the first set by content.
     sets = written(_sets(docs, nodes, width).groupBy("node").agg(F.max_by("s", F.size("s")).alias("s")), "oph-sets")
-    links = confirmed(stars, sets)
-    roots = components(links)
-    links, roots = _cross_links(links, roots, shared, sets)
+    roots = components(confirmed(stars, sets))
+    # No map, and so no bound, where rows repeat a doc_id.
+    shapes = heads.groupBy(F.col("rep").alias("sr")).agg(
+        F.max("n_shingles").alias("n"), F.when(F.count("*") == 1, F.first("map")).alias("map"))
+    roots = _cross_links(roots, shared, shapes, sets)
     cls = sk.join(reps, ["set_id"], "left")
     out = cls.join(roots, cls["rep"] == roots["node"], "left")
     comp = F.coalesce("root", "rep", "doc_id")
@@ -175,29 +193,41 @@ def clusters(docs: DataFrame, width: int = 5) -> DataFrame:
                       F.nullif(comp, null).alias("component_id"), (F.col("doc_id") == comp).alias("kept"))
 
 
-def _cross_links(links: DataFrame, roots: DataFrame, shared: DataFrame, sets: DataFrame):
-    """Links between components that share a bucket but not through its hub."""
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` (key, rep, ..) of buckets with more than one component, with their
+    ``root`` and whether they are ``outside`` the component of most members."""
     label = roots.select(F.col("node").alias("ln"), "root")
-    m = shared.join(label, F.col("rep") == F.col("ln"), "left").select(
-        "key", "hub", "rep", F.coalesce("root", "rep").alias("root"))
-    hub = label.select(F.col("ln").alias("hn"), F.col("root").alias("hub_root"))
-    m = written(m.join(hub, F.col("hub") == F.col("hn"), "left").select(
-        "key", "hub", "rep", "root", F.coalesce("hub_root", "hub").alias("hub_root")), "oph-members")
-    odd = m.filter(F.col("root") != F.col("hub_root")).select(
-        F.col("key").alias("k"), F.col("rep").alias("x"), F.col("root").alias("xr"))
-    pairs = (m.join(odd, F.col("key") == F.col("k"))
-             .filter((F.col("root") != F.col("xr")) & (F.col("rep") != F.col("hub")))
-             .select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct())
-    more = written(confirmed(pairs, sets), "oph-cross")
+    m = members.join(label, F.col("rep") == F.col("ln"), "left").drop("ln").withColumn("root", F.coalesce("root", "rep"))
+    main = m.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy(F.col("key").alias("k")).agg(
+        F.max_by("root", F.struct("c", "root")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
+    m = m.join(main, F.col("key") == F.col("k"))
+    return m.withColumn("outside", F.col("root") != F.col("main")).drop("k", "main", "parts")
+
+
+def _merged(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """``roots`` after further links between components: each is contracted to its root first."""
     if more.isEmpty():
-        return links, roots
-    # Components joined by further links: contract each to its root first.
-    a = label.select(F.col("ln").alias("an"), F.col("root").alias("ar"))
-    b = label.select(F.col("ln").alias("bn"), F.col("root").alias("br"))
+        return roots
+    a = roots.select(F.col("node").alias("an"), F.col("root").alias("ar"))
+    b = roots.select(F.col("node").alias("bn"), F.col("root").alias("br"))
     up = (more.join(a, F.col("a") == F.col("an"), "left").join(b, F.col("b") == F.col("bn"), "left")
           .select(F.coalesce("ar", "a").alias("a"), F.coalesce("br", "b").alias("b")))
     old = roots.filter(F.col("node") != F.col("root")).select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return links.union(more), components(old.union(up))
+    return components(old.union(up))
+
+
+def _cross_links(roots: DataFrame, shared: DataFrame, shapes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``roots`` after the links between components that share a bucket but not through its hub."""
+    m = _open(shared, roots).join(shapes, F.col("rep") == F.col("sr")).drop("sr")
+    m = written(m, "oph-members")
+    x = m.filter("outside").select(F.col("key").alias("k"), F.col("rep").alias("x"), F.col("root").alias("xr"),
+                                   F.col("n").alias("xn"), F.col("map").alias("xm"))
+    new = (F.col("root") != F.col("xr")) & _may_link(F.col("map"), F.col("n"), F.col("xm"), F.col("xn"))
+    # The hub of a bucket has met all.
+    met = (F.col("rep") == F.col("hub")) | (F.col("x") == F.col("hub"))
+    pairs = m.join(x, (F.col("key") == F.col("k")) & new & ~met).select(
+        F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct()
+    return _merged(roots, written(confirmed(pairs, sets), "oph-cross"))
 
 
 def one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:

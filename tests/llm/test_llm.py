@@ -257,6 +257,17 @@ def test_densified_bins_estimate_similarity():
     assert (k[0] == k[2]).all() and 0 < (k[0] == k[1]).sum() < minhash_oph.BANDS
 
 
+def test_parity_maps_bound_the_difference():
+    rng = np.random.default_rng(5)
+    for n, cut in ((1, 0), (40, 3), (300, 60), (5000, 900)):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[cut:], rng.integers(0, 1 << 63, cut, dtype=np.uint64)]))
+        x = minhash_oph.parity_map(a) ^ minhash_oph.parity_map(b)
+        assert len(x) == minhash_oph.MAP_LONGS
+        assert sum(int(v).bit_count() for v in x.view(np.uint64)) <= len(np.setxor1d(a, b))
+    assert not minhash_oph.parity_map(np.empty(0, np.uint64)).any()
+
+
 def test_components(spark):
     rng = np.random.default_rng(4)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 60, (45, 2))] + [(100 + i, 101 + i) for i in range(40)]
