@@ -10,8 +10,12 @@ cells before anything is shuffled.  On the cells, concentration steps keep the
 mean and scatter from it again.  Group sums are sums of integers, so reruns
 agree to the bit.
 
-A floor variance on the diagonal keeps the scatter invertible where most texts
-of a group share a value (no symbols, no repeated line).  Groups with fewer
+The variance of the grid's rounding on the diagonal keeps the scatter invertible
+where most texts of a group share a value (no symbols, no repeated line), and
+nothing else is added to the estimate.  A document's distance adds the sampling
+variance of its own statistics, 1 / 4n for a share of n on the arcsine-root
+scale: one repeated line of ten says little, five symbols in a hundred characters
+of a long text say much.  Groups with fewer
 than ``min_rows`` rows use the estimate of their language, and languages with
 fewer that of all rows.
 
@@ -39,8 +43,10 @@ STEPS = 4
 # Scatter of the nearest 75 % against that of all rows, for five normal dimensions.
 CONSISTENCY = 1.61
 CUT = 30.86              # chi-square, five degrees of freedom, 0.99999
-FLOORS = (0.15, 0.10, 0.15, 0.15, 0.12)
-DIMS = len(FLOORS)
+DIMS = 5
+FLOORS = (1 / GRID / 12 ** 0.5,) * DIMS     # deviation of the grid's rounding
+# What each statistic is a mean or a share of; words repeat in passages of about a line.
+UNITS = ("n_words", "word_chars", "n_lines", "n_lines", "word_chars")
 Q = [f"q{i}" for i in range(DIMS)]
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -140,12 +146,12 @@ def _moments(near: DataFrame) -> DataFrame:
     cov = [((F.col(f"s{i}_{j}") / F.col("h") - F.col(f"s{i}") / F.col("h") * (F.col(f"s{j}") / F.col("h")))
             / (GRID * GRID) * CONSISTENCY + (FLOORS[i] ** 2 if i == j else 0.0)).alias(f"c{i}_{j}")
            for i in range(DIMS) for j in range(i + 1)]
-    return _cholesky(m.select("k", *mu, *cov))
+    return _cholesky(m.select("k", *mu, *cov), ["k"])
 
 
-def _cholesky(p: DataFrame) -> DataFrame:
-    """Lower factor of the scatter, one column after the other."""
-    keep = ["k", *[f"m{i}" for i in range(DIMS)]]
+def _cholesky(p: DataFrame, keep: list[str]) -> DataFrame:
+    """Means and lower factor of the scatter, one column after the other."""
+    keep = [*keep, *[f"m{i}" for i in range(DIMS)]]
     for j in range(DIMS):
         p = p.withColumn(f"l{j}_{j}", F.sqrt(F.greatest(
             F.col(f"c{j}_{j}") - sum((F.col(f"l{j}_{k}") * F.col(f"l{j}_{k}") for k in range(j)), F.lit(0.0)),
@@ -165,6 +171,16 @@ def _with_distance(df: DataFrame, keep: list[str]) -> DataFrame:
     return df.select(*keep, d2.alias("d2"))
 
 
+def _own_scatter(df: DataFrame, keep: list[str]) -> DataFrame:
+    """The group's scatter plus the sampling variance of each document's statistics."""
+    def cell(i: int, j: int) -> Column:
+        c = sum((F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j + 1)), F.lit(0.0))
+        return c + 0.25 / F.greatest(F.col(UNITS[i]), F.lit(1)) if i == j else c
+
+    cov = [cell(i, j).alias(f"c{i}_{j}") for i in range(DIMS) for j in range(i + 1)]
+    return _cholesky(df.select(*keep, "n_lines", *[f"m{i}" for i in range(DIMS)], *cov), keep)
+
+
 def _start(cells: DataFrame) -> DataFrame:
     """Medians and median absolute deviations, as a diagonal scatter."""
     med = cells.groupBy("k").agg(*[F.percentile(q, 0.5, F.col("n")).alias(f"b{i}") for i, q in enumerate(Q)])
@@ -211,7 +227,7 @@ def judge(docs: DataFrame, min_rows: int = 200, cut: float = CUT) -> DataFrame:
     joined = stats.join(chosen, stats["lang"].eqNullSafe(chosen["g_lang"])
                         & stats["source"].eqNullSafe(chosen["g_source"]), "left")
     out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    far = _with_distance(joined, out)
+    far = _with_distance(_own_scatter(joined, [*out, *Q]), out)
     return far.select(*out, (~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= cut)).alias("kept"),
                       F.col("d2").alias("distance2"))
 
