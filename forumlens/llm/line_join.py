@@ -13,9 +13,12 @@ Lines with equal sets are one class, represented by the first line in (doc_id,
 line) order, before anything is joined, so a line that a third of the corpus
 repeats is one row.  A line goes if an earlier line of the corpus has its set, or
 if its class's first line is similar to the first line of an earlier class; every
-such line is named with an earlier line it matches.  One confirmed pair decides a
-class, so the other pairs of a large group of variants are not enumerated; a
-class whose hub pairs all fail is compared with every candidate.
+such line is named with an earlier line it matches.  The report verifies every pair of
+classes that passes the filters: it names the earliest match, the line's class and
+how many other classes are similar to it.  Where only the flag is needed
+(``without_repeats``) one confirmed pair decides a class, so the other pairs of a
+large group of variants are not enumerated there; a class whose hub pairs all fail
+is compared with every candidate.
 Nothing is capped: broadcasts are used below a counted bound, joins beyond it.
 
 Defined cases: a null text has no lines, lines without words are never removed,
@@ -36,6 +39,7 @@ NUM, DEN = 4, 5
 BUCKETS = 1 << 15        # a literal of the plan, so kept small
 LOW_BITS = 57            # hash bits of a packed word; the rarity class stands above
 NO_ID = (1 << 63) - 1
+HOT = 1 << 11            # postings of a word that one slice of the full join takes
 BROADCAST_ROWS = 1 << 20     # short rows of three or four numbers: 40 MB
 
 
@@ -144,6 +148,22 @@ def candidates(classes: DataFrame) -> DataFrame:
     return pairs.groupBy(*PAIR).agg(F.max("covered").alias("covered"))
 
 
+def every_candidate(classes: DataFrame) -> DataFrame:
+    """All pairs (earlier a, later b) that pass the filters; frequent words are joined in slices of b."""
+    post = _postings(classes)
+    hot = post.groupBy(F.col("word").alias("w")).agg(F.count("*").alias("c")).filter(F.col("c") > HOT)
+    hot = _sized(written(hot.select("w", F.ceil(F.col("c") / HOT).cast("long").alias("slices")), "lines-hot"))
+    # One exchange for both sides.
+    rest = post.join(hot, F.col("word") == F.col("w"), "left_anti").repartition("word")
+    same = (F.col("word_a") == F.col("word_b")) & _may_match(_of("a"), _of("b"))
+    pairs = _suffixed(rest, "a").join(_suffixed(rest, "b"), same).select(*PAIR)
+    wide = post.join(hot, F.col("word") == F.col("w")).drop("w")
+    a = wide.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
+    b = wide.withColumn("slice", F.pmod(F.xxhash64("h"), F.col("slices")))
+    sliced = _suffixed(a, "a").join(_suffixed(b, "b"), same & (F.col("slice_a") == F.col("slice_b"))).select(*PAIR)
+    return pairs.union(sliced).distinct()
+
+
 def _all_candidates(classes: DataFrame, later: DataFrame) -> DataFrame:
     """Every pair that passes the filters for the few classes ``later`` (h)."""
     own = _sized(written(_postings(classes.join(later, classes["h"] == later["u"], "left_semi")), "lines-open"))
@@ -169,8 +189,8 @@ def _sets(docs: DataFrame, need: DataFrame, classes: Column) -> DataFrame:
     return sets.filter(F.xxhash64("set") == F.col("h")).groupBy("h").agg(F.first("set").alias("set"))
 
 
-def _confirmed(docs: DataFrame, group: DataFrame, pairs: DataFrame, classes: Column) -> DataFrame:
-    """(h, match): the earliest first line that a class's full set is similar to."""
+def _links(docs: DataFrame, group: DataFrame, pairs: DataFrame, classes: Column) -> DataFrame:
+    """The pairs whose full sets are similar."""
     used = pairs.select(F.col("h_a").alias("u")).union(pairs.select(F.col("h_b").alias("u"))).distinct()
     need = written(group.select("h", "first").join(used, F.col("h") == F.col("u"), "left_semi"), "lines-need")
     sets = _sets(docs, need, classes)
@@ -178,18 +198,44 @@ def _confirmed(docs: DataFrame, group: DataFrame, pairs: DataFrame, classes: Col
     b = sets.select(F.col("h").alias("gb"), F.col("set").alias("set_b"))
     shared = F.size(F.array_intersect("set_a", "set_b"))
     links = pairs.join(a, F.col("h_a") == F.col("ga")).join(b, F.col("h_b") == F.col("gb"))
-    links = links.filter(DEN * shared >= NUM * (F.size("set_a") + F.size("set_b") - shared))
+    return links.filter(DEN * shared >= NUM * (F.size("set_a") + F.size("set_b") - shared)).select(*PAIR)
+
+
+def _confirmed(docs: DataFrame, group: DataFrame, pairs: DataFrame, classes: Column) -> DataFrame:
+    """(h, match): the earliest first line among ``pairs`` that a class's full set is similar to."""
+    links = _links(docs, group, pairs, classes)
     return links.groupBy(F.col("h_b").alias("h")).agg(F.min("first_a").alias("match"))
 
 
+def _classes(docs: DataFrame, classes: Column) -> tuple[DataFrame, DataFrame]:
+    """The lines with a word, and one row for each class of equal sets."""
+    lines = written(line_table(docs, classes), "lines")
+    group = lines.groupBy("h", "n", "map0", "map1").agg(F.min(F.struct("doc", "line")).alias("first"),
+                                                        F.first("prefix").alias("prefix"))
+    return lines, written(group, "lines-classes")
+
+
+def linked(docs: DataFrame) -> DataFrame:
+    """As ``judged`` with the earliest match, ``class`` (the first line with an equal
+    set) and ``n_links``, the number of other classes similar to the line's."""
+    docs = docs.select("doc_id", "text")
+    classes = rarity(docs)
+    lines, group = _classes(docs, classes)
+    pairs = written(every_candidate(group), "lines-pairs")
+    links = written(_links(docs, group, pairs, classes), "lines-links")
+    ends = links.select(F.col("h_b").alias("e"), F.col("first_a").alias("m")).union(
+        links.select(F.col("h_a").alias("e"), F.lit(None).alias("m")))
+    found = ends.groupBy("e").agg(F.min("m").alias("match"), F.count("*").alias("n_links"))
+    cls = group.select(F.col("h").alias("g"), "first").join(found, F.col("g") == F.col("e"), "left")
+    cls = written(cls.select("g", "first", "match", F.coalesce("n_links", F.lit(0)).alias("n_links")), "lines-judged")
+    return _decided(lines, cls, F.col("first").alias("class"), F.col("n_links"))
+
+
 def judged(docs: DataFrame) -> DataFrame:
     """doc, line, match (an earlier similar or equal line, else the line itself) and ``kept``."""
     docs = docs.select("doc_id", "text")
     classes = rarity(docs)
-    lines = written(line_table(docs, classes), "lines")
-    group = lines.groupBy("h", "n", "map0", "map1").agg(F.min(F.struct("doc", "line")).alias("first"),
-                                                        F.first("prefix").alias("prefix"))
-    group = written(group, "lines-classes")
+    lines, group = _classes(docs, classes)
     pairs = written(candidates(group), "lines-pairs")
     found = written(_confirmed(docs, group, pairs, classes), "lines-found")
     # Covered classes without a confirmed pair: their other pairs were left out.
@@ -200,18 +246,23 @@ def judged(docs: DataFrame) -> DataFrame:
         more = written(_all_candidates(group, open_), "lines-more")
         found = found.union(_confirmed(docs, group, more, classes))
     cls = group.select(F.col("h").alias("g"), "first").join(found, F.col("g") == F.col("h"), "left")
-    cls = written(cls.select("g", "first", "match"), "lines-judged")
+    return _decided(lines, written(cls.select("g", "first", "match"), "lines-judged"))
+
+
+def _decided(lines: DataFrame, cls: DataFrame, *more: Column) -> DataFrame:
     own = lines.select("doc", "line", "h").join(cls, F.col("h") == F.col("g"))
     kept = (F.col("first") == F.struct("doc", "line")) & F.col("match").isNull()
     return own.select("doc", "line", F.when(F.col("first") == F.struct("doc", "line"), F.coalesce("match", "first"))
-                      .otherwise(F.col("first")).alias("match"), kept.alias("kept"))
+                      .otherwise(F.col("first")).alias("match"), kept.alias("kept"), *more)
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Per document: its lines with decision and the line each repeats, and their counts."""
-    got = judged(docs).groupBy("doc").agg(F.sort_array(F.collect_list(F.struct(
+    """Per document: its lines with decision, the line each repeats, class and number of links, and their counts."""
+    got = linked(docs).groupBy("doc").agg(F.sort_array(F.collect_list(F.struct(
         "line", F.nullif(F.col("match.doc"), F.lit(NO_ID)).alias("match_doc"),
-        F.col("match.line").alias("match_line"), "kept"))).alias("lines"))
+        F.col("match.line").alias("match_line"), "kept",
+        F.nullif(F.col("class.doc"), F.lit(NO_ID)).alias("class_doc"), F.col("class.line").alias("class_line"),
+        "n_links"))).alias("lines"))
     ids = docs.select("doc_id", _key()).distinct()
     all_ = ids.join(got.withColumnRenamed("doc", "d"), F.col("doc") == F.col("d"), "left")
     lines = F.coalesce("lines", F.array().cast(got.schema["lines"].dataType))
