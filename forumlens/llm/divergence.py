@@ -3,13 +3,13 @@
 How far the sources of a language are apart in their use of terms, and which
 terms set a source apart from its language.
 
-Terms are shuffled as 64-bit digests, groups as 64-bit numbers, so every row of
-the large exchanges is a few longs.  Strings move in two small places only:
+Each task counts the terms of its rows per group; what it shuffles are 64-bit digests of
+terms, 64-bit numbers of groups and counts, so every row of the large exchanges is a few longs.  Strings move in two small places only:
 
 1. *Collisions.*  Digests that reach ``min_docs`` documents in a language are the only ones
    that can hold a kept term (a digest counts at least as many as each of its terms).
-   For these the smallest and the largest string are taken from the distinct
-   terms; where they differ, several terms share a digest.  Such digests are counted
+   For these the smallest and the largest string are taken from the texts;
+   where they differ, several terms share a digest.  Such digests are counted
    once more, split by the string itself, and replace the merged rows.
 2. *Kept outputs.*  Terms are ranked by value with all ties at the last rank, the
    text is joined to those rows only, and ties are then ranked by it.
@@ -31,31 +31,36 @@ repeated rows count as often as they occur; an empty table gives no rows; only
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from forumlens.llm.common import let, text_of, written
+from forumlens.llm.common import text_of, written
 
-# Characters outside terms: all of ASCII but letters.
-OUTSIDE = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Bytes of a text: ASCII capitals become small, all other ASCII but letters becomes a blank,
+# bytes of non-ASCII characters stay.
+TERM_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 MIN_DOCS = 10
 TOP = 10
 SCALE = 1_000_000_000
+HELD = 1 << 19                  # (group, term) counts a task holds before it hands them on
 BROADCAST_ROWS = 1_000_000      # digests (8 bytes each) that are sent to all tasks; more are joined by a shuffle
 
 
-def terms(text: Column) -> Column:
+def terms(text: bytes) -> list[bytes]:
     """The terms of a text in order: ASCII letters, in lower case, and all non-ASCII characters."""
-    ascii_only = F.octet_length(text) == F.char_length(text)
-    low = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-    return F.filter(F.split(low, OUTSIDE), lambda w: w != "")
+    return text.translate(TERM_BYTES).split()
 
 
-def digest(term: Column, bits: int = 64) -> Column:
-    h = F.xxhash64(term)
-    return h if bits == 64 else F.shiftrightunsigned(h, 64 - bits)
+def digests(words: list[bytes], bits: int = 64) -> pa.Array:
+    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    return pa.array((h >> np.uint64(64 - bits)).view(np.int64))
 
 
 def divergence(p: str | Column, q: str | Column) -> Column:
@@ -87,28 +92,74 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         if told["n"] == told["g"] and told["langs"] == told["l"]:
             break
         salt += 1
-    return rows.select("text", lid, gid), groups.select("lang", "source", lid, gid)
-
-
-def _cells(rows: DataFrame, bits: int, collided: DataFrame | None = None) -> DataFrame:
+    return rows.select("text", gid), groups.select("lang", "source", lid, gid)
+
+
+def _counts(rows: DataFrame, bits: int, with_text: bool = False) -> DataFrame:
+    """``g, d, n, docs`` (and the term as s): occurrences and documents, combined within each task."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, docs, held = defaultdict(Counter), defaultdict(Counter), 0
+
+        def handed_on() -> Iterator[pa.RecordBatch]:
+            for g, count in seen.items():
+                words = list(count)
+                of = docs[g]
+                columns = {"g": pa.array([g], pa.int64()).take(pa.array(np.zeros(len(words), np.int64))),
+                           "d": digests(words, bits), "n": pa.array(count.values(), pa.int64()),
+                           "docs": pa.array([of[w] for w in words], pa.int64())}
+                if with_text:
+                    columns["s"] = pa.array(words, pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
+            seen.clear()
+            docs.clear()
+
+        for batch in batches:
+            for g, text in zip(batch.column("g").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+                found = terms(text)
+                if found:
+                    held -= len(seen[g])
+                    seen[g].update(found)
+                    docs[g].update(set(found))
+                    held += len(seen[g])
+                if held >= HELD:
+                    yield from handed_on()
+                    held = 0
+        yield from handed_on()
+
+    schema = "g long, d long, n long, docs long" + (", s binary" if with_text else "")
+    return rows.select("g", "text").mapInArrow(task, schema)
+
+
+def _strings(rows: DataFrame, bits: int) -> DataFrame:
+    """``d, term``: the terms each task meets, most of them once a task."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[bytes] = set()
+        for batch in batches:
+            new: list[bytes] = []
+            for text in batch.column("text").cast(pa.binary()).to_pylist():
+                fresh = set(terms(text)) - met
+                met |= fresh
+                new += fresh
+                if len(met) >= HELD:
+                    met.clear()
+            yield pa.RecordBatch.from_pydict({"d": digests(new, bits), "term": pa.array(new, pa.binary())})
+
+    found = rows.select("text").mapInArrow(task, "d long, term binary")
+    return found.select("d", F.col("term").cast("string").alias("term"))
+
+
+def _cells(rows: DataFrame, groups: DataFrame, bits: int, collided: DataFrame | None = None) -> DataFrame:
     """``l, g, d, s, n, docs``: occurrences and documents per group and term digest.
 
     Without ``collided`` all digests, s null; with it only those, s the term.
     """
+    sums = [F.sum("n").alias("n"), F.sum("docs").alias("docs")]
     if collided is None:
-        item, key = F.sort_array(F.transform(terms(F.col("text")), lambda w: digest(w, bits))), None
+        out = _counts(rows, bits).groupBy("g", "d").agg(*sums).withColumn("s", F.lit(None).cast("string"))
     else:
-        item, key = F.sort_array(terms(F.col("text"))), "s"
-    found = F.explode(let(item, lambda xs: F.transform(xs, lambda x, i: F.struct(
-        x.alias("x"), F.when((i > 0) & (x == F.get(xs, i - 1)), 0).otherwise(1).alias("first")))))
-    each = rows.select("l", "g", found.alias("o")).select("l", "g", "o.x", "o.first")
-    each = (each.select("l", "g", F.col("x").alias("d"), "first") if key is None
-            else each.select("l", "g", digest(F.col("x"), bits).alias("d"), F.col("x").alias("s"), "first"))
-    if key is not None:
-        each = each.join(collided, "d", "left_semi")
-    keys = ["l", "g", "d", *([key] if key else [])]
-    out = each.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("first").alias("docs"))
-    return out if key else out.select("l", "g", "d", F.lit(None).cast("string").alias("s"), "n", "docs")
+        each = _counts(rows, bits, with_text=True).withColumn("s", F.col("s").cast("string"))
+        out = each.join(collided, "d", "left_semi").groupBy("g", "d", "s").agg(*sums)
+    return out.join(groups.select("l", "g"), "g").select("l", "g", "d", "s", "n", "docs")
 
 
 def _frequent(cells: DataFrame, min_docs: int) -> DataFrame:
@@ -131,18 +182,17 @@ def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS,
     ``text``: d, s, term; s is the term where its digest is shared, else null.
     """
     rows, groups = _numbered(docs)
-    cells = written(_cells(rows, bits), "divergence-cells")
+    groups = written(groups, "divergence-numbers")
+    cells = written(_cells(rows, groups, bits), "divergence-cells")
     frequent = written(_frequent(cells, min_docs), "divergence-frequent")
-    digests = frequent.select("d").distinct()
-    term = (rows.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
-            .select(digest(F.col("term"), bits).alias("d"), "term").join(_some(digests), "d", "left_semi")
-            .groupBy("d", "term").agg(F.lit(1).alias("one")))
+    candidates = frequent.select("d").distinct()
+    term = _strings(rows, bits).join(_some(candidates), "d", "left_semi")
     text = written(term.groupBy("d").agg(F.min("term").alias("least"), F.max("term").alias("most")), "divergence-text")
     whole = text.filter(F.col("least") == F.col("most")).select(
         "d", F.lit(None).cast("string").alias("s"), F.col("least").alias("term"))
     collided = text.filter(F.col("least") != F.col("most")).select("d")
     if not collided.isEmpty():
-        split = written(_cells(rows, bits, _some(collided)), "divergence-split")
+        split = written(_cells(rows, groups, bits, _some(collided)), "divergence-split")
         cells = cells.join(collided, "d", "left_anti").select(*split.columns).union(split)
         frequent = written(_frequent(cells, min_docs), "divergence-frequent")
         whole = whole.union(split.select("d", "s", F.col("s").alias("term")).distinct())

@@ -261,9 +261,17 @@ def test_audit_query(spark):
 
 
 def test_large_exchanges_carry_no_term_text(spark):
-    """The exchanges of counts, kept terms and pairs hold numbers only."""
-    rows = spark.createDataFrame([("a b", 1, 2)], "text string, l long, g long")
-    plan = divergence._cells(rows, 64)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange hashpartitioning(l#" in plan and "g#" in plan
-    shuffled = [f.dataType.simpleString() for f in divergence._cells(rows, 64).drop("s").schema]
-    assert set(shuffled) == {"bigint"}
+    """The exchange of counts holds numbers only; tasks hand on what they hold."""
+    rows = spark.createDataFrame([("a B b", 1)] * 3, "text string, g long")
+    counts = divergence._counts(rows, 64)
+    assert {f.dataType.simpleString() for f in counts.schema} == {"bigint"}
+    total = counts.groupBy("d").sum("n", "docs").collect()
+    assert sorted(tuple(r)[1:] for r in total) == [(3, 3), (6, 3)]
+
+
+def test_tasks_that_hand_on_early_count_the_same(spark, monkeypatch):
+    rnd = random.Random(7)
+    rows = div_rows(rnd, 80, [f"w{c}" for c in "abcdefghijklmnop"])
+    df = spark.createDataFrame([(*r, "", 1, 1, 1, "") for r in rows], DIV)
+    monkeypatch.setattr(divergence, "HELD", 5)
+    assert sorted(map(tuple, divergence.audit(df, 5, 3).collect())) == brute_audit(rows, 5, 3)
