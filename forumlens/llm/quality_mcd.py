@@ -7,14 +7,17 @@ letters per word character on the arcsine-root scale), rounded to a grid of
 counted first, so a group with a third of all rows is a few thousand weighted
 cells before anything is shuffled.  On the cells, concentration steps keep the
 75 % of a group's weight that is nearest by Mahalanobis distance and estimate
-mean and scatter from it again.  Group sums are sums of integers, so reruns
-agree to the bit.
+mean and scatter from it again, from two starts (medians with median absolute
+deviations; mean and scatter of all) until no estimate changes; of a group's two
+ends the one with the smaller determinant counts.  Group sums are sums of integers,
+so reruns agree to the bit.
 
 The variance of the grid's rounding on the diagonal keeps the scatter invertible
 where most texts of a group share a value (no symbols, no repeated line), and
 nothing else is added to the estimate.  A document's distance adds the sampling
 variance of its own statistics, 1 / 4n for a share of n on the arcsine-root
-scale: one repeated line of ten says little, five symbols in a hundred characters
+scale, and as much for the log of a mean word length (word lengths deviate by about
+half their mean): one repeated line of ten says little, five symbols in a hundred characters
 of a long text say much.  Groups with fewer
 than ``min_rows`` rows use the estimate of their language, and languages with
 fewer that of all rows.
@@ -22,7 +25,8 @@ fewer that of all rows.
 Defined cases: a null text counts as empty, a null language or source is a
 group of its own, repeated rows count as often as they occur, an empty table
 gives no rows.  Only ``doc_id``, ``text``, ``lang`` and ``source`` are read, so
-further columns cannot clash.  Texts of fewer than 50 words, or with over half
+further columns cannot clash.  ``keep_good`` decides each row by its own text, so
+null and repeated ids change nothing.  Texts of fewer than 50 words, or with over half
 of their words in repeated three-word windows, fail before the verdict and stay
 out of the estimates.
 """
@@ -39,9 +43,10 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 GRID = 32
 KEEP_SHARE = 0.75        # weight that a concentration step keeps
-STEPS = 4
-# Scatter of the nearest 75 % against that of all rows, for five normal dimensions.
-CONSISTENCY = 1.61
+STEPS = 30               # at most; a step never raises the determinant, so they end
+# Scatter of all rows against that of the nearest 75 %, for five normal dimensions:
+# 0.75 / P(chi-square of 7 degrees <= the 0.75 quantile of chi-square of 5).
+CONSISTENCY = 1.413
 CUT = 30.86              # chi-square, five degrees of freedom, 0.99999
 DIMS = 5
 FLOORS = (1 / GRID / 12 ** 0.5,) * DIMS     # deviation of the grid's rounding
@@ -98,11 +103,11 @@ def _root(part: Column, whole: Column) -> Column:
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """One row per document: base statistics, base verdict and grid vector."""
+    """One row per document: base statistics, base verdict and grid vector, beside ``carry``."""
     t = text_of("text")
     lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     row = docs.select(
-        "doc_id", "lang", "source",
+        "carry", "lang", "source",
         let(words(t), lambda w: F.struct(F.size(w).cast("long").alias("n_words"),
                                          repeated_words(w).alias("n_repeat_words"))).alias("w"),
         F.char_length(F.translate(t, SPACES, "")).cast("long").alias("word_chars"),
@@ -110,7 +115,7 @@ def statistics(docs: DataFrame) -> DataFrame:
         (F.char_length(t) - F.char_length(F.translate(t, UPPER, ""))).cast("long").alias("n_upper"),
         let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"),
                                       F.size(F.array_distinct(x)).cast("long").alias("d"))).alias("l"))
-    row = row.select("doc_id", "lang", "source", F.col("w.n_words").alias("n_words"), "word_chars",
+    row = row.select("carry", "lang", "source", F.col("w.n_words").alias("n_words"), "word_chars",
                      "n_symbols", "n_upper", F.col("l.n").alias("n_lines"),
                      (F.col("l.n") - F.col("l.d")).alias("n_dup_lines"),
                      F.col("w.n_repeat_words").alias("n_repeat_words"))
@@ -136,17 +141,17 @@ def _levels(cells: DataFrame) -> DataFrame:
             .agg(F.sum("n").alias("n")))
 
 
-def _moments(near: DataFrame) -> DataFrame:
+def _moments(near: DataFrame, ends: list[str]) -> DataFrame:
     """Mean and regularised scatter of each group from integer sums."""
     sums = [F.sum(F.col("n") * F.col(q)).alias(f"s{i}") for i, q in enumerate(Q)]
     cross = [F.sum(F.col("n") * F.col(Q[i]) * F.col(Q[j])).alias(f"s{i}_{j}")
              for i in range(DIMS) for j in range(i + 1)]
-    m = near.groupBy("k").agg(F.sum("n").alias("h"), *sums, *cross)
+    m = near.groupBy(*ends).agg(F.sum("n").alias("h"), *sums, *cross)
     mu = [(F.col(f"s{i}") / F.col("h") / GRID).alias(f"m{i}") for i in range(DIMS)]
     cov = [((F.col(f"s{i}_{j}") / F.col("h") - F.col(f"s{i}") / F.col("h") * (F.col(f"s{j}") / F.col("h")))
             / (GRID * GRID) * CONSISTENCY + (FLOORS[i] ** 2 if i == j else 0.0)).alias(f"c{i}_{j}")
            for i in range(DIMS) for j in range(i + 1)]
-    return _cholesky(m.select("k", *mu, *cov), ["k"])
+    return _cholesky(m.select(*ends, *mu, *cov), ends)
 
 
 def _cholesky(p: DataFrame, keep: list[str]) -> DataFrame:
@@ -194,26 +199,33 @@ def _start(cells: DataFrame) -> DataFrame:
 
 
 def estimates(stats: DataFrame, min_rows: int = 200, steps: int = STEPS) -> DataFrame:
-    """Mean and Cholesky factor for each group of at least ``min_rows`` rows."""
+    """Mean and Cholesky factor for each group of at least ``min_rows`` rows, and the
+    ``volume`` they were chosen by (half the log of the determinant)."""
     cells = stats.filter(~F.col("base_failed")).groupBy("lang", "source", *Q).agg(F.count("*").alias("n"))
     cells = _levels(cells)
     big = cells.groupBy("k").agg(F.sum("n").alias("total")).filter(
         (F.col("total") >= min_rows) | (F.col("k.level") == 0))
     cells = written(cells.join(big, "k"), "mcd-cells")
-    params = _start(cells)
-    order = W.partitionBy("k").orderBy("d2", *Q)
+    ends = ["k", "start"]
+    params = _start(cells).withColumn("start", F.lit(0)).unionByName(
+        _moments(cells.withColumn("start", F.lit(1)), ends))
+    order = W.partitionBy(*ends).orderBy("d2", *Q)
     for _ in range(steps):
-        near = _with_distance(cells.join(params, "k"), ["k", "total", "n", *Q])
+        near = _with_distance(cells.join(params, "k"), [*ends, "total", "n", *Q])
         near = near.withColumn("before", F.sum("n").over(order.rowsBetween(W.unboundedPreceding, 0)) - F.col("n"))
-        params = written(_moments(near.filter(F.col("before") < KEEP_SHARE * F.col("total"))), "mcd-fit")
-    return params
-
-
-def judge(docs: DataFrame, min_rows: int = 200, cut: float = CUT) -> DataFrame:
-    """Base statistics, ``base_failed``, ``distance2`` and ``kept`` per document."""
-    stats = written(statistics(docs.select("doc_id", "text", "lang", "source")), "mcd-stats")
-    fits = estimates(stats, min_rows)
-    groups = fits.select("k", *[c for c in fits.columns if c != "k"])
+        before, params = params, written(
+            _moments(near.filter(F.col("before") < KEEP_SHARE * F.col("total")), ends), "mcd-fit")
+        if params.select(sorted(params.columns)).exceptAll(before.select(sorted(before.columns))).isEmpty():
+            break
+    volume = sum((F.log(f"l{i}_{i}") for i in range(DIMS)), F.lit(0.0))
+    fit = F.struct(volume.alias("volume"), "start", *[c for c in params.columns if c not in ends])
+    return params.groupBy("k").agg(F.min(fit).alias("f")).select("k", "f.*").drop("start")
+
+
+def _judged(rows: DataFrame, min_rows: int, cut: float) -> DataFrame:
+    """``carry`` with base statistics, verdict and distance; ``rows``: carry, text, lang, source."""
+    stats = written(statistics(rows), "mcd-stats")
+    groups = estimates(stats, min_rows)
     # The most specific estimate of each (language, source) that occurs.
     key = stats.select("lang", "source").distinct()
     null = F.lit(None).cast("string")
@@ -226,14 +238,21 @@ def judge(docs: DataFrame, min_rows: int = 200, cut: float = CUT) -> DataFrame:
               .select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), "f.*"))
     joined = stats.join(chosen, stats["lang"].eqNullSafe(chosen["g_lang"])
                         & stats["source"].eqNullSafe(chosen["g_source"]), "left")
-    out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    out = ["carry", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     far = _with_distance(_own_scatter(joined, [*out, *Q]), out)
     return far.select(*out, (~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= cut)).alias("kept"),
                       F.col("d2").alias("distance2"))
 
 
+def judge(docs: DataFrame, min_rows: int = 200, cut: float = CUT) -> DataFrame:
+    """Base statistics, ``base_failed``, ``kept`` and ``distance2`` per document."""
+    judged = _judged(docs.select(F.struct("doc_id").alias("carry"), "text", "lang", "source"), min_rows, cut)
+    return judged.select("carry.doc_id", *[c for c in judged.columns if c != "carry"])
+
+
 def keep_good(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents the rules reject.  Rows whose ``doc_id``
-    is null cannot be told apart and stay."""
-    bad = judge(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_rejected")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["_rejected"], "left_anti")
+    """``docs`` without the rows the rules reject."""
+    judged = _judged(docs.select(F.struct("*").alias("carry"), "text", "lang", "source"), 200, CUT)
+    # A filter does not pass a generator; below it, it would copy the whole factorisation.
+    rows = judged.select(F.inline(F.array(F.struct("carry", "kept"))))
+    return rows.filter("kept").select("carry.*")
