@@ -6,21 +6,22 @@ copies a filled one that a fixed random walk over the bins finds (optimal
 densification).  ``BANDS`` bands of ``ROWS`` bins are the buckets: a pair at
 the similarity of 0.8 shares one with probability 0.999997.
 
-Documents with equal shingle sets are one class, represented by its smallest
-doc_id, before anything is bucketed, so a group of copies is one row.  In a
-bucket only the star from its smallest member is a candidate; each candidate is
-confirmed on full shingle sets.  Bucket members outside the component that most
+Documents with equal shingle sets are one class, with a number of its own,
+before anything is bucketed, so a group of copies is one row and ids play no part
+in the links.  In a bucket only the star from its smallest class is a candidate; each
+candidate that the parity maps allow (below) is confirmed on full shingle sets, which are
+made again from the texts of those classes only.  Bucket members outside the component that most
 of their bucket belongs to then meet every member of another component, and the
 pairs whose parity maps allow a link are confirmed too (a bit of a map says
 whether an odd number of shingles falls on it, so two maps differ in at most as
 many bits as there are shingles the sets do not share).  So no pair that shares a
 bucket is lost, and pairs within a component are not emitted.  Components are
-connected by alternating star steps.
+connected by alternating star steps, and named by their smallest doc_id at the end.
 
 Defined cases: a null or blank text has no shingles and is linked with nothing,
-a text shorter than a shingle is one shingle, repeated rows and equal doc_ids
-fall into one class, a null doc_id takes part as the largest id.  Only
-``doc_id`` and ``text`` are read.
+a text shorter than a shingle is one shingle, repeated rows fall into one class, rows
+that repeat a doc_id with other texts are documents of their own (linked by their
+texts), a null doc_id counts as the largest id.  Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ BIN_BITS = 8
 MAP_LONGS = 16               # length of a parity map
 NUM, DEN = 80, 100           # similarity of a link
 NO_ID = (1 << 63) - 1
+BROADCAST_ROWS = 1_000_000   # rows of 8 bytes that are sent to all tasks; more are joined by a shuffle
 
 
 def _walk(bins: int = BINS, steps: int = 4096, seed: int = 7) -> np.ndarray:
@@ -117,8 +119,18 @@ def _may_link(map_a: Column, n_a: Column, map_b: Column, n_b: Column) -> Column:
     return F.coalesce(apart * (DEN + NUM) <= (n_a + n_b) * (DEN - NUM), F.lit(True))
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text``, its hash ``th`` and ``at``, which finds rows again: the id, without one the hash."""
+    own, th = F.col("doc_id").cast("long"), F.xxhash64("text")
+    return docs.select(F.coalesce(own, F.lit(NO_ID)).alias("doc_id"), "text", th.alias("th"), F.coalesce(own, th).alias("at"))
+
+
+def _digest(h: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, set hash, bucket keys and parity map of every document."""
+    """doc_id, th, at, n_shingles, set digest, bucket keys and parity map of every document."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         walk = _walk()
@@ -132,24 +144,40 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                     k = band_keys([sets[i] for i in some], walk)
                     for j, i in enumerate(some):
                         keys[i] = k[j]
-                digest = [xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None for h in sets]
-                yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "n_shingles": [len(h) for h in sets],
-                                    "set_id": digest, "keys": keys, "map": [parity_map(h) for h in sets]})
+                yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "th": b["th"].to_numpy(), "at": b["at"].to_numpy(),
+                                    "n_shingles": [len(h) for h in sets], "set_id": [_digest(h) for h in sets],
+                                    "keys": keys, "map": [parity_map(h) for h in sets]})
+
+    return _rows(docs).mapInPandas(run, "doc_id long, th long, at long, n_shingles long, set_id binary, keys array<long>, map array<long>")
+
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
-    return rows.mapInPandas(run, "doc_id long, n_shingles long, set_id binary, keys array<long>, map array<long>")
+def _few(rows: DataFrame) -> DataFrame:
+    """``rows`` for a join: sent to all tasks while few, which is counted first."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """Full shingle sets of the documents in ``nodes``."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
-    rows = rows.join(nodes.withColumnRenamed("node", "n"), F.col("doc_id") == F.col("n"), "left_semi")
+def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """Full shingle sets of the classes in ``nodes``."""
+    wanted = classes.join(nodes.withColumnRenamed("node", "wn"), F.col("node") == F.col("wn"), "left_semi")
+    wanted = written(wanted.select("node", F.col("set_id").alias("sid"), F.col("at").alias("wat")), "oph-wanted")
+    rows = _rows(docs).join(_few(wanted.select("wat").distinct()), F.col("at") == F.col("wat"), "left_semi")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"node": b["doc_id"], "s": [shingle_hashes(t, width).view(np.int64) for t in b["text"]]})
+            sets = [shingle_hashes(t, width) for t in b["text"]]
+            yield pd.DataFrame({"set_id": [_digest(h) for h in sets], "s": [h.view(np.int64) for h in sets]})
 
-    return rows.mapInPandas(run, "node long, s array<long>")
+    found = rows.select("text").mapInPandas(run, "set_id binary, s array<long>")
+    # An id may stand on rows with other texts: the digest tells them apart.
+    return found.join(wanted, F.col("set_id") == F.col("sid")).groupBy("node").agg(F.first("s").alias("s"))
+
+
+def _allowed(pairs: DataFrame, shapes: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) that the parity maps leave room for."""
+    left = shapes.select(F.col("node").alias("na"), F.col("n").alias("ca"), F.col("map").alias("ma"))
+    right = shapes.select(F.col("node").alias("nb"), F.col("n").alias("cb"), F.col("map").alias("mb"))
+    j = pairs.join(left, F.col("a") == F.col("na")).join(right, F.col("b") == F.col("nb"))
+    return j.filter(_may_link(F.col("ma"), F.col("ca"), F.col("mb"), F.col("cb"))).select("a", "b")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -164,35 +192,47 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def clusters(docs: DataFrame, width: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document."""
+    return _clusters(docs, width).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _clusters(docs: DataFrame, width: int) -> DataFrame:
+    """``clusters`` with the hash ``th`` of each text."""
     docs = docs.select("doc_id", "text")
     sk = written(sketches(docs, width), "oph")
-    reps = sk.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("rep"))
-    reps = written(reps, "oph-classes")
-    # Rows that represent a class; equal doc_ids with equal sets are one row here.
-    heads = (sk.filter(F.col("set_id").isNotNull()).join(reps, ["set_id"]).filter(F.col("doc_id") == F.col("rep"))
-             .select("rep", "n_shingles", "keys", "map"))
-    posts = heads.select("rep", F.explode("keys").alias("key"))
-    hubs = (posts.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("far"))
+    classes = sk.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.min("at").alias("at"))
+    # Numbers are fixed by being written.
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "oph-classes")
+    # One row per class, but for repeated rows.
+    heads = (sk.join(classes.select(F.col("set_id").alias("sid"), F.col("at").alias("cat"), "node"),
+                     (F.col("set_id") == F.col("sid")) & (F.col("at") == F.col("cat")))
+             .select("node", "n_shingles", "keys", "map"))
+    posts = heads.select("node", F.explode("keys").alias("key"))
+    hubs = (posts.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("far"))
             .filter(F.col("hub") != F.col("far")).select(F.col("key").alias("k"), "hub"))
-    shared = written(posts.join(hubs, F.col("key") == F.col("k")).select("key", "hub", "rep").distinct(), "oph-buckets")
-    stars = written(shared.filter(F.col("hub") != F.col("rep")).select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-                    .distinct(), "oph-stars")
-    nodes = stars.select(F.col("a").alias("node")).union(stars.select(F.col("b").alias("node"))).distinct()
-    # A doc_id that repeats with another text keeps the first set by content.
-    sets = written(_sets(docs, nodes, width).groupBy("node").agg(F.max_by("s", F.size("s")).alias("s")), "oph-sets")
-    roots = components(confirmed(stars, sets))
-    # No map, and so no bound, where rows repeat a doc_id.
-    shapes = heads.groupBy(F.col("rep").alias("sr")).agg(
-        F.max("n_shingles").alias("n"), F.when(F.count("*") == 1, F.first("map")).alias("map"))
-    roots = _cross_links(roots, shared, shapes, sets)
-    cls = sk.join(reps, ["set_id"], "left")
-    out = cls.join(roots, cls["rep"] == roots["node"], "left")
-    comp = F.coalesce("root", "rep", "doc_id")
+    shared = written(posts.join(hubs, F.col("key") == F.col("k")).select("key", "hub", F.col("node").alias("rep")).distinct(),
+                     "oph-buckets")
+    shapes = heads.groupBy("node").agg(F.max("n_shingles").alias("n"), F.first("map").alias("map"))
+    stars = shared.filter(F.col("hub") != F.col("rep")).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    stars = written(_allowed(stars, shapes), "oph-stars")
+    roots = components(_linked(docs, classes, stars, width))
+    roots = _cross_links(docs, classes, roots, shared, shapes, width)
+    named = (classes.select("set_id", "rep", F.col("node").alias("cn"))
+             .join(roots, F.col("cn") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cn")))
+    least = named.groupBy(F.col("root").alias("lr")).agg(F.min("rep").alias("component"))
+    named = named.join(least, F.col("root") == F.col("lr")).select("set_id", "component")
+    out = sk.join(named, ["set_id"], "left")
+    comp = F.coalesce("component", "doc_id")
     null = F.lit(NO_ID)
-    return out.select(F.nullif("doc_id", null).alias("doc_id"), "n_shingles",
+    return out.select(F.nullif("doc_id", null).alias("doc_id"), "th", "n_shingles",
                       F.nullif(comp, null).alias("component_id"), (F.col("doc_id") == comp).alias("kept"))
 
 
+def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """The pairs of classes that are links, on full sets."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    return confirmed(pairs, written(_sets(docs, classes, nodes, width), "oph-sets"))
+
+
 def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
     """``members`` (key, rep, ..) of buckets with more than one component, with their
     ``root`` and whether they are ``outside`` the component of most members."""
@@ -216,9 +256,10 @@ def _merged(roots: DataFrame, more: DataFrame) -> DataFrame:
     return components(old.union(up))
 
 
-def _cross_links(roots: DataFrame, shared: DataFrame, shapes: DataFrame, sets: DataFrame) -> DataFrame:
+def _cross_links(docs: DataFrame, classes: DataFrame, roots: DataFrame, shared: DataFrame, shapes: DataFrame,
+                 width: int) -> DataFrame:
     """``roots`` after the links between components that share a bucket but not through its hub."""
-    m = _open(shared, roots).join(shapes, F.col("rep") == F.col("sr")).drop("sr")
+    m = _open(shared, roots).join(shapes.withColumnRenamed("node", "sr"), F.col("rep") == F.col("sr")).drop("sr")
     m = written(m, "oph-members")
     x = m.filter("outside").select(F.col("key").alias("k"), F.col("rep").alias("x"), F.col("root").alias("xr"),
                                    F.col("n").alias("xn"), F.col("map").alias("xm"))
@@ -227,12 +268,13 @@ def _cross_links(roots: DataFrame, shared: DataFrame, shapes: DataFrame, sets: D
     met = (F.col("rep") == F.col("hub")) | (F.col("x") == F.col("hub"))
     pairs = m.join(x, (F.col("key") == F.col("k")) & new & ~met).select(
         F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct()
-    return _merged(roots, written(confirmed(pairs, sets), "oph-cross"))
+    pairs = written(pairs, "oph-across")
+    return roots if pairs.isEmpty() else _merged(roots, written(_linked(docs, classes, pairs, width), "oph-cross"))
 
 
 def one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:
-    """``docs`` without the later documents of each component.  Rows with a null
-    ``doc_id`` stay; of rows that repeat a kept doc_id all stay."""
-    gone = clusters(docs, width).filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """``docs`` without the later documents of each component: the rows whose id is
+    its smallest stay (rows without an id, only where none has one)."""
+    gone = _clusters(docs, width).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"), "th").distinct()
+    gone = _few(written(gone, "oph-gone"))
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["th"]), "left_anti")
