@@ -47,5 +47,10 @@ def written(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sent_if_few(rows: DataFrame, limit: int = 1_000_000) -> DataFrame:
+    """``rows`` for a join: sent to all tasks while at most ``limit``, which is counted first."""
+    return F.broadcast(rows) if rows.limit(limit + 1).count() <= limit else rows
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from forumlens.llm.common import text_of, written
+from forumlens.llm.common import sent_if_few, text_of, written
 
 # Bytes of a text: ASCII capitals become small, all other ASCII but letters becomes a blank,
 # bytes of non-ASCII characters stay.
@@ -168,12 +168,6 @@ def _frequent(cells: DataFrame, min_docs: int) -> DataFrame:
             .filter(F.col("df") >= min_docs).drop("df"))
 
 
-def _some(digests: DataFrame) -> DataFrame:
-    """``digests`` for a join: sent to all tasks while few, which is counted first."""
-    few = digests.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return F.broadcast(digests) if few else digests
-
-
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS,
                bits: int = 64) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """The groups, the cells of kept terms, each language's kept terms, and the text of digests.
@@ -186,13 +180,13 @@ def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS,
     cells = written(_cells(rows, groups, bits), "divergence-cells")
     frequent = written(_frequent(cells, min_docs), "divergence-frequent")
     candidates = frequent.select("d").distinct()
-    term = _strings(rows, bits).join(_some(candidates), "d", "left_semi")
+    term = _strings(rows, bits).join(sent_if_few(candidates, BROADCAST_ROWS), "d", "left_semi")
     text = written(term.groupBy("d").agg(F.min("term").alias("least"), F.max("term").alias("most")), "divergence-text")
     whole = text.filter(F.col("least") == F.col("most")).select(
         "d", F.lit(None).cast("string").alias("s"), F.col("least").alias("term"))
     collided = text.filter(F.col("least") != F.col("most")).select("d")
     if not collided.isEmpty():
-        split = written(_cells(rows, groups, bits, _some(collided)), "divergence-split")
+        split = written(_cells(rows, groups, bits, sent_if_few(collided, BROADCAST_ROWS)), "divergence-split")
         cells = cells.join(collided, "d", "left_anti").select(*split.columns).union(split)
         frequent = written(_frequent(cells, min_docs), "divergence-frequent")
         whole = whole.union(split.select("d", "s", F.col("s").alias("term")).distinct())

@@ -96,9 +96,13 @@ def line_table(docs: DataFrame, classes: Column) -> DataFrame:
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    post = classes.select("h", "first", "n", "map0", "map1", F.posexplode("prefix").alias("pos", "word"))
-    # The filter that Spark adds below a join, stated so that all uses share one exchange.
-    return post.filter(F.col("word").isNotNull())
+    """One flat row for each word of a prefix.  No column can be null: Spark then adds no filters
+    below the joins, and all uses share one exchange."""
+    def known(c: str) -> Column:
+        return F.coalesce(F.col(c), F.lit(0)).alias(c)
+
+    post = classes.select("h", "first.doc", "first.line", "n", "map0", "map1", F.posexplode("prefix").alias("pos", "word"))
+    return post.select(*[known(c) for c in post.columns])
 
 
 def _may_match(a, b) -> Column:
@@ -107,7 +111,8 @@ def _may_match(a, b) -> Column:
     need = F.ceil(both * NUM / (NUM + DEN)).cast("int")       # shared words of a similar pair
     rest = F.least(a("n") - a("pos"), b("n") - b("pos"))
     apart = (F.bit_count(a("map0").bitwiseXOR(b("map0"))) + F.bit_count(a("map1").bitwiseXOR(b("map1"))))
-    return ((a("first") < b("first")) & (a("n") * DEN >= b("n") * NUM) & (b("n") * DEN >= a("n") * NUM)
+    first = (a("doc") < b("doc")) | ((a("doc") == b("doc")) & (a("line") < b("line")))
+    return (first & (a("n") * DEN >= b("n") * NUM) & (b("n") * DEN >= a("n") * NUM)
             & (F.least(a("pos"), b("pos")) + rest >= need) & (apart <= both - 2 * need))
 
 
@@ -120,6 +125,12 @@ def _of(end: str):
 
 
 PAIR = ["h_a", "first_a", "h_b"]
+
+
+def _pair(joined: DataFrame) -> DataFrame:
+    return joined.select("h_a", F.struct(F.col("doc_a").alias("doc"), F.col("line_a").alias("line")).alias("first_a"), "h_b")
+
+
 HUBS = (["word"], ["word", "n"], ["word", "pos"])
 
 
@@ -135,16 +146,16 @@ def candidates(classes: DataFrame) -> DataFrame:
     post = _postings(classes).repartition("word")
     seen = post
     for k, by in enumerate(HUBS):
-        hub = F.min(F.struct("first", "h", "n", "map0", "map1", "pos")).over(W.partitionBy(*by))
+        hub = F.min(F.struct("doc", "line", "h", "n", "map0", "map1", "pos")).over(W.partitionBy(*by))
         seen = seen.withColumn(f"hub{k}", hub)
-    near = [F.when(_may_match(lambda c, k=k: F.col(f"hub{k}.{c}"), F.col), F.struct(f"hub{k}.h", f"hub{k}.first"))
+    near = [F.when(_may_match(lambda c, k=k: F.col(f"hub{k}.{c}"), F.col), F.struct(f"hub{k}.h", f"hub{k}.doc", f"hub{k}.line"))
             for k in range(len(HUBS))]
     seen = seen.select(*post.columns, F.array_compact(F.array(*near)).alias("near"))
     hubs = seen.select(F.explode("near").alias("x"), F.col("h").alias("h_b")).select(
-        F.col("x.h").alias("h_a"), F.col("x.first").alias("first_a"), "h_b", F.lit(True).alias("covered"))
+        F.col("x.h").alias("h_a"), F.struct("x.doc", "x.line").alias("first_a"), "h_b", F.lit(True).alias("covered"))
     a, b = _suffixed(post, "a"), _suffixed(seen.filter(F.size("near") == 0).drop("near"), "b")
     rest = a.join(b, (F.col("word_a") == F.col("word_b")) & _may_match(_of("a"), _of("b")))
-    pairs = hubs.union(rest.select(*PAIR, F.lit(False).alias("covered")))
+    pairs = hubs.union(_pair(rest).withColumn("covered", F.lit(False)))
     return pairs.groupBy(*PAIR).agg(F.max("covered").alias("covered"))
 
 
@@ -156,11 +167,11 @@ def every_candidate(classes: DataFrame) -> DataFrame:
     # One exchange for both sides.
     rest = post.join(hot, F.col("word") == F.col("w"), "left_anti").repartition("word")
     same = (F.col("word_a") == F.col("word_b")) & _may_match(_of("a"), _of("b"))
-    pairs = _suffixed(rest, "a").join(_suffixed(rest, "b"), same).select(*PAIR)
+    pairs = _pair(_suffixed(rest, "a").join(_suffixed(rest, "b"), same))
     wide = post.join(hot, F.col("word") == F.col("w")).drop("w")
     a = wide.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
     b = wide.withColumn("slice", F.pmod(F.xxhash64("h"), F.col("slices")))
-    sliced = _suffixed(a, "a").join(_suffixed(b, "b"), same & (F.col("slice_a") == F.col("slice_b"))).select(*PAIR)
+    sliced = _pair(_suffixed(a, "a").join(_suffixed(b, "b"), same & (F.col("slice_a") == F.col("slice_b"))))
     return pairs.union(sliced).distinct()
 
 
@@ -168,7 +179,7 @@ def _all_candidates(classes: DataFrame, later: DataFrame) -> DataFrame:
     """Every pair that passes the filters for the few classes ``later`` (h)."""
     own = _sized(written(_postings(classes.join(later, classes["h"] == later["u"], "left_semi")), "lines-open"))
     a, b = _suffixed(_postings(classes), "a"), _suffixed(own, "b")
-    return a.join(b, (F.col("word_a") == F.col("word_b")) & _may_match(_of("a"), _of("b"))).select(*PAIR).distinct()
+    return _pair(a.join(b, (F.col("word_a") == F.col("word_b")) & _may_match(_of("a"), _of("b")))).distinct()
 
 
 def _sized(df: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forumlens.llm.common import written
+from forumlens.llm.common import sent_if_few, written
 from forumlens.llm.components import components
 
 BINS, ROWS = 256, 6
@@ -151,16 +151,11 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     return _rows(docs).mapInPandas(run, "doc_id long, th long, at long, n_shingles long, set_id binary, keys array<long>, map array<long>")
 
 
-def _few(rows: DataFrame) -> DataFrame:
-    """``rows`` for a join: sent to all tasks while few, which is counted first."""
-    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
-
-
 def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """Full shingle sets of the classes in ``nodes``."""
     wanted = classes.join(nodes.withColumnRenamed("node", "wn"), F.col("node") == F.col("wn"), "left_semi")
     wanted = written(wanted.select("node", F.col("set_id").alias("sid"), F.col("at").alias("wat")), "oph-wanted")
-    rows = _rows(docs).join(_few(wanted.select("wat").distinct()), F.col("at") == F.col("wat"), "left_semi")
+    rows = _rows(docs).join(sent_if_few(wanted.select("wat").distinct(), BROADCAST_ROWS), F.col("at") == F.col("wat"), "left_semi")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -276,5 +271,5 @@ def one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:
     """``docs`` without the later documents of each component: the rows whose id is
     its smallest stay (rows without an id, only where none has one)."""
     gone = _clusters(docs, width).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"), "th").distinct()
-    gone = _few(written(gone, "oph-gone"))
+    gone = sent_if_few(written(gone, "oph-gone"), BROADCAST_ROWS)
     return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["th"]), "left_anti")

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from forumlens.llm.common import SPACE_CLASS, SPACES, let, text_of, words, written
+from forumlens.llm.common import SPACE_CLASS, SPACES, let, sent_if_few, text_of, words, written
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -236,9 +236,10 @@ def _judged(rows: DataFrame, min_rows: int, cut: float) -> DataFrame:
     fit = F.struct("k.level", *[c for c in groups.columns if c != "k"])
     chosen = (options.join(groups, "k").groupBy("lang", "source").agg(F.max(fit).alias("f"))
               .select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), "f.*"))
+    chosen = sent_if_few(written(chosen, "mcd-chosen"), 10_000)
     joined = stats.join(chosen, stats["lang"].eqNullSafe(chosen["g_lang"])
                         & stats["source"].eqNullSafe(chosen["g_source"]), "left")
-    out = ["carry", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    out = ["carry", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     far = _with_distance(_own_scatter(joined, [*out, *Q]), out)
     return far.select(*out, (~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= cut)).alias("kept"),
                       F.col("d2").alias("distance2"))
@@ -247,12 +248,17 @@ def _judged(rows: DataFrame, min_rows: int, cut: float) -> DataFrame:
 def judge(docs: DataFrame, min_rows: int = 200, cut: float = CUT) -> DataFrame:
     """Base statistics, ``base_failed``, ``kept`` and ``distance2`` per document."""
     judged = _judged(docs.select(F.struct("doc_id").alias("carry"), "text", "lang", "source"), min_rows, cut)
-    return judged.select("carry.doc_id", *[c for c in judged.columns if c != "carry"])
+    return judged.select("carry.doc_id", *[c for c in judged.columns if c not in ("carry", "lang", "source")])
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows the rules reject."""
-    judged = _judged(docs.select(F.struct("*").alias("carry"), "text", "lang", "source"), 200, CUT)
+    """``docs`` without the rows the rules reject; a row is told by its text, language and source,
+    which are all that a verdict depends on."""
+    told = F.unhex(F.md5(F.coalesce(docs["text"], F.lit(""))))
+    judged = _judged(docs.select(F.struct(told.alias("text")).alias("carry"), "text", "lang", "source"), 200, CUT)
     # A filter does not pass a generator; below it, it would copy the whole factorisation.
-    rows = judged.select(F.inline(F.array(F.struct("carry", "kept"))))
-    return rows.filter("kept").select("carry.*")
+    rows = judged.select(F.inline(F.array(F.struct("carry", "kept", "lang", "source"))))
+    gone = rows.filter(~F.col("kept")).select(F.col("carry.text").alias("_t"), F.col("lang").alias("_l"), F.col("source").alias("_s"))
+    gone = sent_if_few(written(gone.distinct(), "mcd-gone"))
+    return docs.join(gone, (told == gone["_t"]) & docs["lang"].eqNullSafe(gone["_l"])
+                     & docs["source"].eqNullSafe(gone["_s"]), "left_anti")
