@@ -22,6 +22,14 @@ ROW_STARTS = ("<row ", "<row\t", "<row\r")     # a row element's name and XML wh
 QUESTION, ANSWER = 1, 2         # PostTypeId codes
 UPVOTE, DOWNVOTE = 2, 3         # VoteTypeId codes
 
+# The number texts that the reference's int() and float() take (ASCII digits):
+# white space around, a sign, single underscores between digits, infinities and NaN.
+PADDING = r"[\s\x1C-\x1F\x85\xA0\p{Z}]*"
+DIGITS = "[0-9](?:_?[0-9])*"
+WHOLE_PATTERN = f"^{PADDING}[+-]?{DIGITS}{PADDING}$"
+NUMBER_PATTERN = (f"(?i)^{PADDING}[+-]?(?:(?:{DIGITS}[.]?(?:{DIGITS})?|[.]{DIGITS})(?:e[+-]?{DIGITS})?"
+                  f"|inf(?:inity)?|nan){PADDING}$")
+
 MICROS_PER_HOUR = 3_600_000_000
 
 
@@ -49,6 +57,24 @@ def parse_timestamp(text: Column | str) -> Column:
     return col_of(text).try_cast("timestamp_ntz")
 
 
+def _plain(text: Column, pattern: str) -> Column:
+    """The text without padding and underscores where it has the pattern, else NULL."""
+    found = F.nullif(F.regexp_extract(text, pattern, 0), F.lit(""))
+    return F.regexp_replace(found, r"[\s\x1C-\x1F\x85\xA0\p{Z}_]", "")
+
+
+def parse_whole(text: Column | str) -> Column:
+    """Number text -> BIGINT; NULL unless it is a whole number of 64 bits.  The
+    pattern is tried only on texts that a plain cast does not take."""
+    c = col_of(text)
+    return F.coalesce(c.try_cast("bigint"), _plain(c, WHOLE_PATTERN).try_cast("bigint"))
+
+
+def parse_number(text: Column | str) -> Column:
+    """Number text -> DOUBLE for all that ``float`` takes; NULL for the rest (``1.5f``, ``0x1``)."""
+    return _plain(col_of(text), NUMBER_PATTERN).try_cast("double")
+
+
 def format_timestamp(ts: Column | str, digits: int = 6) -> Column:
     """TIMESTAMP_NTZ -> dump text ``yyyy-MM-ddTHH:mm:ss[.f]`` with ``digits``
     fraction digits (6 is lossless).

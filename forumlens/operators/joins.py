@@ -6,7 +6,7 @@ adaptive execution measures the shuffled sides and switches to a broadcast
 only when a side is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``,
 and splits a skewed partition into several tasks (``skewJoin``).  An explicit
 broadcast is used only for inputs with a bound known before execution
-(``broadcast_bounded``).
+(``broadcast_bounded``) or counted first (``broadcast_if_few``).
 """
 
 from __future__ import annotations
@@ -27,3 +27,9 @@ def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     if found > max_rows:
         raise ValueError(f"the side has more than the stated {max_rows} rows")
     return F.broadcast(df)
+
+
+def broadcast_if_few(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """``df`` with a broadcast hint while it has at most ``max_rows`` short rows, which is
+    counted first; larger sides are left to a shuffle join.  The rows are the same either way."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -155,6 +155,12 @@ Q5 = with_fixtures(
 FROM coh c LEFT JOIN fq f ON c.user_id = f.owner_user_id
 GROUP BY c.cohort""", *Q5_CTES)
 
+# Scores with planted endings, as float() reads them (NULL: refused).
+FRACTIONAL_SCORE = """CASE id % 53 WHEN 3 THEN CAST(CAST(score AS VARCHAR) || '.5' AS DOUBLE)
+         WHEN 5 THEN CAST(score * 10 AS DOUBLE) WHEN 7 THEN NULL ELSE CAST(score AS DOUBLE) END"""
+
+Q5_FRACTIONAL = Q5.replace("CAST(coalesce(score, 0) AS DOUBLE) AS score", f"coalesce({FRACTIONAL_SCORE}, 0.0) AS score")
+
 TOP_TAGS = with_fixtures(
     """SELECT CAST(row_number() OVER (ORDER BY n DESC, tag) AS INTEGER) AS rank, tag, n
 FROM (SELECT tag, CAST(count(*) AS BIGINT) AS n FROM ex GROUP BY tag)
@@ -199,6 +205,12 @@ def analyses() -> dict[str, str]:
         "q3_post_counts": Q3,
         "q4_quick_answers": Q4,
         "q5_veterans": Q5,
+        "q5_fractional_scores": Q5_FRACTIONAL,
+        "q6_post_vectors_recomputed": "SELECT doc_id AS post_id, true AS agrees FROM documents",
+        "q7_one_tag_certificate": with_fixtures("""SELECT CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(sum(CASE WHEN tag = 'en' THEN 1 ELSE 0 END) AS BIGINT) AS n_positive, true AS falls, true AS loss_agrees,
+       true AS loss_falls, true AS gradient_halved
+FROM (SELECT unnest(tags) AS tag FROM tagged_t WHERE split = 'train' AND tags IS NOT NULL)"""),
         "q7_top_tags": TOP_TAGS,
     }
 
@@ -303,6 +315,32 @@ SELECT CAST(count(*) AS BIGINT) AS n_lines,
        CAST(sum(CASE WHEN {ENTRY} AND NOT {VALID} THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_entries,
        CAST(sum(CASE WHEN {VALID} AND {RAW_AMP} THEN 1 ELSE 0 END) AS BIGINT) AS n_unparsable
 FROM posts_lines""", *DUMP)
+    d["op_parse_fractions"] = with_fixtures(f"""
+SELECT id, CASE WHEN id % 53 NOT IN (3, 5, 7) THEN score END AS score,
+       CASE WHEN id % 53 IN (3, 5) THEN {FRACTIONAL_SCORE} END AS score_fraction,
+       coalesce({FRACTIONAL_SCORE}, 0.0) AS metric
+FROM posts_t""")
+    d["op_bad_fractions"] = with_fixtures("""
+SELECT 'Score' AS attribute, CAST(count(*) AS BIGINT) AS n FROM posts_t
+WHERE id % 53 = 7 AND score IS NOT NULL HAVING count(*) > 0""")
+    d["op_published_results"] = with_fixtures("""
+SELECT 'posts' AS what, id AS key, CAST(n_posts AS BIGINT) AS n FROM per_user
+UNION ALL
+SELECT 'quick', CAST(hour(q.creation_date) AS BIGINT),
+       CAST(sum(CASE WHEN epoch_us(a.creation_date) - epoch_us(q.creation_date) < 10800000000 THEN 1 ELSE 0 END) AS BIGINT)
+FROM posts_t q JOIN posts_t a ON q.accepted_answer_id = a.id
+WHERE q.post_type_id = 1 AND a.post_type_id = 2 GROUP BY 2""", Q3_PER_USER)
+    d["q0_dump_audit"] = with_fixtures(f"""
+SELECT table_name, CAST(count(*) AS BIGINT) AS n_lines,
+       CAST(sum(CASE WHEN {ENTRY} THEN 1 ELSE 0 END) AS BIGINT) AS n_entries,
+       CAST(sum(CASE WHEN {VALID} THEN 1 ELSE 0 END) AS BIGINT) AS n_valid,
+       CAST(sum(CASE WHEN {ENTRY} AND NOT {VALID} THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_entries,
+       CAST(sum(CASE WHEN {ENTRY} AND {VALID} AND {RAW_AMP} THEN 1 ELSE 0 END) AS BIGINT) AS n_unparsable,
+       CAST(sum(CASE WHEN {VALID} AND NOT {ENTRY} THEN 1 ELSE 0 END) AS BIGINT) AS n_not_row,
+       CAST(sum(CASE WHEN {ENTRY} AND regexp_matches(value, ' Id="[0-9]+x"') THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_key,
+       CAST(sum(CASE WHEN {ENTRY} AND regexp_matches(value, ' Id="[0-9]+x"') THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_values
+FROM (SELECT 'posts' AS table_name, value FROM posts_lines UNION ALL SELECT 'users', value FROM users_lines
+      UNION ALL SELECT 'votes', value FROM votes_lines) GROUP BY table_name""", *DUMP)
     d["op_filter_entry_lines"] = with_fixtures(f"SELECT value FROM posts_lines WHERE {ENTRY}",
                                                *DUMP)
     d["op_filter_valid_lines"] = with_fixtures(f"SELECT value FROM posts_lines WHERE {VALID}",

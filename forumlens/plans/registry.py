@@ -9,6 +9,7 @@ count and by the tests.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -16,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from forumlens.plans import engagement, oracle, tags, timing, units
-from forumlens.sources import tables
+from forumlens.plans import embeddings, engagement, oracle, tags, timing, units
+from forumlens.session import checkpoint_dir, path_exists
+from forumlens.sources import tables, xml_dump
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,8 +52,36 @@ def _q7_top_tags(spark, d):
     return tags.top_tags(tables.tagged_posts(spark, d, "train"))
 
 
+_MODELS: dict[tuple[str, str], str] = {}
+
+
 def _w2v(spark, d):
-    return tags.fit_tag_embeddings(tables.tagged_posts(spark, d))
+    """The tag model of an input folder: fitted once a session, then read as a stored table."""
+    key = (checkpoint_dir(spark), os.path.abspath(d))
+    path = _MODELS.get(key)
+    if not path or not path_exists(spark, os.path.join(path, "_SUCCESS")):
+        path = tags.fit_tag_embeddings(tables.tagged_posts(spark, d)).save(xml_dump.scratch_path(spark, "tags-fitted"))
+        _MODELS[key] = path
+    return embeddings.TagEmbeddings.load(spark, path)
+
+
+def _q6_post_vectors_recomputed(spark, d):
+    """Whether each post's vector is the mean that a join of its tags with the stored vectors gives."""
+    model, posts = _w2v(spark, d), tables.tagged_posts(spark, d)
+    by_join = tags.post_vectors_by_join(model, posts).withColumnRenamed("vector", "other")
+    off = F.aggregate(F.zip_with("vector", "other", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda a, x: F.greatest(a, x))
+    return tags.post_vectors(model, posts).join(by_join, "post_id").select(
+        "post_id", ((off <= 1e-9) & (F.size("vector") == F.size("other"))).alias("agrees"))
+
+
+def _q7_one_tag_certificate(spark, d):
+    train = tables.tagged_posts(spark, d, "train")
+    model = tags.one_tag_model(train, FIXTURE_TAG)
+    c = tags.certificate(model, tags.tag_rows(train, FIXTURE_TAG, tags.NUM_FEATURES))
+    return c.select(
+        "n_rows", "n_positive", "falls", (F.abs(F.col("loss_end") - F.col("loss_stated")) < 1e-6).alias("loss_agrees"),
+        (F.col("loss_end") < F.col("loss_start")).alias("loss_falls"),
+        (F.col("gradient_end") < F.col("gradient_start") / 2).alias("gradient_halved"))
 
 
 def _q6_tag_vectors(spark, d):
@@ -86,7 +116,7 @@ def _q6_vector_sizes(spark, d):
 def _q6_synonym_words(spark, d):
     """The ranks and the words (in text order) of a search for all synonyms."""
     model = _w2v(spark, d)
-    found = tags.synonyms(model, FIXTURE_TAG, model.getVectors().count())
+    found = tags.synonyms(model, FIXTURE_TAG, max(1, tags.tag_vectors(model).count()))
     by_text = F.row_number().over(W.orderBy("word")).cast("int")
     return found.select("word", by_text.alias("place"), F.max("rank").over(W.partitionBy()).alias("last_rank"))
 
@@ -144,6 +174,10 @@ def analyses() -> dict[str, Query]:
         "q6_post_vector_sizes": _q6_post_vector_sizes,
         "q7_one_tag_sums": _q7_one_tag_sums,
         "q7_probability_sums": _q7_probability_sums,
+        "q0_dump_audit": units.dump_audit,
+        "q5_fractional_scores": units.fractional_veterans,
+        "q6_post_vectors_recomputed": _q6_post_vectors_recomputed,
+        "q7_one_tag_certificate": _q7_one_tag_certificate,
     }
 
 
@@ -158,6 +192,9 @@ def operators() -> dict[str, Query]:
         "op_parse_tagged_posts": units.parse_tagged_posts,
         "op_bad_rows": units.bad_rows,
         "op_bad_values": units.bad_values,
+        "op_parse_fractions": units.parse_fractions,
+        "op_bad_fractions": units.bad_fractions,
+        "op_published_results": units.published_results,
         "op_filter_entry_lines": units.filter_entry_lines,
         "op_filter_valid_lines": units.filter_valid_lines,
         "op_project_post_favorites": units.project_post_favorites,

@@ -1,16 +1,19 @@
 """Q6 tag embeddings and Q7 tag prediction.
 
 Tag text is split with a built-in regex function and exploded with
-``explode``; counting is a partial-aggregated ``groupBy``.  The models are
-``pyspark.ml`` estimators: Word2Vec on tag arrays, and one featurisation
-(Tokenizer + HashingTF) shared by all one-vs-rest logistic regressions.
+``explode``; counting is a partial-aggregated ``groupBy``.  Word2Vec on tag arrays
+is in ``embeddings`` (reproducible to the last bit); the logistic regressions are
+``pyspark.ml`` estimators that share one featurisation (Tokenizer + HashingTF).
 """
 
 from __future__ import annotations
 
+import math
+
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, OneVsRest
-from pyspark.ml.feature import HashingTF, Tokenizer, Word2Vec
+from pyspark.ml.feature import HashingTF, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -18,6 +21,9 @@ from pyspark.sql import functions as F
 
 from forumlens.operators.joins import broadcast_bounded
 from forumlens.operators.topk import ranked_top_k
+from forumlens.plans import embeddings
+from forumlens.plans.embeddings import TagEmbeddings
+from forumlens.sources import xml_dump
 
 # Reference parameters.
 W2V_VECTOR_SIZE = 100
@@ -54,62 +60,64 @@ def top_tags(posts: DataFrame, k: int = TOP_TAGS) -> DataFrame:
 
 # ------------------------------------------------------------------ Q6 --
 
-# Word2Vec averages models of partitions, so their number is part of the result:
-# a constant, never taken from the layout of the input.
+# Parts that train copies of the model; their number is part of the result, so it is a
+# constant and never taken from the layout of the input.
 W2V_PARTITIONS = 8
 MISSING_BODY = "-999"    # text of a post without a body
 
 
 def fit_tag_embeddings(posts: DataFrame, vector_size: int = W2V_VECTOR_SIZE,
                        seed: int = W2V_SEED, num_partitions: int = W2V_PARTITIONS,
-                       min_count: int = 5):
+                       min_count: int = 5, iterations: int = 1) -> TagEmbeddings:
     """Word2Vec over the tag arrays of tagged posts.
 
-    The vocabulary (distinct tags with >= ``min_count`` uses) and the model
-    live on the driver; their size grows with the number of distinct tags,
-    not with the number of posts.  Training runs on ``num_partitions``
-    partitions.  Sentences are hash-partitioned by post id and sorted within
-    a partition first, so the result depends on the arguments and the posts
-    only, not on files or cores.  ``1`` is a single-partition fit.
+    The vocabulary are the tags with >= ``min_count`` uses.  ``num_partitions`` parts
+    train copies that are averaged; all orders are fixed (see ``embeddings``), so the
+    vectors depend on the arguments and the posts only, to the last bit, not on files,
+    partitions or cores.
     """
-    sentences = (tagged(posts).select("id", "tags").repartition(num_partitions, "id")
-                 .sortWithinPartitions("id", "tags"))
-    w2v = Word2Vec(inputCol="tags", outputCol="vector", vectorSize=vector_size, seed=seed,
-                   numPartitions=num_partitions, minCount=min_count)
-    return w2v.fit(sentences)
+    return embeddings.fit(tagged(posts).select("id", "tags"), tag_counts(posts), vector_size, seed, num_partitions,
+                          min_count, iterations)
 
 
-def tag_vectors(model) -> DataFrame:
+def tag_vectors(model: TagEmbeddings) -> DataFrame:
     """``(word, vector ARRAY<DOUBLE>)`` for the whole vocabulary."""
-    return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
+    return model.vectors.select("word", "vector")
 
 
-def vocabulary(model, posts: DataFrame) -> DataFrame:
+def vocabulary(model: TagEmbeddings, posts: DataFrame) -> DataFrame:
     """``(word, n)``: the model's vocabulary with each word's use count.
 
-    Must equal the tags used at least ``minCount`` times; the vocabulary side
+    Must equal the tags used at least ``min_count`` times; the vocabulary side
     is small (distinct frequent tags), the counts are a partial aggregate.
     """
-    words = model.getVectors().select(F.col("word").alias("tag"))
+    words = model.vectors.select(F.col("word").alias("tag"))
     return tag_counts(posts).join(words, "tag").select(F.col("tag").alias("word"), "n")
 
 
-def synonyms(model, word: str = SYNONYM_WORD, n: int = SYNONYMS) -> DataFrame:
-    """``(rank, word, similarity)``: the ``n`` tags closest to ``word``; none when
+def synonyms(model: TagEmbeddings, word: str = SYNONYM_WORD, n: int = SYNONYMS) -> DataFrame:
+    """``(rank, word, similarity)``: the ``n`` tags closest to ``word`` by cosine; none when
     ``word`` is outside the vocabulary."""
-    spark = model.getVectors().sparkSession
-    known = model.getVectors().where(F.col("word") == word).limit(1).count() > 0
-    if not known:
-        return spark.createDataFrame([], "rank int, word string, similarity double")
-    found = model.findSynonyms(word, n)
+    own = model.vectors.where(F.col("word") == word).select("vector").scalar()
+    others = model.vectors.where(F.col("word") != word).select("word", "vector", own.alias("own"))
+    found = others.where(F.col("own").isNotNull()).select("word", embeddings.cosine(F.col("vector"), F.col("own")).alias("similarity"))
     return ranked_top_k(found, [F.col("similarity").desc(), F.col("word").asc()], n).select(
-        "rank", "word", F.col("similarity").cast("double").alias("similarity"))
+        "rank", "word", "similarity")
 
 
-def post_vectors(model, posts: DataFrame) -> DataFrame:
+def post_vectors(model: TagEmbeddings, posts: DataFrame) -> DataFrame:
     """``(post_id, vector)``: the mean tag vector of each tagged post."""
-    return model.transform(tagged(posts).select("id", "tags")).select(
-        F.col("id").alias("post_id"), vector_to_array("vector").alias("vector"))
+    return embeddings.mean_vectors(model, tagged(posts))
+
+
+def post_vectors_by_join(model: TagEmbeddings, posts: DataFrame) -> DataFrame:
+    """``post_vectors`` as a join and sums, to check it by: one row a post and tag is shuffled."""
+    size = F.size("tags").alias("n")
+    each = tagged(posts).select(F.col("id").alias("post_id"), size, F.explode_outer("tags").alias("word"))
+    dims = model.vectors.agg(F.coalesce(F.max(F.size("vector")), F.lit(0))).first()[0]
+    joined = each.join(model.vectors, "word", "left")
+    sums = [F.coalesce(F.sum(F.get("vector", F.lit(i))), F.lit(0.0)) / F.greatest(F.max("n"), F.lit(1)) for i in range(dims)]
+    return joined.groupBy("post_id").agg(F.array(*sums).cast("array<double>").alias("vector"))
 
 
 # ------------------------------------------------------------------ Q7 --
@@ -141,11 +149,68 @@ def logistic_regression() -> LogisticRegression:
 def one_tag_model(train: DataFrame, tag: str = TRIAL_TAG, num_features: int = NUM_FEATURES):
     """The single-tag model: tokenise + hash each body once, explode the
     tags, label 1 for rows of ``tag``, fit logistic regression."""
-    feats = featurizer(num_features).fit(train).transform(
-        tagged(train).select("tags", body_text()))
-    rows = feats.select(F.explode("tags").alias("tag"), "features").select(
+    return logistic_regression().fit(tag_rows(train, tag, num_features))
+
+
+def tag_rows(train: DataFrame, tag: str, num_features: int) -> DataFrame:
+    """``(label, features)``: one row per tag of each tagged post, label 1 for ``tag``."""
+    feats = featurizer(num_features).fit(train).transform(tagged(train).select("tags", body_text()))
+    return feats.select(F.explode("tags").alias("tag"), "features").select(
         (F.col("tag") == tag).cast("double").alias("label"), "features")
-    return logistic_regression().fit(rows)
+
+
+def _entries(rows: DataFrame) -> DataFrame:
+    """``rid, label, j, x``: the non-zero features of each row (j -1, x 0 for a row without any)."""
+    def task(batches):
+        for b in batches:
+            # A sparse vector comes as the fields of its SQL type.
+            at, x = ([[*f[k]] or [none] for f in b["features"]] for k, none in (("indices", -1), ("values", 0.0)))
+            yield b[["rid", "label"]].assign(j=at, x=x)
+
+    kept = rows.withColumn("rid", F.monotonically_increasing_id()).select("rid", "label", "features")
+    each = kept.mapInPandas(task, "rid long, label double, j array<int>, x array<double>")
+    return each.select("rid", "label", F.inline(F.arrays_zip("j", "x")))
+
+
+def certificate(model, rows: DataFrame, reg: float = LR_REG_PARAM) -> DataFrame:
+    """How good a fitted binary model is on its training rows, from joins and sums.
+
+    One row: ``n_rows, n_positive, iterations, loss_start, loss_end, loss_stated, gradient_start,
+    gradient_end, falls``.  The loss is the mean log loss plus reg / 2 times the squared coefficients, each
+    times its feature's deviation; the gradient is that of the same function.  ``start`` is the
+    model without coefficients, whose intercept is the log odds; ``loss_stated`` the estimator's
+    own last value, ``falls`` whether its values never rise.
+    """
+    spark = rows.sparkSession
+    w, history = model.coefficients.toArray(), list(model.summary.objectiveHistory)
+    path = xml_dump.scratch_path(spark, "certificate")
+    _entries(rows).write.parquet(path)             # row numbers are fixed by being written
+    entries = spark.read.parquet(path)
+    n, positive = entries.select("rid", "label").distinct().agg(F.count("*"), F.sum("label")).first()
+    coefs = spark.createDataFrame(pa.table({"k": pa.array(range(len(w)), pa.int32()), "w": pa.array(w)}))
+    moments = (entries.where("j >= 0").groupBy("j").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("ss"))
+               .select("j", F.sqrt(F.greatest((F.col("ss") - F.col("s") * F.col("s") / n) / (n - 1), F.lit(0.0))).alias("sd")))
+    features = moments.join(broadcast_bounded(coefs, 1_000_000), F.col("j") == F.col("k")).select("j", "sd", "w")
+    penalty = features.agg(F.sum(F.pow(F.col("w") * F.col("sd"), 2)).alias("q")).first()["q"] or 0.0
+    margins = (entries.join(features, "j", "left").groupBy("rid", "label")
+               .agg((F.coalesce(F.sum(F.col("x") * F.col("w")), F.lit(0.0)) + model.intercept).alias("m")))
+    loss = F.log1p(F.exp(-F.abs("m"))) + F.greatest(F.col("m"), F.lit(0.0)) - F.col("label") * F.col("m")
+    odds = positive / n
+    p = 1 / (1 + F.exp(-F.col("m")))
+    wrong = margins.select("rid", (p - F.col("label")).alias("end"), (F.lit(odds) - F.col("label")).alias("start"))
+    slope = (entries.where("j >= 0").join(wrong, "rid").groupBy("j")
+             .agg(*[(F.sum(F.col("x") * F.col(c)) / n).alias(c) for c in ("start", "end")])
+             .join(features, "j").where("sd > 0")
+             .select((F.col("start") / F.col("sd")).alias("start"),
+                     (F.col("end") / F.col("sd") + reg * F.col("w") * F.col("sd")).alias("end")))
+    norms = slope.agg(F.struct(*[F.sqrt(F.sum(F.pow(c, 2))).alias(f"gradient_{c}") for c in ("start", "end")]).alias("s"))
+    start = -(odds * math.log(odds) + (1 - odds) * math.log(1 - odds)) if 0 < odds < 1 else 0.0
+    ends = margins.agg((F.avg(loss) + reg / 2 * penalty).alias("loss_end")).select("loss_end", norms.scalar().alias("norms"))
+    return ends.select(
+        F.lit(n).cast("bigint").alias("n_rows"), F.lit(positive).cast("bigint").alias("n_positive"),
+        F.lit(len(history) - 1).alias("iterations"), F.lit(start).alias("loss_start"), "loss_end",
+        F.lit(float(history[-1])).alias("loss_stated"), "norms.gradient_start", "norms.gradient_end",
+        F.lit(all(b <= a for a, b in zip(history, history[1:]))).alias("falls"))
 
 
 def one_tag_probabilities(train: DataFrame, test: DataFrame, tag: str = TRIAL_TAG,

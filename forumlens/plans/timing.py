@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from forumlens.functions.columns import (
     ANSWER,
     QUESTION,
-    day_window,
     indicator,
     ratio,
     shift_days,
     within_hours,
 )
 from forumlens.operators.aggregates import first_per_key, packed_order_key
+from forumlens.operators.joins import broadcast_if_few
 
 # Reference parameters.
 QUICK_HOURS = 3
@@ -99,13 +99,33 @@ def _window_hit(window_days: tuple[int, int]) -> Column:
 
 def window_post_counts(posts: DataFrame, users: DataFrame,
                        window_days: tuple[int, int] = WINDOW_DAYS) -> DataFrame:
-    """``(user_id, n_window)``: exact number of joined posts inside the window."""
+    """``(user_id, n_window)``: exact number of joined posts inside the window.
+
+    Posts are counted per (owner, day) first, so an owner with a third of all posts
+    is one row a day and task.  A day inside the window counts whole; of the two days its
+    borders fall on, one whose first and last post lie on one side of the border is decided too.
+    Only posts of the remaining (owner, day) pairs, at most two a user, are compared one by
+    one: the pairs are sent to the scan while they are few, and joined on owner and day, which
+    spreads a prolific owner over the days, beyond that.
+    """
     lo, hi = window_days
+    if hi - lo < 1:
+        raise ValueError("the window must span at least one day")
     u = users.select(F.col("id").alias("user_id"), F.col("creation_date").alias("u_created"))
-    p = posts.where(F.col("owner_user_id").isNotNull()).select("owner_user_id", "creation_date")
-    joined = u.join(p, F.col("user_id") == F.col("owner_user_id"))
-    flag = day_window("u_created", "creation_date", lo, hi)
-    return joined.groupBy("user_id").agg(F.sum(indicator(flag)).cast("bigint").alias("n_window"))
+    u = u.select("user_id", shift_days("u_created", lo).alias("lo"), shift_days("u_created", hi).alias("hi"))
+    day = F.to_date("creation_date").alias("day")
+    owned = posts.where(F.col("owner_user_id").isNotNull()).select("owner_user_id", day, "creation_date")
+    days = owned.groupBy("owner_user_id", "day").agg(
+        F.count(F.lit(1)).alias("n"), F.min("creation_date").alias("first_ts"), F.max("creation_date").alias("last_ts"))
+    seen = u.join(days, F.col("user_id") == F.col("owner_user_id"))
+    whole = (F.col("first_ts") >= F.col("lo")) & (F.col("last_ts") < F.col("hi"))
+    outside = (F.col("last_ts") < F.col("lo")) | (F.col("first_ts") >= F.col("hi"))
+    decided = seen.select("user_id", F.when(whole, F.col("n")).otherwise(0).cast("bigint").alias("n"))
+    open_days = seen.where(~whole & ~outside).select("user_id", F.col("day").alias("open_day"), "lo", "hi")
+    near = owned.join(broadcast_if_few(open_days), (F.col("owner_user_id") == F.col("user_id")) & (F.col("day") == F.col("open_day")))
+    inside = (F.col("creation_date") >= F.col("lo")) & (F.col("creation_date") < F.col("hi"))
+    compared = near.groupBy("user_id").agg(F.sum(indicator(inside)).cast("bigint").alias("n"))
+    return decided.union(compared).groupBy("user_id").agg(F.sum("n").alias("n_window"))
 
 
 def cohorts(posts: DataFrame, users: DataFrame,
@@ -117,10 +137,15 @@ def cohorts(posts: DataFrame, users: DataFrame,
 
 
 def metric_columns(posts: DataFrame) -> DataFrame:
-    """Question metrics with a missing value read as 0, as DOUBLE."""
+    """Question metrics with a missing value read as 0, as DOUBLE; a value that is not
+    whole comes from the fraction column, where the table has one."""
+    def value(src: str) -> Column:
+        other = [F.col(f"{src}_fraction")] if f"{src}_fraction" in posts.columns else []
+        return F.coalesce(F.col(src).cast("double"), *other, F.lit(0.0))
+
     return posts.select(
         "id", "owner_user_id", "post_type_id", "creation_date",
-        *[F.coalesce(F.col(src), F.lit(0)).cast("double").alias(dst) for src, dst in
+        *[value(src).alias(dst) for src, dst in
           [("score", "score"), ("view_count", "views"), ("answer_count", "answers"),
            ("favorite_count", "favorites")]])
 

@@ -23,7 +23,7 @@ from forumlens.functions.columns import (
 from forumlens.operators.aggregates import vote_counts_per_post
 from forumlens.operators.topk import ranked_top_k
 from forumlens.plans import engagement, tags, timing
-from forumlens.sources import dump_fixture, tables, xml_dump
+from forumlens.sources import dump_fixture, sinks, tables, xml_dump
 
 S = SparkSession
 
@@ -39,11 +39,49 @@ def scan(table: str):
 # Only ``scan`` writes and reads files; what follows works on the rendered lines.
 
 def parse(table: str):
+    names = [name for _, name, _ in xml_dump.ATTRIBUTES[table]]
+
     def run(spark: S, d: str) -> DataFrame:
-        return xml_dump.typed_rows(dump_fixture.LINES[table](spark, d), table)
+        return xml_dump.typed_rows(dump_fixture.LINES[table](spark, d), table).select(*names)
     return run
 
 
+def parse_fractions(spark: S, d: str) -> DataFrame:
+    """Scores as whole number, fraction and metric, with planted ``1.5``, ``1e1`` and ``1x``."""
+    posts = xml_dump.typed_rows(dump_fixture.fraction_lines(spark, d), "posts")
+    metric = timing.metric_columns(posts).select("id", F.col("score").alias("metric"))
+    return posts.select("id", "score", "score_fraction").join(metric, "id")
+
+
+def bad_fractions(spark: S, d: str) -> DataFrame:
+    return xml_dump.bad_values(dump_fixture.fraction_lines(spark, d), "posts")
+
+
+def fractional_veterans(spark: S, d: str) -> DataFrame:
+    """Q5 over parsed posts whose scores are partly not whole."""
+    posts = xml_dump.typed_rows(dump_fixture.fraction_lines(spark, d), "posts")
+    return timing.veterans(posts, tables.users(spark, d))
+
+
+def dump_audit(spark: S, d: str) -> DataFrame:
+    """Q0 of all tables in one pass over the dump, its files summed."""
+    files = xml_dump.audit_dump(spark, dump_fixture.dump_root(spark, d))
+    counts = ["n_lines", "n_entries", "n_valid", "n_bad_entries", "n_unparsable", "n_not_row", "n_bad_key"]
+    n_bad = F.aggregate("bad_values", F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
+    return files.groupBy("table_name").agg(*[F.sum(c).alias(c) for c in counts], F.sum(n_bad).alias("n_bad_values"))
+
+
+def published_results(spark: S, d: str) -> DataFrame:
+    """Two results published as one run, read back through the manifest."""
+    root = xml_dump.scratch_path(spark, "published")
+    posts, users = tables.posts(spark, d), tables.users(spark, d)
+    sinks.publish(spark, {"counts": engagement.posts_per_user(posts, users), "hours": timing.quick_answers(posts)}, root)
+    counts = sinks.read_published(spark, root, "counts").select(
+        F.lit("posts").alias("what"), F.col("user_id").alias("key"), F.col("n_posts").cast("bigint").alias("n"))
+    return counts.unionByName(sinks.read_published(spark, root, "hours").select(
+        F.lit("quick").alias("what"), F.col("hour").cast("bigint").alias("key"), F.col("n_quick").alias("n")))
+
+
 def parse_tagged_posts(spark: S, d: str) -> DataFrame:
     """Tags and Body of the given texts, rendered as dump lines and parsed back."""
     lines = xml_dump.render(tables.tagged_posts(spark, d), "posts")

@@ -29,7 +29,9 @@ from forumlens.functions.columns import (
     is_entry,
     is_row_element,
     is_valid,
+    parse_number,
     parse_timestamp,
+    parse_whole,
     render_tags,
     split_tags,
     xml_escape,
@@ -60,6 +62,10 @@ ATTRIBUTES = {
         ("VoteTypeId", "vote_type_id", "int"),
     ],
 }
+# Attributes that are numbers, not only whole ones: the typed column holds a whole
+# value, the second column any other (``1.5``, ``1e30``), each NULL where the other is set.
+FRACTIONS = {"Score": "score_fraction", "ViewCount": "view_count_fraction",
+             "AnswerCount": "answer_count_fraction", "FavoriteCount": "favorite_count_fraction"}
 # Column whose absence makes a parsed row unusable.
 KEY_COLUMN = {"posts": "id", "users": "id", "votes": "post_id"}
 # Columns the analyses filter on: the ingest clusters each written file by
@@ -106,7 +112,19 @@ def _classify(lines: DataFrame, schema: T.StructType) -> DataFrame:
         .alias("_x"))
 
 
-def _typed(raw: Column, sql_type: str) -> Column:
+def column_names(table: str) -> list[str]:
+    """The typed columns in dump order, then the fraction columns."""
+    own = ATTRIBUTES[table]
+    return [name for _, name, _ in own] + [FRACTIONS[attr] for attr, _, _ in own if attr in FRACTIONS]
+
+
+def _fraction(raw: Column) -> Column:
+    return F.when(raw.isNotNull() & parse_whole(raw).isNull(), parse_number(raw))
+
+
+def _typed(raw: Column, sql_type: str, attr: str = "") -> Column:
+    if attr in FRACTIONS:
+        return parse_whole(raw)
     if sql_type == "timestamp_ntz":
         return parse_timestamp(raw)
     if sql_type == "array<string>":
@@ -127,8 +145,11 @@ def parse_lines(lines: DataFrame, table: str) -> DataFrame:
     rows = tested.select(
         "value", "_entry", "_valid",
         F.inline(F.array(F.struct(*[
-            _typed(F.col("_x._" + attr), sql_type).alias(name)
+            _typed(F.col("_x._" + attr), sql_type, attr).alias(name)
             for attr, name, sql_type in ATTRIBUTES[table]
+        ], *[
+            _fraction(F.col("_x._" + attr)).alias(FRACTIONS[attr])
+            for attr, _, _ in ATTRIBUTES[table] if attr in FRACTIONS
         ], F.col("_x." + CORRUPT).isNotNull().alias("_corrupt")))))
     key = F.col(KEY_COLUMN[table])
     status = (F.when(F.col("_entry") & ~F.col("_valid"), F.lit(TRUNCATED))
@@ -137,14 +158,12 @@ def parse_lines(lines: DataFrame, table: str) -> DataFrame:
               .when(F.col("_corrupt"), F.lit(UNPARSABLE))
               .when(key.isNull(), F.lit(BAD_KEY))
               .otherwise(F.lit(OK)))
-    names = [name for _, name, _ in ATTRIBUTES[table]]
-    return rows.select("value", "_entry", "_valid", "_corrupt", status.alias("status"), *names)
+    return rows.select("value", "_entry", "_valid", "_corrupt", status.alias("status"), *column_names(table))
 
 
 def typed_rows(lines: DataFrame, table: str) -> DataFrame:
     """Usable rows only, typed columns."""
-    names = [name for _, name, _ in ATTRIBUTES[table]]
-    return parse_lines(lines, table).where(F.col("status") == OK).select(*names)
+    return parse_lines(lines, table).where(F.col("status") == OK).select(*column_names(table))
 
 
 def bad_rows(lines: DataFrame, table: str) -> DataFrame:
@@ -154,14 +173,21 @@ def bad_rows(lines: DataFrame, table: str) -> DataFrame:
         "value", F.col("status").alias("reason"))
 
 
+def _refused(attr: str, sql_type: str) -> Column:
+    """A well-formed row has the attribute, but with a value its type cannot take."""
+    raw = F.col("_x._" + attr)
+    taken = _typed(raw, sql_type, attr).isNotNull()
+    if attr in FRACTIONS:
+        taken = taken | parse_number(raw).isNotNull()
+    return F.col("_x." + CORRUPT).isNull() & raw.isNotNull() & ~taken
+
+
 def bad_values(lines: DataFrame, table: str) -> DataFrame:
     """``(attribute, n)``: how many well-formed rows hold a value of that attribute
     which its type cannot take (the typed row has NULL there)."""
     tested = _classify(lines.where(is_row_element("value")), attribute_schema(table))
     found = tested.where(F.col("_valid")).select(F.explode(F.array(*[
-        F.when(F.col("_x." + CORRUPT).isNull() & F.col("_x._" + attr).isNotNull()
-               & _typed(F.col("_x._" + attr), sql_type).isNull(), F.lit(attr))
-        for attr, _, sql_type in ATTRIBUTES[table]])).alias("attribute"))
+        F.when(_refused(attr, sql_type), F.lit(attr)) for attr, _, sql_type in ATTRIBUTES[table]])).alias("attribute"))
     return (found.where(F.col("attribute").isNotNull())
             .groupBy("attribute").agg(F.count(F.lit(1)).alias("n")))
 
@@ -186,6 +212,48 @@ def audit(lines: DataFrame, table: str = "posts") -> DataFrame:
     )
 
 
+def audit_dump(spark: SparkSession, dump_root: str, tables: tuple[str, ...] = ("posts", "users", "votes")) -> DataFrame:
+    """Q0 over a dump in one pass: a row for each file of ``dump_root/<table>/``.
+
+    ``table_name, file, n_lines, n_entries, n_valid, n_bad_entries, n_unparsable, n_not_row, n_bad_key,
+    bad_values``: the line counts of ``audit``, the bad rows by reason and, per attribute, the
+    values its type cannot take.  All tables are one scan, since a line's table is its
+    file's folder; the parse knows the attributes of all of them.
+    """
+    lines = spark.read.text([os.path.join(dump_root, t) for t in tables]).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("file_name"))
+    folder = F.element_at(F.split("file", "/"), -2)
+    attrs = sorted({a for t in tables for a, _, _ in ATTRIBUTES[t]})
+    schema = T.StructType([T.StructField("_" + a, T.StringType()) for a in attrs] + [T.StructField(CORRUPT, T.StringType())])
+    tested = lines.select("value", folder.alias("table_name"), "file_name", is_entry("value").alias("_entry"),
+                          is_valid("value").alias("_valid"), is_row_element("value").alias("_row"))
+    parsed = tested.select("table_name", "file_name", "_entry", "_valid", "_row", F.explode(F.array(
+        F.when(F.col("_valid"), F.from_xml(F.col("value"), schema, FROM_XML_OPTIONS)))).alias("_x"))
+    e, v, r = F.col("_entry"), F.col("_valid"), F.col("_row")
+    sound = v & r & F.col("_x." + CORRUPT).isNull()
+    bad_key = F.lit(False)
+    refused = {}
+    for t in tables:
+        here = F.col("table_name") == t
+        for attr, name, sql_type in ATTRIBUTES[t]:
+            refused[attr] = refused.get(attr, F.lit(False)) | (here & sound & _refused(attr, sql_type))
+            if name == KEY_COLUMN[t]:
+                bad_key = bad_key | (here & sound & _typed(F.col("_x._" + attr), sql_type, attr).isNull())
+
+    def n(condition: Column) -> Column:
+        return F.sum(F.when(condition, 1).otherwise(0)).cast("bigint")
+
+    out = parsed.groupBy("table_name", F.col("file_name").alias("file")).agg(
+        F.count(F.lit(1)).alias("n_lines"), n(e).alias("n_entries"), n(v).alias("n_valid"),
+        n(e & ~v).alias("n_bad_entries"), n(v & r & F.col("_x." + CORRUPT).isNotNull()).alias("n_unparsable"),
+        n(v & ~r).alias("n_not_row"), n(bad_key).alias("n_bad_key"),
+        *[n(c).alias("_bad_" + a) for a, c in refused.items()])
+    counted = F.filter(F.array(*[F.struct(F.lit(a).alias("attribute"), F.col("_bad_" + a).alias("n")) for a in attrs]),
+                       lambda x: x["n"] > 0)
+    return out.select("table_name", "file", "n_lines", "n_entries", "n_valid", "n_bad_entries", "n_unparsable",
+                      "n_not_row", "n_bad_key", counted.alias("bad_values"))
+
+
 # ------------------------------------------------------------------ files --
 
 # Codecs whose files Spark cannot split: one such file is read by one task.
@@ -231,8 +299,7 @@ def ingest(spark: SparkSession, dump_root: str, out_root: str,
     for table in tables:
         lines = read_lines(spark, os.path.join(dump_root, table), oversized)
         p = parse_lines(lines, table).where(F.col("status") != MARKUP)
-        names = [name for _, name, _ in ATTRIBUTES[table]]
-        out = p.select(*names,
+        out = p.select(*column_names(table),
                        F.when(F.col("status") != OK, F.col("value")).alias("raw_line"),
                        "status")
         # A per-task sort (no shuffle); its prefix is the order the
@@ -245,10 +312,10 @@ def ingest(spark: SparkSession, dump_root: str, out_root: str,
 
 
 def read_ingested(spark: SparkSession, out_root: str, table: str) -> DataFrame:
-    """The typed table written by ``ingest`` (only the ``status=ok`` folder is read)."""
-    names = [name for _, name, _ in ATTRIBUTES[table]]
+    """The typed table written by ``ingest`` (only the ``status=ok`` folder is read).
+    A table of an earlier ingest has no fraction columns; it is read without."""
     df = spark.read.parquet(os.path.join(out_root, table))
-    return df.where(F.col("status") == OK).select(*names)
+    return df.where(F.col("status") == OK).select(*[c for c in column_names(table) if c in df.columns])
 
 
 def read_ingested_bad(spark: SparkSession, out_root: str, table: str) -> DataFrame:
@@ -277,7 +344,10 @@ def render(df: DataFrame, table: str) -> DataFrame:
     for attr, name, sql_type in ATTRIBUTES[table]:
         if name not in df.columns:
             continue
-        text = xml_escape(_attr_text(F.col(name), sql_type))
+        text = _attr_text(F.col(name), sql_type)
+        if FRACTIONS.get(attr) in df.columns:
+            text = F.coalesce(text, F.col(FRACTIONS[attr]).cast("string"))
+        text = xml_escape(text)
         parts.append(F.concat(F.lit(f' {attr}="'), text, F.lit('"')))
     body = F.concat_ws("", *parts)
     return df.select(F.concat(F.lit("  <row"), body, F.lit(" />")).alias("value"))
