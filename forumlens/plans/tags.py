@@ -16,7 +16,7 @@ from pyspark.ml.classification import LogisticRegression, OneVsRest
 from pyspark.ml.feature import HashingTF, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.operators.joins import broadcast_bounded
@@ -240,6 +240,34 @@ def training_rows(train: DataFrame, top: DataFrame, k: int,
             .select(F.coalesce(F.col("label"), F.lit(float(k))).alias("label"), "features"))
 
 
+def training_bytes(train: DataFrame, per_tag: bool) -> int:
+    """Size of the featurised training rows: 12 bytes a distinct word (index and count) and 64 a row,
+    times the tags of a post where each is a row (hash collisions only make it less)."""
+    words = F.size(F.array_distinct(F.split(F.lower(body_text()), r"\s")))
+    row = (words * 12 + 64).cast("bigint") * (F.size("tags") if per_tag else F.lit(1))
+    return int(tagged(train).agg(F.sum(row)).first()[0] or 0)
+
+
+def fits_at_once(parallelism: int, row_bytes: int, storage_bytes: int) -> int:
+    """How many binary models are fitted at a time.
+
+    Each fit caches its own copy of the training rows, beside the one they are read from.
+    All copies together take at most half the executors' storage memory, whatever
+    ``parallelism`` asks for; one fit always runs (its blocks may go to disk).
+    """
+    copies = storage_bytes // 2 // max(1, row_bytes) - 1
+    return max(1, min(parallelism, int(copies)))
+
+
+def storage_memory(spark: SparkSession) -> int:
+    """Storage memory of all executors, as they report it now."""
+    status = spark.sparkContext._jsc.sc().getExecutorMemoryStatus().values().iterator()
+    total = 0
+    while status.hasNext():
+        total += int(status.next()._1())
+    return total
+
+
 def _fit_per_post(train: DataFrame, top: DataFrame, k: int, num_features: int,
                   parallelism: int) -> list:
     """One binary model per top tag on one row per post (label: the post has the tag)."""
@@ -274,8 +302,8 @@ def tag_probabilities(train: DataFrame, test: DataFrame, k: int = TOP_TAGS,
     ``training="per_post"`` uses one row per post, labelled by whether the
     post carries the tag.  Test posts are read and featurised once: every tag's
     model adds its margin to the same row, which is then exploded, so nothing of
-    the test side is cached.  Up to ``parallelism`` fits run at a time, each
-    with its own cached blocks of the training rows.
+    the test side is cached.  Fits run in waves of up to ``parallelism``, fewer where that
+    many cached copies of the training rows would not fit (``fits_at_once``).
     Columns ``tag, post_id, p_not_tag, p_tag``.
     """
     # The <= k top tags are fetched once (bounded by k) and reused as a small
@@ -287,6 +315,8 @@ def tag_probabilities(train: DataFrame, test: DataFrame, k: int = TOP_TAGS,
     if not ranked:
         return spark.createDataFrame([], "tag string, post_id bigint, p_not_tag double, "
                                          "p_tag double")
+    if training in ("exploded", "per_post"):
+        parallelism = fits_at_once(parallelism, training_bytes(train, training == "exploded"), storage_memory(spark))
     if training == "exploded":
         rows = training_rows(train, top, k, num_features)
         ovr = OneVsRest(classifier=logistic_regression(), parallelism=parallelism)

@@ -140,3 +140,29 @@ def test_missing_body_is_a_fixed_text(spark):
     assert tags.tag_probabilities(posts, posts, k=2, num_features=1 << 8).count() == 80
     words = {r["post_id"]: r["words"] for r in tags.tokens(posts).collect()}
     assert words[0] == ["-999"] and len(words) == 40
+
+
+def test_cached_copies_do_not_grow_with_parallelism(spark, split):
+    gb = 1 << 30
+    for parallelism in (1, 2, 8, 100, 10_000):
+        n = tags.fits_at_once(parallelism, 3 * gb, 64 * gb)
+        assert n <= parallelism and (n + 1) * 3 * gb <= 32 * gb
+    assert tags.fits_at_once(10_000, 3 * gb, 64 * gb) == tags.fits_at_once(100, 3 * gb, 64 * gb) == 9
+    assert tags.fits_at_once(8, 100 * gb, 64 * gb) == 1 and tags.fits_at_once(8, 0, 64 * gb) == 8
+    assert tags.storage_memory(spark) > 100 << 20
+    train, _ = split
+    one, each = tags.training_bytes(train, False), tags.training_bytes(train, True)
+    assert each == 2 * one > 12 * train.count()
+    feats = tags.featurizer().fit(train).transform(train.select("id", tags.body_text()))
+    kept = sum(12 * len(r["features"].indices) + 64 for r in feats.select("features").collect())
+    assert kept <= one <= 1.1 * kept
+
+
+def test_waves_give_the_same_models(spark, split, monkeypatch):
+    train, test = split
+    many = tags.tag_probabilities(train, test, k=2, num_features=1 << 8).collect()
+    monkeypatch.setattr(tags, "storage_memory", lambda _: 1)
+    few = tags.tag_probabilities(train, test, k=2, num_features=1 << 8).collect()
+    key = lambda r: (r["tag"], r["post_id"])
+    for a, b in zip(sorted(many, key=key), sorted(few, key=key)):
+        assert key(a) == key(b) and a["p_tag"] == pytest.approx(b["p_tag"], abs=1e-9)
