@@ -7,7 +7,7 @@ sets with a Jaccard similarity of NUM / DEN or more share a word of their
 prefixes, so prefixes are joined word by word, with filters on length, on the
 position in the prefix and on the Hamming distance of 128-bit word maps (each
 differing bit stands for a word the sets do not share).  Surviving pairs are
-verified on full sets.
+compared by 512-bit maps and, where those leave room, verified on full sets.
 
 Lines with equal sets are one class, represented by the first line in (doc_id,
 line) order, before anything is joined, so a line that a third of the corpus
@@ -39,6 +39,7 @@ NUM, DEN = 4, 5
 BUCKETS = 1 << 15        # a literal of the plan, so kept small
 LOW_BITS = 57            # hash bits of a packed word; the rarity class stands above
 NO_ID = (1 << 63) - 1
+MAP_LONGS = 8            # length of a long word map
 HOT = 1 << 11            # postings of a word that one slice of the full join takes
 BROADCAST_ROWS = 1 << 20     # short rows of three or four numbers: 40 MB
 
@@ -177,8 +178,11 @@ def every_candidate(classes: DataFrame) -> DataFrame:
 
 def _all_candidates(classes: DataFrame, later: DataFrame) -> DataFrame:
     """Every pair that passes the filters for the few classes ``later`` (h)."""
-    own = _sized(written(_postings(classes.join(later, classes["h"] == later["u"], "left_semi")), "lines-open"))
-    a, b = _suffixed(_postings(classes), "a"), _suffixed(own, "b")
+    own = written(_postings(classes.join(later, classes["h"] == later["u"], "left_semi")), "lines-open")
+    words_ = _sized(written(own.select(F.col("word").alias("w")).distinct(), "lines-open-words"))
+    post = _postings(classes)
+    a = _suffixed(post.join(words_, F.col("word") == F.col("w"), "left_semi"), "a")
+    b = _suffixed(_sized(own), "b")
     return _pair(a.join(b, (F.col("word_a") == F.col("word_b")) & _may_match(_of("a"), _of("b")))).distinct()
 
 
@@ -200,11 +204,31 @@ def _sets(docs: DataFrame, need: DataFrame, classes: Column) -> DataFrame:
     return sets.filter(F.xxhash64("set") == F.col("h")).groupBy("h").agg(F.first("set").alias("set"))
 
 
-def _links(docs: DataFrame, group: DataFrame, pairs: DataFrame, classes: Column) -> DataFrame:
+def _long_map(s: Column) -> Column:
+    """Whether an odd number of the words falls on each of ``64 * MAP_LONGS`` bits."""
+    def part(k: int) -> Column:
+        own = F.filter(s, lambda x: F.shiftright(x, 6).bitwiseAND(MAP_LONGS - 1) == k)
+        return F.aggregate(own, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(
+            F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))))
+
+    return F.array(*[part(k) for k in range(MAP_LONGS)])
+
+
+def _allowed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that long word maps leave room for, with the number of bits in which the maps differ:
+    two maps differ in at most as many bits as there are words the sets do not share."""
+    maps = sets.select("h", F.size("set").alias("n"), "map")
+    a = maps.select(F.col("h").alias("ma"), F.col("n").alias("na"), F.col("map").alias("xa"))
+    b = maps.select(F.col("h").alias("mb"), F.col("n").alias("nb"), F.col("map").alias("xb"))
+    apart = sum((F.bit_count(F.get("xa", F.lit(k)).bitwiseXOR(F.get("xb", F.lit(k)))) for k in range(MAP_LONGS)), F.lit(0))
+    both = F.col("na") + F.col("nb")
+    j = pairs.select(*PAIR).join(a, F.col("h_a") == F.col("ma")).join(b, F.col("h_b") == F.col("mb"))
+    j = j.select(*PAIR, apart.cast("int").alias("apart"), (both - 2 * F.ceil(both * NUM / (NUM + DEN))).alias("room"))
+    return j.filter(F.col("apart") <= F.col("room")).drop("room")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar."""
-    used = pairs.select(F.col("h_a").alias("u")).union(pairs.select(F.col("h_b").alias("u"))).distinct()
-    need = written(group.select("h", "first").join(used, F.col("h") == F.col("u"), "left_semi"), "lines-need")
-    sets = _sets(docs, need, classes)
     a = sets.select(F.col("h").alias("ga"), F.col("set").alias("set_a"))
     b = sets.select(F.col("h").alias("gb"), F.col("set").alias("set_b"))
     shared = F.size(F.array_intersect("set_a", "set_b"))
@@ -212,9 +236,30 @@ def _links(docs: DataFrame, group: DataFrame, pairs: DataFrame, classes: Column)
     return links.filter(DEN * shared >= NUM * (F.size("set_a") + F.size("set_b") - shared)).select(*PAIR)
 
 
+def _needed(docs: DataFrame, group: DataFrame, pairs: DataFrame, classes: Column) -> DataFrame:
+    """The sets of all classes in ``pairs``, with their long maps."""
+    used = pairs.select(F.col("h_a").alias("u")).union(pairs.select(F.col("h_b").alias("u"))).distinct()
+    need = written(group.select("h", "first").join(used, F.col("h") == F.col("u"), "left_semi"), "lines-need")
+    return written(_sets(docs, need, classes).select("h", "set", _long_map(F.col("set")).alias("map")), "lines-sets")
+
+
+def _links(docs: DataFrame, group: DataFrame, pairs: DataFrame, classes: Column) -> DataFrame:
+    """All the pairs whose full sets are similar."""
+    sets = _needed(docs, group, pairs, classes)
+    return _similar(_allowed(pairs, sets), sets)
+
+
 def _confirmed(docs: DataFrame, group: DataFrame, pairs: DataFrame, classes: Column) -> DataFrame:
-    """(h, match): the earliest first line among ``pairs`` that a class's full set is similar to."""
-    links = _links(docs, group, pairs, classes)
+    """(h, match): the first line of an earlier class that a class's full set is similar to.
+
+    One match decides a class, so the pair with the nearest maps is compared first
+    and the others only for classes that it does not decide."""
+    sets = _needed(docs, group, pairs, classes)
+    allowed = written(_allowed(pairs, sets), "lines-allowed")
+    near = allowed.groupBy("h_b").agg(F.min(F.struct("apart", "first_a", "h_a")).alias("x")).select("h_b", "x.first_a", "x.h_a")
+    first = written(_similar(near, sets), "lines-near")
+    rest = allowed.join(first.select(F.col("h_b").alias("d")), F.col("h_b") == F.col("d"), "left_anti")
+    links = first.union(_similar(rest, sets).select(*first.columns))
     return links.groupBy(F.col("h_b").alias("h")).agg(F.min("first_a").alias("match"))
 
 
