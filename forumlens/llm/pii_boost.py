@@ -4,9 +4,14 @@ Base spans follow four formats (e-mail, IP address, card number by Luhn, phone
 number).  Looser generators propose further, overlapping candidates.  Boosted
 trees score a candidate from its format (digits, separators, groups, checks) and
 its context (the characters and words around it).  They are fitted on the driver
-on a bounded sample of ``SAMPLE`` candidates, those that a base span confirms
-against those that none does; a kind's threshold is the lowest score that keeps
-``PRECISION`` on the half of the sample the trees have not seen, or none.
+on a bounded sample of ``SAMPLE`` candidates.  Labels do not come from the base formats:
+a base span of the corpus is rewritten into a loose form (``name [at] host [dot] org``, ``(619)
+555-0123``, a card number with dots, an address with commas) in its own context and is a
+positive, for phone numbers and addresses behind a cue word (a loose one alone is just
+numbers); a negative is the same with a failing check digit, or a number or a sign of that form in a context
+that says nothing personal.  Loose candidates of the corpus itself are not labelled.  A kind's
+threshold is the lowest score that keeps ``PRECISION`` on the half of the sample the trees have
+not seen, or none.
 Over the corpus the trees are one SQL expression.  A chosen candidate is added
 where it overlaps no base span; of overlapping ones the best score stays.
 
@@ -51,7 +56,7 @@ LOOSE = {
 LOOSE_NEED = {"email": r"@|[\[({]at[\])}]", "ip": r"[0-9]\x20?[.,]\x20?[0-9]",
               "card": r"[0-9](?:[\x20./-]{0,2}[0-9]){11}", "phone": r"[0-9]\)?[\x20./-]{1,2}\(?[0-9]{2}"}
 FEATURES = ("digits", "seps", "length", "dots", "spaces", "paren", "groups", "longest", "luhn", "octets",
-            "before", "after", "cue")
+            "before", "after", "cue", "kind")
 CUES = (r"(?i)(mail|phone|tel|call|fax|mobile|card|visa|ip|server|host|address|contact|reach)[^a-z0-9]{0,6}"
         r"(?:is|at|no|nr)?[^a-z0-9]{0,4}$")
 SAMPLE = 20_000
@@ -133,7 +138,7 @@ def _features(x: Column, k: int) -> Column:
         "longest": F.coalesce(F.array_max(F.transform(groups, F.length)), F.lit(0)).cast("double"),
         "luhn": flag(F.length(d).between(2, 24) & luhn(d)), "octets": flag(octets(m)),
         "before": flag(x["pre"].rlike("[A-Za-z0-9=\"'/_-]$")), "after": flag(x["post"].rlike("^[A-Za-z0-9\"'/_-]")),
-        "cue": flag(x["pre"].rlike(CUES)),
+        "cue": flag(x["pre"].rlike(CUES)), "kind": F.lit(float(k)),
     }
     return F.struct(x["start"].alias("start"), F.lit(k).alias("k"), x["end"].alias("end"),
                     *[values[f].alias(f) for f in FEATURES])
@@ -217,19 +222,86 @@ def _tree_sql(tree, c: Column) -> Column:
     return F.when(c[FEATURES[tree[0]]] <= tree[1], _tree_sql(tree[2], c)).otherwise(_tree_sql(tree[3], c))
 
 
+# Contexts without anything personal, for decoys.
+PLAIN = ("in total ", "the values ", "of about ", "table row ", "version ", "see page ")
+CUED = {"ip": ("the server at ", "from host ", "my ip is ", "ip: "),
+        "phone": ("please call ", "phone: ", "my tel. ", "reach me at ", "mobile no ")}
+
+
+def _loose(kind: str, m: Column, even: Column) -> Column:
+    """A base span rewritten into a loose form."""
+    d = digits_of(m)
+    if kind == "email":
+        host = F.replace(F.substring_index(m, "@", -1), F.lit("."), F.when(even, F.lit(" [dot] ")).otherwise(F.lit("(dot)")))
+        return F.concat(F.substring_index(m, "@", 1), F.when(even, F.lit(" [at] ")).otherwise(F.lit("(at)")), host)
+    if kind == "ip":
+        return F.replace(m, F.lit("."), F.when(even, F.lit(", ")).otherwise(F.lit(" . ")))
+    if kind == "card":
+        return _grouped(d, F.when(even, F.lit(".")).otherwise(F.lit("/")))
+    last = F.right(d, F.lit(10))
+    a, b, c = F.substring(last, 1, 3), F.substring(last, 4, 3), F.substring(last, 7, 4)
+    return F.when(even, F.concat(F.lit("("), a, F.lit(") "), b, F.lit("-"), c)).otherwise(F.concat_ws(".", a, b, c))
+
+
+def _grouped(d: Column, sep: Column) -> Column:
+    return F.concat(F.substring(d, 1, 4), sep, F.substring(d, 5, 4), sep, F.substring(d, 9, 4), sep,
+                    F.substring(d, F.lit(13), F.length(d)))
+
+
+def _spoilt(kind: str, m: Column, even: Column) -> Column:
+    """What has a loose form but is no personal data."""
+    d = digits_of(m)
+    if kind == "email":
+        return F.concat(F.lit("noon @ "), F.split(F.substring_index(m, "@", -1), r"\.")[0], F.lit(". Then"))
+    if kind == "card":                       # the check digit fails
+        other = F.pmod(F.right(d, F.lit(1)).cast("int") + 1, F.lit(10)).cast("string")
+        return _grouped(F.concat(F.left(d, F.length(d) - 1), other), F.when(even, F.lit(".")).otherwise(F.lit("/")))
+    return _loose(kind, m, even)
+
+
+def examples(text: Column, h: Column) -> Column:
+    """Labelled contexts made from the base spans of a text: kind, y, the context and the span in it."""
+    def one(k: int, kind: str) -> Column:
+        good = F.filter(matches(text, BASE[kind], NEED[kind]), lambda x: valid(kind, x["m"]))
+        plain = F.array(*[F.lit(p) for p in PLAIN])
+
+        def rows(x: Column, i: Column) -> Column:
+            pick = F.xxhash64(h, x["start"])
+            even = F.pmod(pick, F.lit(2)) == 0
+            real, false = _loose(kind, x["m"], even), _spoilt(kind, x["m"], even)
+            variant = F.shiftright(pick, 8)
+            ahead = x["pre"]
+            if kind in CUED:
+                cues = F.array(*[F.lit(p) for p in CUED[kind]])
+                ahead = F.get(cues, F.pmod(variant, F.lit(len(CUED[kind]))).cast("int"))
+            before = x["pre"] if kind == "card" else F.get(plain, F.pmod(variant, F.lit(len(PLAIN))).cast("int"))
+
+            def example(pre: Column, m: Column, y: bool) -> Column:
+                return F.struct(F.lit(k).alias("k"), F.lit(y).alias("y"), pick.alias("pick"), F.concat(pre, m, x["post"]).alias("t"),
+                                F.char_length(pre).alias("start"), (F.char_length(pre) + F.char_length(m)).alias("end"))
+
+            return F.array(example(ahead, real, True), example(before, false, False))
+
+        return F.flatten(F.transform(good, rows))
+
+    return F.concat(*[one(k, kind) for k, kind in enumerate(KINDS)])
+
+
 def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[list, dict[int, float]]:
-    """Trees and thresholds from the documents with candidates and the smallest hashes."""
+    """Trees and thresholds, from the documents with the smallest hashes among those that may hold a base span."""
     rows = docs.select(F.xxhash64("doc_id", "text").alias("h"), text_of("text").alias("t"))
-    # A text without any digit, @ or bracketed "at" has no candidate.
-    rows = rows.filter(F.col("t").rlike(r"[0-9@]|[\[({]at[\])}]")).orderBy("h").limit(sample // 2)
-    rows = rows.select("h", candidates(F.col("t")).alias("c"), base_spans(F.col("t")).alias("b"))
-    c = rows.select("h", F.explode("c").alias("c"), "b").select(
-        "h", "c", F.exists("b", lambda b: overlaps(b, F.col("c"))).alias("hit"),
-        F.exists("b", lambda b: (b["k"] == F.col("c.k")) & overlaps(b, F.col("c"))).alias("y"))
-    # Over a base span of another kind a candidate is neither.
-    got = c.filter(F.col("y") | ~F.col("hit")).orderBy("h", "c.start", "c.k", "c.end").limit(sample).select(
-        "c.k", "y", *[f"c.{f}" for f in FEATURES]).collect()
+    rows = rows.filter(F.col("t").rlike("|".join(NEED.values())))
+    # The cut is found on hashes alone; the patterns then run where the texts are.
+    cut = rows.select("h").orderBy("h").limit(sample // 2).agg(F.max("h")).first()[0]
+    if cut is None:
+        return [], {}
+    made = rows.filter(F.col("h") <= cut).select("h", F.explode(examples(F.col("t"), F.col("h"))).alias("e")).select("h", "e.*")
+    made = made.select("h", "pick", "k", "y", "start", "end", F.explode(candidates(F.col("t"))).alias("c"))
+    got = made.filter((F.col("c.k") == F.col("k")) & (F.col("c.start") < F.col("end")) & (F.col("start") < F.col("c.end")))
+    got = got.orderBy("h", "pick", "y", "c.start", "c.end").limit(sample).select("k", "y", *[f"c.{f}" for f in FEATURES]).collect()
     a = np.array([[float(v) for v in r] for r in got]).reshape(len(got), 2 + len(FEATURES))
+    # Neighbours come from one span: fit() deals the rows to its halves in turn, so mix them first.
+    a = a[np.random.default_rng(0).permutation(len(a))]
     return fit(a[:, 2:], a[:, 1], a[:, 0].astype(int))
 
 
