@@ -30,11 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from forumlens.llm.common import words
+from forumlens.llm.common import let, sent_if_few, words
 
 BUCKETS = 1 << 16
 GRAMS = 4
 SAMPLE_DOCS, SAMPLE_WORDS = 400, 200
+STRETCHES = 4
 LENGTH = 40              # words of a training sequence
 EPOCHS, RATE, DECAY = 4, 0.2, 1e-4
 GROUP = 3_000_000        # words labelled at once by a task
@@ -210,15 +211,29 @@ def posteriors(ids: list[np.ndarray], em: np.ndarray, letters: np.ndarray, model
 
 
 def sample(docs: DataFrame, per_lang: int = SAMPLE_DOCS, n_words: int = SAMPLE_WORDS) -> list[tuple[str, list[str]]]:
-    """The bounded training sample: the documents of each language with the smallest hashes."""
+    """The bounded training sample: the documents of each language with the smallest hashes.
+
+    A text of more than ``n_words`` words gives ``STRETCHES`` stretches, one from each part of the whole
+    text, at a place in it that a hash picks."""
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     usable = docs.filter(~F.coalesce(held, F.lit(False)) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     ids = usable.select("doc_id", "lang").withColumn("r", rank).filter(F.col("r") <= per_lang)
     ids = ids.select(F.col("doc_id").alias("i"), F.col("lang").alias("l"))
-    picked = usable.join(ids, usable["doc_id"].eqNullSafe(ids["i"]) & (usable["lang"] == ids["l"]), "left_semi")
+    picked = usable.join(sent_if_few(ids, 100_000), usable["doc_id"].eqNullSafe(ids["i"]) & (usable["lang"] == ids["l"]), "left_semi")
     picked = picked.withColumn("r", rank).filter(F.col("r") <= per_lang)
-    rows = picked.select("lang", F.slice(words(F.col("text")), 1, n_words).alias("ws")).collect()
+    size = n_words // STRETCHES
+
+    def stretches(ws):
+        part = F.floor(F.size(ws) / STRETCHES)
+
+        def stretch(j):
+            return F.slice(ws, (j * part + F.pmod(F.xxhash64("doc_id", j), part - size + 1) + 1).cast("int"), F.lit(size))
+
+        return F.when(F.size(ws) <= n_words, F.array(ws)).otherwise(
+            F.array(*[stretch(F.lit(j).cast("long")) for j in range(STRETCHES)]))
+
+    rows = picked.select("lang", F.explode(let(words(F.col("text")), stretches)).alias("ws")).collect()
     return sorted((r["lang"], r["ws"]) for r in rows)
 
 

@@ -31,7 +31,7 @@ def op4_minhash_oph(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, d: str) -> DataFrame:
-    return warc.round_trip(table(spark, d, "pages")).drop("status")
+    return warc.round_trip(table(spark, d, "pages"))
 
 
 def op6_mix_pareto(spark: SparkSession, d: str) -> DataFrame:
@@ -167,7 +167,7 @@ SELECT page_id, payload_bytes,
     1 + CAST((CAST('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31
       AS BIGINT), 1)), '') AS payload_digest,
   CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+  CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to, 'ok' AS status
 FROM h JOIN m USING (hex)
 """
 

@@ -137,9 +137,27 @@ def write_archives(records: DataFrame, folder: str, level: int = 6, file_bytes:
     return written(light.mapInPandas(write, "path string, records long, bytes long"), "warc-manifest")
 
 
+MAGIC = b"\x1f\x8b\x08"      # the first bytes of a gzip member
+
+
+def _next_member(stream, raw: bytes, chunk: int) -> bytes:
+    """What is read from the next start of a member on, after the first byte of ``raw``; empty at the end."""
+    at = raw.find(MAGIC, 1)
+    while at < 0:
+        more = stream.read(chunk)
+        if not more:
+            return b""
+        raw = raw[-2:] + more
+        at = raw.find(MAGIC)
+    return raw[at:]
+
+
 def read_members(stream, chunk: int = CHUNK) -> Iterator[tuple[bytes, list[bytes], str]]:
-    """(header, block pieces, status) of each gzip member of a stream."""
-    raw = stream.read(chunk)
+    """(header, block pieces, status) of each gzip member of a stream.
+
+    A member that cannot be inflated is told once (``bad_header``, with what was read of it), and
+    reading goes on at the next bytes that start a sound member."""
+    raw, lost = stream.read(chunk), False
     while raw:
         z, head, block, need, status = zlib.decompressobj(31), b"", [], None, "ok"
         got = 0
@@ -147,8 +165,10 @@ def read_members(stream, chunk: int = CHUNK) -> Iterator[tuple[bytes, list[bytes
             try:
                 piece = z.decompress(raw)
             except zlib.error:
-                yield head, block, "bad_header"
-                return
+                if not lost:
+                    yield head, block, "bad_header"
+                lost, status, raw = True, "lost", _next_member(stream, raw, chunk)
+                break
             if need is None:
                 head += piece
                 end = head.find(b"\r\n\r\n")
@@ -168,6 +188,8 @@ def read_members(stream, chunk: int = CHUNK) -> Iterator[tuple[bytes, list[bytes
             if not raw:
                 status = "truncated"
                 break
+        if status == "lost":
+            continue
         if status == "ok" and need is None or need == -1:
             status = "bad_header"
         elif status == "ok" and got != need + 4:
@@ -180,6 +202,7 @@ def read_members(stream, chunk: int = CHUNK) -> Iterator[tuple[bytes, list[bytes
             block[-1] = block[-1][:-4]
             if tail != b"\r\n\r\n":
                 status = "bad_length"
+        lost = False
         yield head, block, status
 
 
