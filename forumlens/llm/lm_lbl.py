@@ -58,7 +58,7 @@ NOISE = 30               # noise classes per token, taken by expectation
 BATCH, PASSES, RATE = 512, 12, 0.2      # contexts a step, passes over all contexts
 LEARN = 8                # words seen as often have a vector of their own
 WORD_NOISE, RIDGE, WORD_STEPS = 10, 2.0, 12
-FLUSH = 400_000          # distinct words a counting task holds
+FLUSH = 200_000          # distinct words a counting task holds
 END = b"\n"              # no word holds a line feed
 
 
@@ -183,7 +183,7 @@ def context_counts(train: DataFrame, top: np.ndarray, head: np.ndarray, head_n:
                 w = key // CLASSES
                 parts.append((h[w], cls[w] * CLASSES + key % CLASSES, n))
                 size += len(key)
-                if size > 4_000_000:
+                if size > 1_000_000:
                     yield from pairs(parts)
                     parts, size = [], 0
         if parts:
@@ -289,8 +289,8 @@ def word_vectors(pairs: DataFrame, x: np.ndarray, before: np.ndarray, weight: np
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for at in range(0, len(b), 4096):
-                part = b.iloc[at:at + 4096]
+            for at in range(0, len(b), 1024):
+                part = b.iloc[at:at + 1024]
                 for c, g in part.groupby("cls"):
                     n = np.zeros((len(g), CLASSES))
                     row = np.repeat(np.arange(len(g)), g["a"].map(len))
@@ -309,9 +309,9 @@ def normalisers(vectors: DataFrame, x: np.ndarray, weight: np.ndarray) -> np.nda
         sums = np.zeros((CLASSES, CLASSES))
         for b in batches:
             for c, g in b.groupby("cls"):
-                for at in range(0, len(g), 4096):
-                    n = g["n"].to_numpy()[at:at + 4096] + 0.5
-                    sums[:, c] += np.expm1(x @ np.stack(g["v"].iloc[at:at + 4096]).T) @ n
+                for at in range(0, len(g), 1024):
+                    n = g["n"].to_numpy()[at:at + 1024] + 0.5
+                    sums[:, c] += np.expm1(x @ np.stack(g["v"].iloc[at:at + 1024]).T) @ n
         a, c = np.nonzero(sums)
         yield pd.DataFrame({"a": a, "c": c, "s": sums[a, c]})
 
@@ -324,10 +324,12 @@ def normalisers(vectors: DataFrame, x: np.ndarray, weight: np.ndarray) -> np.nda
 
 def log_table(p: dict[str, np.ndarray]) -> np.ndarray:
     """log10 P(class | two before, one before), normalised; rows by two * CLASSES + one."""
-    h = (p["c2"] * p["r"])[:, None, :] + (p["c1"] * p["r"])[None, :, :]
-    s = h.reshape(-1, DIM) @ p["q"].T + p["bias"]
-    top = s.max(axis=1, keepdims=True)
-    return (s - top - np.log(np.exp(s - top).sum(axis=1, keepdims=True))) / np.log(10)
+    out = np.empty((CLASSES * CLASSES, CLASSES), np.float32)
+    for two in range(CLASSES):               # a slice at a time: the table is the only large array
+        s = (p["c2"] * p["r"][two] + p["c1"] * p["r"]) @ p["q"].T + p["bias"]
+        s -= s.max(axis=1, keepdims=True)
+        out[two * CLASSES:(two + 1) * CLASSES] = (s - np.log(np.exp(s).sum(axis=1, keepdims=True))) / np.log(10)
+    return out
 
 
 def head_cut(counts: DataFrame) -> int:
@@ -401,7 +403,7 @@ def scores(docs: DataFrame, steps: int | None = None) -> DataFrame:
     norm = np.log10(n_all + 0.5 * (v_all + 1))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder, table, x32 = Coder(top), log_table(params).astype(np.float32), x.astype(np.float32)
+        coder, table, x32 = Coder(top), log_table(params), x.astype(np.float32)
         key = TaskContext.get().partitionId() << 40
         for b in batches:
             for at in range(0, len(b), 256):
