@@ -13,12 +13,16 @@ very often) is split by hash, so no block is large.
 Search: a query expands the annuli by their lower bound |d(q, p) - r|.  The first
 gives a k-th best score; after ``EXPAND`` more that score is raised; of the rest
 only annuli whose bound still admits an equal or better score are visited, so the
-result is exact.  A visit is one matrix product of a block with at most ``CHUNK``
-queries.  In data without structure the bounds prune little and the search is a
+result is exact.  A visit is a matrix product of a block with the queries that
+want it.  Blocks and their queries meet in one sorted stream, block first, so a
+task holds one block and one Arrow batch of queries; a block goes to a task once
+for each ``CHUNK`` queries, and only where one of them wants it.  In data without structure the bounds prune little and the search is a
 blocked scan of the query set against all rows.
 
 Defined cases: vectors that are null or hold a null or non-finite component, and
-rows without ``vec_id``, take no part; vectors of unlike length are compared as
+rows without ``vec_id``, take no part; nor do vectors whose squared length after
+scaling exceeds 2 ** 53 (``LARGEST``), as their scores would not be exact and may
+not fit a long, while those of all others are exact in doubles; vectors of unlike length are compared as
 if filled up with zeros; rows that repeat a vec_id are candidates each, but never
 for a query of their own id, and a repeated query answers once; an empty table
 gives no rows.  Only ``vec_id`` and ``embedding`` are read.
@@ -34,12 +38,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from forumlens.llm.common import written
+from forumlens.llm.common import sent_if_few, written
 
 PIVOTS = 64
 RINGS = 128
 BLOCK = 2048
-CHUNK = 8192
+CHUNK = 1 << 16          # queries that share one copy of a block
+EMIT = 16_384            # visits of one Arrow batch
+LARGEST = float(1 << 53)
 EXPAND = 8
 K = 20
 SCALE = 64
@@ -49,9 +55,14 @@ def quantised(vectors: DataFrame) -> DataFrame:
     """vec_id and floor(64 * x) of the vectors that take part."""
     v = F.col("embedding")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
-    return (vectors.filter(F.col("vec_id").isNotNull() & v.isNotNull() & ~F.coalesce(bad, F.lit(True)))
-            .select(F.col("vec_id").cast("long").alias("vec_id"),
-                    F.transform(v, lambda x: F.floor(x.cast("double") * SCALE).cast("double")).alias("v")))
+    kept = vectors.filter(F.col("vec_id").isNotNull() & v.isNotNull() & ~F.coalesce(bad, F.lit(True))).select(
+        F.col("vec_id").cast("long").alias("vec_id"),
+        F.transform(v, lambda x: F.floor(x.cast("double") * SCALE).cast("double")).alias("v"))
+    return kept.filter(_squared() <= LARGEST)
+
+
+def _squared() -> Column:
+    return F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
 
 
 def _matrix(col: pd.Series, dim: int) -> np.ndarray:
@@ -88,8 +99,7 @@ class Index:
 
 def build(vectors: DataFrame, n_pivots: int = PIVOTS, block: int = BLOCK) -> Index | None:
     vec = written(quantised(vectors), "pivot-vectors")
-    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    size = vec.agg(F.max(F.size("v")).alias("dim"), F.max(norm).alias("m2")).first()
+    size = vec.agg(F.max(F.size("v")).alias("dim"), F.max(_squared()).alias("m2")).first()
     if size["dim"] is None:
         return None
     dim, m2 = max(size["dim"], 1), float(size["m2"])
@@ -139,12 +149,13 @@ def top_k(vectors: DataFrame, queries: Column, k: int = K) -> DataFrame:
     asked = index.rows.filter(queries).select(F.col("vec_id").alias("query_id"), "v").dropDuplicates(["query_id"])
     chunks = max(1, -(-asked.count() // CHUNK))
     asked = asked.withColumn("chunk", F.pmod(F.xxhash64(F.lit(1), "query_id"), F.lit(chunks).cast("long")))
-    placed = written(placed.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                                     F.lit(chunks - 1).cast("long")))), "pivot-blocks")
+    placed = written(placed, "pivot-blocks")
     pivots, dim, m2 = index.pivots, index.dim, index.m2
     a_pivot, lo, hi, n_parts = (a[c].to_numpy() for c in ("pivot", "lo", "hi", "parts"))
 
-    def expand(step: int):
+    def expand(step: int, wanted: bool):
+        """The visits of a step; or, if ``wanted``, only which annuli the chunks want."""
+
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             lift_q = 0.0
             for whole in batches:
@@ -163,26 +174,48 @@ def top_k(vectors: DataFrame, queries: Column, k: int = K) -> DataFrame:
                     first, last = ((0, 1), (1, 1 + EXPAND), (1 + EXPAND, len(lo)))[step]
                     want &= (place >= first) & (place < last)
                     r, c = np.nonzero(want)
+                    if wanted:
+                        pairs = np.unique(np.stack([c, b["chunk"].to_numpy()[r]]), axis=1)
+                        yield pd.DataFrame({"annulus": pairs[0], "chunk": pairs[1]})
+                        continue
                     again = n_parts[c]
                     r, c = np.repeat(r, again), np.repeat(c, again)
                     part = np.arange(len(r)) - np.repeat(np.cumsum(again) - again, again)
-                    yield pd.DataFrame({"query_id": b["query_id"].to_numpy()[r], "q": b["v"].to_numpy()[r],
-                                        "floor": b["floor"].to_numpy()[r], "annulus": c.astype(np.int64),
-                                        "part": part.astype(np.int64), "chunk": b["chunk"].to_numpy()[r]})
+                    for i in range(0, len(r), EMIT):
+                        ri, ci = r[i:i + EMIT], c[i:i + EMIT].astype(np.int64)
+                        yield pd.DataFrame({"annulus": ci, "part": part[i:i + EMIT].astype(np.int64),
+                                            "chunk": b["chunk"].to_numpy()[ri], "id": b["query_id"].to_numpy()[ri],
+                                            "v": b["v"].to_numpy()[ri], "floor": b["floor"].to_numpy()[ri]})
 
         return run
 
-    def visit(block: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        if not len(block) or not len(q):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        x = np.frombuffer(b"".join(block["v"]), float).reshape(len(block), dim)
-        y = np.frombuffer(b"".join(q["q"]), float).reshape(len(q), dim)
-        ids, own, out = block["vec_id"].to_numpy(), q["query_id"].to_numpy(), []
-        for at in range(0, len(q), 1024):
-            s = y[at:at + 1024] @ x.T
-            r, i, v = best(s, ids, own[at:at + 1024], q["floor"].to_numpy()[at:at + 1024], k)
-            out.append(pd.DataFrame({"query_id": own[at + r], "vec_id": i, "score": v.astype(np.int64)}))
-        return pd.concat(out)
+    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Scores from rows sorted by block, a block's vectors (floor null) before its queries."""
+        key, ids, vectors, matrix = None, [], [], None
+        for b in batches:
+            marks = b[["annulus", "part", "chunk"]].to_numpy()
+            asks = b["floor"].notna().to_numpy()
+            new = np.concatenate(([True], (marks[1:] != marks[:-1]).any(axis=1) | (asks[1:] != asks[:-1])))
+            edges = np.append(np.flatnonzero(new), len(b))
+            for i, j in zip(edges[:-1], edges[1:]):
+                if key != tuple(marks[i]):
+                    key, ids, vectors, matrix = tuple(marks[i]), [], [], None
+                part = b.iloc[i:j]
+                if not asks[i]:
+                    ids.append(part["id"].to_numpy())
+                    vectors += list(part["v"])
+                    continue
+                if not vectors:
+                    continue
+                if matrix is None:
+                    matrix = np.frombuffer(b"".join(vectors), float).reshape(len(vectors), dim)
+                    ids = [np.concatenate(ids)]
+                for at in range(0, len(part), 1024):
+                    q = part.iloc[at:at + 1024]
+                    y = np.frombuffer(b"".join(q["v"]), float).reshape(len(q), dim)
+                    own = q["id"].to_numpy()
+                    r, near, v = best(y @ matrix.T, ids[0], own, q["floor"].to_numpy(), k)
+                    yield pd.DataFrame({"query_id": own[r], "vec_id": near, "score": v.astype(np.int64)})
 
     keys = ["annulus", "part", "chunk"]
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -195,9 +228,14 @@ def top_k(vectors: DataFrame, queries: Column, k: int = K) -> DataFrame:
             kth = kth.select(F.col("query_id").alias("qi"), F.when(F.col("n") >= k, F.col("m")).alias("m"))
             ready = (asked.join(kth, F.col("query_id") == F.col("qi"), "left")
                      .select("query_id", "v", "chunk", F.coalesce("m", F.lit(float("-inf"))).alias("floor")))
-        visits = ready.mapInPandas(expand(step), "query_id long, q binary, floor double, annulus long, part long, "
-                                                 "chunk long")
-        got = placed.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInPandas(visit, shape)
+        visits = ready.mapInPandas(expand(step, False), "annulus long, part long, chunk long, id long, v binary, "
+                                                        "floor double")
+        wanted = ready.mapInPandas(expand(step, True), "annulus long, chunk long").distinct()
+        blocks = placed.join(sent_if_few(wanted), "annulus").select(
+            *keys, F.col("vec_id").alias("id"), "v", F.lit(None).cast("double").alias("floor"))
+        stream = blocks.unionByName(visits).repartition(*keys).sortWithinPartitions(
+            *keys, F.col("floor").isNotNull())
+        got = stream.mapInPandas(visit, shape)
         got = got if found is None else got.union(found.select("query_id", "vec_id", "score"))
         found = got.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
         if step < 2:
