@@ -5,9 +5,10 @@ of all words of the corpus, kept in ``BUCKETS`` hashed counters, give a class of
 half a power of two, ties go by hash; any total order keeps the join exact.  Two
 sets with a Jaccard similarity of NUM / DEN or more share a word of their
 prefixes, so prefixes are joined word by word, with filters on length, on the
-position in the prefix and on the Hamming distance of 128-bit word maps (each
-differing bit stands for a word the sets do not share).  Surviving pairs are
-compared by 512-bit maps and, where those leave room, verified on full sets.
+position in the prefix and on the Hamming distance of 128-bit word maps (a bit is
+the parity of the words that fall on it, so each differing bit stands for a word
+the sets do not share).  Surviving pairs are compared by 512-bit maps and, where
+those leave room, verified on full sets.
 
 Lines with equal sets are one class, represented by the first line in (doc_id,
 line) order, before anything is joined, so a line that a third of the corpus
@@ -16,9 +17,9 @@ if its class's first line is similar to the first line of an earlier class; ever
 such line is named with an earlier line it matches.  The report verifies every pair of
 classes that passes the filters: it names the earliest match, the line's class and
 how many other classes are similar to it.  Where only the flag is needed
-(``without_repeats``) one confirmed pair decides a class, so the other pairs of a
-large group of variants are not enumerated there; a class whose hub pairs all fail
-is compared with every candidate.
+(``without_repeats``) one confirmed pair decides a class: classes are first compared
+with the hubs of their rarest words, and those that no hub decides with every
+candidate, so the pairs of a large group of variants are not enumerated there.
 Nothing is capped: broadcasts are used below a counted bound, joins beyond it.
 
 Defined cases: a null text has no lines, lines without words are never removed,
@@ -40,6 +41,7 @@ BUCKETS = 1 << 15        # a literal of the plan, so kept small
 LOW_BITS = 57            # hash bits of a packed word; the rarity class stands above
 NO_ID = (1 << 63) - 1
 MAP_LONGS = 8            # length of a long word map
+HUB_WORDS = 4            # words of a prefix, the rarest, that are compared with hubs first
 HOT = 1 << 11            # postings of a word that one slice of the full join takes
 BROADCAST_ROWS = 1 << 20     # short rows of three or four numbers: 40 MB
 
@@ -83,7 +85,7 @@ def line_table(docs: DataFrame, classes: Column) -> DataFrame:
 
         def word_map(half: int) -> Column:
             own = F.filter(s, lambda x: x.bitwiseAND(64) == 64 * half)
-            return F.aggregate(own, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(
+            return F.aggregate(own, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(
                 F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))))
 
         size = n - F.ceil(n * NUM / DEN).cast("int") + 1
@@ -96,14 +98,14 @@ def line_table(docs: DataFrame, classes: Column) -> DataFrame:
     return rows.select("doc", "line", let(word_set(F.col("s"), classes), row).alias("x")).select("doc", "line", "x.*")
 
 
-def _postings(classes: DataFrame) -> DataFrame:
+def _postings(classes: DataFrame, *more: str) -> DataFrame:
     """One flat row for each word of a prefix.  No column can be null: Spark then adds no filters
     below the joins, and all uses share one exchange."""
     def known(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit(0)).alias(c)
 
-    post = classes.select("h", "first.doc", "first.line", "n", "map0", "map1", F.posexplode("prefix").alias("pos", "word"))
-    return post.select(*[known(c) for c in post.columns])
+    post = classes.select("h", "first.doc", "first.line", "n", "map0", "map1", *more, F.posexplode("prefix").alias("pos", "word"))
+    return post.select(*[known(c) for c in post.columns if c not in more], *more)
 
 
 def _may_match(a, b) -> Column:
@@ -132,60 +134,50 @@ def _pair(joined: DataFrame) -> DataFrame:
     return joined.select("h_a", F.struct(F.col("doc_a").alias("doc"), F.col("line_a").alias("line")).alias("first_a"), "h_b")
 
 
-HUBS = (["word"], ["word", "n"], ["word", "pos"])
+HUBS = (["word", "pos"], ["word", "n"], ["word"])   # one sort serves the last two
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Pairs (earlier a, later b) that pass the filters, and whether b is ``covered``.
+def hub_candidates(classes: DataFrame) -> DataFrame:
+    """Pairs (earlier a, later b) of each posting with its hubs, as far as they pass the filters.
 
     The hubs of a posting are the earliest ones of its word, of its word and set
-    size, and of its word and position (``HUBS``).  Where hubs may match b, only the
-    pairs with them are emitted, without a join: b is covered there, and a group of
-    variants of one line costs its size, not its square.  The other postings are
-    joined with all of their word.
+    size, and of its word and position (``HUBS``).  The pairs need no join, and a
+    group of variants of one line costs its size, not its square.  Only the rarest
+    ``HUB_WORDS`` words of a prefix are looked at: this is a first look, and what it
+    does not decide is left to ``every_candidate``.
     """
-    post = _postings(classes).repartition("word")
+    post = _postings(classes.withColumn("prefix", F.slice("prefix", 1, HUB_WORDS))).repartition("word")
     seen = post
     for k, by in enumerate(HUBS):
         hub = F.min(F.struct("doc", "line", "h", "n", "map0", "map1", "pos")).over(W.partitionBy(*by))
         seen = seen.withColumn(f"hub{k}", hub)
     near = [F.when(_may_match(lambda c, k=k: F.col(f"hub{k}.{c}"), F.col), F.struct(f"hub{k}.h", f"hub{k}.doc", f"hub{k}.line"))
             for k in range(len(HUBS))]
-    seen = seen.select(*post.columns, F.array_compact(F.array(*near)).alias("near"))
-    hubs = seen.select(F.explode("near").alias("x"), F.col("h").alias("h_b")).select(
-        F.col("x.h").alias("h_a"), F.struct("x.doc", "x.line").alias("first_a"), "h_b", F.lit(True).alias("covered"))
-    a, b = _suffixed(post, "a"), _suffixed(seen.filter(F.size("near") == 0).drop("near"), "b")
-    rest = a.join(b, (F.col("word_a") == F.col("word_b")) & _may_match(_of("a"), _of("b")))
-    pairs = hubs.union(_pair(rest).withColumn("covered", F.lit(False)))
-    return pairs.groupBy(*PAIR).agg(F.max("covered").alias("covered"))
-
-
-def every_candidate(classes: DataFrame) -> DataFrame:
-    """All pairs (earlier a, later b) that pass the filters; frequent words are joined in slices of b."""
-    post = _postings(classes)
+    hubs = seen.select(F.explode(F.array_compact(F.array(*near))).alias("x"), F.col("h").alias("h_b"))
+    return hubs.select(F.col("x.h").alias("h_a"), F.struct("x.doc", "x.line").alias("first_a"), "h_b").distinct()
+
+
+def every_candidate(classes: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """All pairs (earlier a, later b) that pass the filters; frequent words are joined in slices of b.
+    Where ``found`` (h) is given, only those whose b is not in it."""
+    open_ = F.lit(True)
+    if found is not None:
+        done = _sized(found.select(F.col("h").alias("done")))
+        classes, open_ = classes.join(done, F.col("h") == F.col("done"), "left"), F.col("done").isNull()
+    post = _postings(classes.withColumn("open", open_), "open")
     hot = post.groupBy(F.col("word").alias("w")).agg(F.count("*").alias("c")).filter(F.col("c") > HOT)
     hot = _sized(written(hot.select("w", F.ceil(F.col("c") / HOT).cast("long").alias("slices")), "lines-hot"))
     # One exchange for both sides.
     rest = post.join(hot, F.col("word") == F.col("w"), "left_anti").repartition("word")
     same = (F.col("word_a") == F.col("word_b")) & _may_match(_of("a"), _of("b"))
-    pairs = _pair(_suffixed(rest, "a").join(_suffixed(rest, "b"), same))
+    pairs = _pair(_suffixed(rest, "a").join(_suffixed(rest.filter("open"), "b"), same))
     wide = post.join(hot, F.col("word") == F.col("w")).drop("w")
     a = wide.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
-    b = wide.withColumn("slice", F.pmod(F.xxhash64("h"), F.col("slices")))
+    b = wide.filter("open").withColumn("slice", F.pmod(F.xxhash64("h"), F.col("slices")))
     sliced = _pair(_suffixed(a, "a").join(_suffixed(b, "b"), same & (F.col("slice_a") == F.col("slice_b"))))
     return pairs.union(sliced).distinct()
 
 
-def _all_candidates(classes: DataFrame, later: DataFrame) -> DataFrame:
-    """Every pair that passes the filters for the few classes ``later`` (h)."""
-    own = written(_postings(classes.join(later, classes["h"] == later["u"], "left_semi")), "lines-open")
-    words_ = _sized(written(own.select(F.col("word").alias("w")).distinct(), "lines-open-words"))
-    post = _postings(classes)
-    a = _suffixed(post.join(words_, F.col("word") == F.col("w"), "left_semi"), "a")
-    b = _suffixed(_sized(own), "b")
-    return _pair(a.join(b, (F.col("word_a") == F.col("word_b")) & _may_match(_of("a"), _of("b")))).distinct()
-
-
 def _sized(df: DataFrame) -> DataFrame:
     """A hint for a written table of few rows; larger ones are joined by shuffle."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
@@ -292,15 +284,10 @@ def judged(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     classes = rarity(docs)
     lines, group = _classes(docs, classes)
-    pairs = written(candidates(group), "lines-pairs")
+    pairs = written(hub_candidates(group), "lines-hubs")
     found = written(_confirmed(docs, group, pairs, classes), "lines-found")
-    # Covered classes without a confirmed pair: their other pairs were left out.
-    open_ = pairs.filter("covered").select(F.col("h_b").alias("u")).distinct().join(
-        found, F.col("u") == F.col("h"), "left_anti")
-    open_ = written(open_, "lines-left")
-    if not open_.isEmpty():
-        more = written(_all_candidates(group, open_), "lines-more")
-        found = found.union(_confirmed(docs, group, more, classes))
+    more = written(every_candidate(group, found), "lines-open")
+    found = found.union(_confirmed(docs, group, more, classes))
     cls = group.select(F.col("h").alias("g"), "first").join(found, F.col("g") == F.col("h"), "left")
     return _decided(lines, written(cls.select("g", "first", "match"), "lines-judged"))
 
