@@ -12,16 +12,15 @@ import math
 
 import pyarrow as pa
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression, OneVsRest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, Tokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.operators.joins import broadcast_bounded
 from forumlens.operators.topk import ranked_top_k
-from forumlens.plans import embeddings
+from forumlens.plans import embeddings, logistic
 from forumlens.plans.embeddings import TagEmbeddings
 from forumlens.sources import xml_dump
 
@@ -224,20 +223,20 @@ def one_tag_probabilities(train: DataFrame, test: DataFrame, tag: str = TRIAL_TA
         F.col("id").alias("post_id"), prob[0].alias("p_not_tag"), prob[1].alias("p_tag"))
 
 
-def training_rows(train: DataFrame, top: DataFrame, k: int,
-                  num_features: int = NUM_FEATURES) -> DataFrame:
-    """Exploded training rows ``(label, features)``; label = rank-1 of the tag
-    among the top ``k``, or ``k`` for any other tag.
+def training_rows(train: DataFrame, names: list[str | None], num_features: int = NUM_FEATURES,
+                  per_post: bool = False) -> DataFrame:
+    """One row a tagged post: ``labels`` (the places in ``names`` of its tags), ``n`` and ``features``.
 
-    Bodies are featurised once per post, before the explode.
+    The row stands for ``n`` training rows, one for each of its tags (``per_post``: for one, with the
+    distinct labels); bodies are featurised once and never repeated.
     """
     feats = featurizer(num_features).fit(train).transform(
         tagged(train).select("id", "tags", body_text()))
-    rows = feats.select(F.explode("tags").alias("tag"), "features")
-    labels = broadcast_bounded(top.select("tag", (F.col("rank") - 1).cast("double")
-                                          .alias("label")), k)
-    return (rows.join(labels, "tag", "left")
-            .select(F.coalesce(F.col("label"), F.lit(float(k))).alias("label"), "features"))
+    places = F.create_map(*[F.lit(v) for i, name in enumerate(names) if name is not None for v in (name, i)])
+    known = F.filter("tags", lambda t: t.isNotNull())
+    labels = F.array_compact(F.transform(known, lambda t: F.element_at(places, t)))
+    n = F.lit(1) if per_post else F.size("tags")
+    return feats.select((F.array_distinct(labels) if per_post else labels).alias("labels"), n.alias("n"), "features")
 
 
 def training_bytes(train: DataFrame, per_tag: bool) -> int:
@@ -251,9 +250,8 @@ def training_bytes(train: DataFrame, per_tag: bool) -> int:
 def fits_at_once(parallelism: int, row_bytes: int, storage_bytes: int) -> int:
     """How many binary models are fitted at a time.
 
-    Each fit caches its own copy of the training rows, beside the one they are read from.
-    All copies together take at most half the executors' storage memory, whatever
-    ``parallelism`` asks for; one fit always runs (its blocks may go to disk).
+    Each model needs ``row_bytes`` of its own on the executors.  All together, and one more, take at
+    most half their storage memory, whatever ``parallelism`` asks for; one model is always fitted.
     """
     copies = storage_bytes // 2 // max(1, row_bytes) - 1
     return max(1, min(parallelism, int(copies)))
@@ -268,27 +266,6 @@ def storage_memory(spark: SparkSession) -> int:
     return total
 
 
-def _fit_per_post(train: DataFrame, top: DataFrame, k: int, num_features: int,
-                  parallelism: int) -> list:
-    """One binary model per top tag on one row per post (label: the post has the tag)."""
-    from multiprocessing.pool import ThreadPool
-
-    feats = (featurizer(num_features).fit(train).transform(tagged(train).select("tags", body_text()))
-             .select("tags", "features").persist(StorageLevel.MEMORY_AND_DISK))
-    names = [r["tag"] for r in top.orderBy("rank").collect()]  # <= k names
-
-    def fit(tag: str):
-        rows = feats.select(F.array_contains("tags", tag).cast("double").alias("label"),
-                            "features")
-        return logistic_regression().fit(rows)
-
-    try:
-        with ThreadPool(max(1, min(parallelism, len(names)))) as pool:
-            return pool.map(fit, names)
-    finally:
-        feats.unpersist()
-
-
 def tag_probabilities(train: DataFrame, test: DataFrame, k: int = TOP_TAGS,
                       num_features: int = NUM_FEATURES, parallelism: int = 8,
                       training: str = "exploded") -> DataFrame:
@@ -297,39 +274,35 @@ def tag_probabilities(train: DataFrame, test: DataFrame, k: int = TOP_TAGS,
 
     One binary logistic regression per tag.  ``training="exploded"`` (the
     original program's choice) labels each (post, tag) row by whether its tag
-    is that tag and fits all tags with ``OneVsRest`` over one featurised frame
-    (cached by the estimator) with ``parallelism`` concurrent fits;
+    is that tag, one against the rest;
     ``training="per_post"`` uses one row per post, labelled by whether the
-    post carries the tag.  Test posts are read and featurised once: every tag's
+    post carries the tag.  The featurised posts are written once, one row each, and up to
+    ``parallelism`` models are fitted in the same passes over them (``logistic.fit_all``), fewer
+    where a weight and a gradient of each in every task would not fit (``fits_at_once``).
+    Test posts are read and featurised once: every tag's
     model adds its margin to the same row, which is then exploded, so nothing of
-    the test side is cached.  Fits run in waves of up to ``parallelism``, fewer where that
-    many cached copies of the training rows would not fit (``fits_at_once``).
+    the test side is cached.
     Columns ``tag, post_id, p_not_tag, p_tag``.
     """
-    # The <= k top tags are fetched once (bounded by k) and reused as a small
-    # local relation for the labels and the output names, instead of
-    # re-aggregating the training tags for every use.
+    # The <= k top tags are fetched once (bounded by k) and reused for the labels and the
+    # output names, instead of re-aggregating the training tags for every use.
     spark = train.sparkSession
-    ranked = [(r["rank"], r["tag"], r["n"]) for r in top_tags(train, k).collect()]
-    top = spark.createDataFrame(ranked, "rank int, tag string, n bigint")
+    ranked = sorted((r["rank"], r["tag"], r["n"]) for r in top_tags(train, k).collect())
     if not ranked:
         return spark.createDataFrame([], "tag string, post_id bigint, p_not_tag double, "
                                          "p_tag double")
-    if training in ("exploded", "per_post"):
-        parallelism = fits_at_once(parallelism, training_bytes(train, training == "exploded"), storage_memory(spark))
-    if training == "exploded":
-        rows = training_rows(train, top, k, num_features)
-        ovr = OneVsRest(classifier=logistic_regression(), parallelism=parallelism)
-        models = ovr.fit(rows).models[:k]
-    elif training == "per_post":
-        models = _fit_per_post(train, top, k, num_features, parallelism)
-    else:
+    if training not in ("exploded", "per_post"):
         raise ValueError(f"unknown training {training!r}")
+    rows = logistic.in_blocks(training_rows(train, [tag for _, tag, _ in ranked], num_features, training == "per_post"),
+                              xml_dump.scratch_path(spark, "tag-rows"))
+    model_bytes = 2 * 8 * num_features * spark.sparkContext.defaultParallelism
+    models = logistic.fit_all(rows, len(ranked), num_features,
+                              fits_at_once(parallelism, model_bytes, storage_memory(spark)), LR_REG_PARAM, LR_MAX_ITER)
     scored = (featurizer(num_features).fit(test)
               .transform(tagged(test).select(F.col("id").alias("post_id"), body_text()))
               .select("post_id", "features"))
     margins = []
-    for (_, tag, _), binary in zip(sorted(ranked), models):
+    for (_, tag, _), binary in zip(ranked, models):
         raw = f"raw_{len(margins)}"
         scored = binary.transform(scored, {binary.rawPredictionCol: raw, binary.probabilityCol: "",
                                            binary.predictionCol: ""})
