@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-import pyarrow as pa
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, Tokenizer
@@ -18,7 +18,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlens.operators.joins import broadcast_bounded
 from forumlens.operators.topk import ranked_top_k
 from forumlens.plans import embeddings, logistic
 from forumlens.plans.embeddings import TagEmbeddings
@@ -158,21 +157,8 @@ def tag_rows(train: DataFrame, tag: str, num_features: int) -> DataFrame:
         (F.col("tag") == tag).cast("double").alias("label"), "features")
 
 
-def _entries(rows: DataFrame) -> DataFrame:
-    """``rid, label, j, x``: the non-zero features of each row (j -1, x 0 for a row without any)."""
-    def task(batches):
-        for b in batches:
-            # A sparse vector comes as the fields of its SQL type.
-            at, x = ([[*f[k]] or [none] for f in b["features"]] for k, none in (("indices", -1), ("values", 0.0)))
-            yield b[["rid", "label"]].assign(j=at, x=x)
-
-    kept = rows.withColumn("rid", F.monotonically_increasing_id()).select("rid", "label", "features")
-    each = kept.mapInPandas(task, "rid long, label double, j array<int>, x array<double>")
-    return each.select("rid", "label", F.inline(F.arrays_zip("j", "x")))
-
-
 def certificate(model, rows: DataFrame, reg: float = LR_REG_PARAM) -> DataFrame:
-    """How good a fitted binary model is on its training rows, from joins and sums.
+    """How good a fitted binary model is on its training rows, from sums over the rows taken in one pass.
 
     One row: ``n_rows, n_positive, iterations, loss_start, loss_end, loss_stated, gradient_start,
     gradient_end, falls``.  The loss is the mean log loss plus reg / 2 times the squared coefficients, each
@@ -182,34 +168,36 @@ def certificate(model, rows: DataFrame, reg: float = LR_REG_PARAM) -> DataFrame:
     """
     spark = rows.sparkSession
     w, history = model.coefficients.toArray(), list(model.summary.objectiveHistory)
-    path = xml_dump.scratch_path(spark, "certificate")
-    _entries(rows).write.parquet(path)             # row numbers are fixed by being written
-    entries = spark.read.parquet(path)
-    n, positive = entries.select("rid", "label").distinct().agg(F.count("*"), F.sum("label")).first()
-    coefs = spark.createDataFrame(pa.table({"k": pa.array(range(len(w)), pa.int32()), "w": pa.array(w)}))
-    moments = (entries.where("j >= 0").groupBy("j").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("ss"))
-               .select("j", F.sqrt(F.greatest((F.col("ss") - F.col("s") * F.col("s") / n) / (n - 1), F.lit(0.0))).alias("sd")))
-    features = moments.join(broadcast_bounded(coefs, 1_000_000), F.col("j") == F.col("k")).select("j", "sd", "w")
-    penalty = features.agg(F.sum(F.pow(F.col("w") * F.col("sd"), 2)).alias("q")).first()["q"] or 0.0
-    margins = (entries.join(features, "j", "left").groupBy("rid", "label")
-               .agg((F.coalesce(F.sum(F.col("x") * F.col("w")), F.lit(0.0)) + model.intercept).alias("m")))
-    loss = F.log1p(F.exp(-F.abs("m"))) + F.greatest(F.col("m"), F.lit(0.0)) - F.col("label") * F.col("m")
-    odds = positive / n
-    p = 1 / (1 + F.exp(-F.col("m")))
-    wrong = margins.select("rid", (p - F.col("label")).alias("end"), (F.lit(odds) - F.col("label")).alias("start"))
-    slope = (entries.where("j >= 0").join(wrong, "rid").groupBy("j")
-             .agg(*[(F.sum(F.col("x") * F.col(c)) / n).alias(c) for c in ("start", "end")])
-             .join(features, "j").where("sd > 0")
-             .select((F.col("start") / F.col("sd")).alias("start"),
-                     (F.col("end") / F.col("sd") + reg * F.col("w") * F.col("sd")).alias("end")))
-    norms = slope.agg(F.struct(*[F.sqrt(F.sum(F.pow(c, 2))).alias(f"gradient_{c}") for c in ("start", "end")]).alias("s"))
+    state = spark.sparkContext.broadcast((w, float(model.intercept)))
+
+    def add(total, block):
+        w, b = state.value
+        x, at, j = block["x"], block["at"], block["j"]
+        row = np.repeat(np.arange(len(block["weight"])), block["sizes"])
+        yes = np.bincount(block["label_row"], minlength=len(block["weight"]))
+        m = np.bincount(row, w[at].take(j) * x, len(yes)) + b
+        e = np.exp(-np.abs(m))
+        p = np.where(m >= 0, 1.0, e) / (1.0 + e)
+        for i, factor in enumerate((None, x, yes.take(row), p.take(row))):
+            total[i, at] += np.bincount(j, x if factor is None else factor * x, len(at))
+        total[:3, -1] += len(yes), yes.sum(), (np.log1p(e) + np.maximum(m, 0.0) - yes * m).sum()
+
+    positives = F.when(F.col("label") == 1, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    each = logistic.blocks(rows.select(positives.alias("labels"), F.lit(1).alias("n"), "features"))
+    sums = logistic.summed(each, (4, len(w) + 1), add)
+    state.unpersist()
+    n, positive, loss = (float(v) for v in sums[:3, -1])
+    s, ss, of_label, of_p = sums[:, :-1]
+    sd = logistic.deviations(s, ss, n)
+    some, odds = sd > 0, positive / n
+    gradient_start = (odds * s - of_label)[some] / n / sd[some]
+    gradient_end = (of_p - of_label)[some] / n / sd[some] + reg * (w * sd)[some]
     start = -(odds * math.log(odds) + (1 - odds) * math.log(1 - odds)) if 0 < odds < 1 else 0.0
-    ends = margins.agg((F.avg(loss) + reg / 2 * penalty).alias("loss_end")).select("loss_end", norms.scalar().alias("norms"))
-    return ends.select(
-        F.lit(n).cast("bigint").alias("n_rows"), F.lit(positive).cast("bigint").alias("n_positive"),
-        F.lit(len(history) - 1).alias("iterations"), F.lit(start).alias("loss_start"), "loss_end",
-        F.lit(float(history[-1])).alias("loss_stated"), "norms.gradient_start", "norms.gradient_end",
-        F.lit(all(b <= a for a, b in zip(history, history[1:]))).alias("falls"))
+    found = (int(n), int(positive), len(history) - 1, start, loss / n + reg / 2 * float(((w * sd) ** 2).sum()), float(history[-1]),
+             float(np.linalg.norm(gradient_start)), float(np.linalg.norm(gradient_end)),
+             all(b <= a for a, b in zip(history, history[1:])))
+    return spark.createDataFrame([found], "n_rows bigint, n_positive bigint, iterations int, loss_start double, loss_end double, "
+                                          "loss_stated double, gradient_start double, gradient_end double, falls boolean")
 
 
 def one_tag_probabilities(train: DataFrame, test: DataFrame, tag: str = TRIAL_TAG,

@@ -46,3 +46,23 @@ def test_training_rows_are_one_a_post_and_nothing_is_cached(spark, monkeypatch):
 def test_a_tag_on_every_row_is_certain(spark):
     posts = posts_df(spark, [{"id": i, "tags": ["only"], "body": f"w{i}"} for i in range(5)])
     assert {(r["p_tag"], r["p_not_tag"]) for r in tags.tag_probabilities(posts, posts, k=2, num_features=16).collect()} == {(1.0, 0.0)}
+
+
+def test_certificate_sums_in_one_pass(spark):
+    """No entry of a row is shuffled or stored: the plain sums over the rows give the same figures."""
+    train = tables.tagged_posts(spark, SF_MID, "train")
+    rows, model = tags.tag_rows(train, "en", 1 << 10), tags.one_tag_model(train, "en", 1 << 10)
+    c = tags.certificate(model, rows).first()
+    got = rows.collect()
+    x, y = np.array([r["features"].toArray() for r in got]), np.array([r["label"] for r in got])
+    w, sd = model.coefficients.toArray(), x.std(0, ddof=1)
+    m = x @ w + model.intercept
+    loss = (np.logaddexp(0, m) - y * m).mean() + tags.LR_REG_PARAM / 2 * ((w * sd) ** 2).sum()
+    some = sd > 0
+    end = (x.T @ (1 / (1 + np.exp(-m)) - y) / len(y))[some] / sd[some] + tags.LR_REG_PARAM * (w * sd)[some]
+    start = (x.T @ (y.mean() - y) / len(y))[some] / sd[some]
+    assert c["n_rows"] == len(y) and c["n_positive"] == y.sum()
+    assert c["loss_end"] == pytest.approx(loss, abs=1e-9)
+    assert c["gradient_end"] == pytest.approx(np.linalg.norm(end), abs=1e-9)
+    assert c["gradient_start"] == pytest.approx(np.linalg.norm(start), abs=1e-9)
+    assert not hasattr(tags, "_entries")
