@@ -12,14 +12,18 @@ those leave room, verified on full sets.
 
 Lines with equal sets are one class, represented by the first line in (doc_id,
 line) order, before anything is joined, so a line that a third of the corpus
-repeats is one row.  A line goes if an earlier line of the corpus has its set, or
-if its class's first line is similar to the first line of an earlier class; every
-such line is named with an earlier line it matches.  The report verifies every pair of
-classes that passes the filters: it names the earliest match, the line's class and
-how many other classes are similar to it.  Where only the flag is needed
-(``without_repeats``) one confirmed pair decides a class: classes are first compared
-with the hubs of their rarest words, and those that no hub decides with every
-candidate, so the pairs of a large group of variants are not enumerated there.
+repeats is one row.  Variants of one line are grouped into families around a hub,
+to which the distance (words not shared) of each member is known from full sets.
+Two members whose distances to the hub sum up to no more than the room of a
+similar pair are similar by the triangle inequality: such links are counted from a
+histogram of the family, not listed.  All other pairs of classes that pass the
+filters are listed and verified.
+
+A line goes if an earlier line of the corpus has its set, or if its class's first
+line is similar to the first line of an earlier class; every such line is named
+with an earlier line it matches.  The report names the earliest match, the line's
+class and how many other classes are similar to it.  Where only the flag is needed
+(``without_repeats``) classes that the families decide are not joined with each other.
 Nothing is capped: broadcasts are used below a counted bound, joins beyond it.
 
 Defined cases: a null text has no lines, lines without words are never removed,
@@ -34,14 +38,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from forumlens.llm.common import let, text_of, words, written
+from forumlens.llm.common import let, text_of, written
 
 NUM, DEN = 4, 5
 BUCKETS = 1 << 15        # a literal of the plan, so kept small
 LOW_BITS = 57            # hash bits of a packed word; the rarity class stands above
 NO_ID = (1 << 63) - 1
 MAP_LONGS = 8            # length of a long word map
-HUB_WORDS = 4            # words of a prefix, the rarest, that are compared with hubs first
+HUB_WORDS = 8            # words of a prefix, the rarest, that are compared with hubs
 HOT = 1 << 11            # postings of a word that one slice of the full join takes
 BROADCAST_ROWS = 1 << 20     # short rows of three or four numbers: 40 MB
 
@@ -54,9 +58,17 @@ def _bucket(h: Column) -> Column:
     return F.pmod(h, F.lit(BUCKETS).cast("long")).cast("int")
 
 
+def line_words(line: Column) -> Column:
+    """Lower-cased words of a line.  Splitting at one character needs no regular expression;
+    lines with other separators than spaces, of which there are few, get spaces first."""
+    line = F.lower(line)
+    plain = F.when(line.rlike(r"[\x09-\x0D]"), F.regexp_replace(line, r"[\x09-\x0D]", " ")).otherwise(line)
+    return F.array_remove(F.split(plain, " "), "")
+
+
 def rarity(docs: DataFrame) -> Column:
     """Rarity class of each hashed counter, as one constant array."""
-    w = docs.select(F.explode(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("w"))
+    w = _line_rows(docs).select(F.explode(line_words(F.col("s"))).alias("w"))
     n = w.select(_bucket(F.xxhash64("w")).alias("b")).groupBy("b").agg(F.count("*").alias("n"))
     cls = F.least(F.floor(2 * F.log2(F.col("n") + 1.0)), F.lit(63))
     every = docs.sparkSession.range(BUCKETS).join(n, F.col("id") == F.col("b"), "left").select(
@@ -69,9 +81,11 @@ def rarity(docs: DataFrame) -> Column:
 
 def word_set(line: Column, classes: Column) -> Column:
     """Packed distinct words of a line, rarest first."""
-    h = F.array_distinct(F.transform(words(F.lower(line)), lambda w: F.xxhash64(w)))
-    return F.sort_array(F.transform(h, lambda x: F.shiftleft(F.get(classes, _bucket(x)).cast("long"), LOW_BITS)
-                                    .bitwiseOR(F.shiftrightunsigned(x, 64 - LOW_BITS))))
+    def packed(w: Column) -> Column:
+        h = F.xxhash64(w)
+        return F.shiftleft(F.get(classes, _bucket(h)).cast("long"), LOW_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - LOW_BITS))
+
+    return F.sort_array(F.array_distinct(F.transform(line_words(line), packed)))
 
 
 def _line_rows(docs: DataFrame) -> DataFrame:
@@ -83,40 +97,43 @@ def line_table(docs: DataFrame, classes: Column) -> DataFrame:
     def row(s: Column) -> Column:
         n = F.size(s)
 
-        def word_map(half: int) -> Column:
-            own = F.filter(s, lambda x: x.bitwiseAND(64) == 64 * half)
-            return F.aggregate(own, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(
-                F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))))
+        def word_map(bit) -> Column:
+            return F.aggregate(s, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(
+                F.call_function("shiftleft", bit(x), x.bitwiseAND(63).cast("int"))))
 
+        # Each word falls on one of two halves: the first is what all words give without the second.
+        every, second = word_map(lambda x: F.lit(1).cast("long")), word_map(lambda x: F.shiftright(x, 6).bitwiseAND(1))
         size = n - F.ceil(n * NUM / DEN).cast("int") + 1
         prefix = F.transform(F.slice(s, 1, F.greatest(size, F.lit(1))),
                              lambda x: F.shiftright(x, 7).bitwiseAND(0x7FFFFFFF).cast("int"))
-        return F.struct(F.xxhash64(s).alias("h"), n.alias("n"), word_map(0).alias("map0"),
-                        word_map(1).alias("map1"), prefix.alias("prefix"))
+        return F.struct(F.xxhash64(s).alias("h"), n.alias("n"), every.alias("every"),
+                        second.alias("map1"), prefix.alias("prefix"))
 
     rows = _line_rows(docs).filter(F.col("s").rlike(r"[^\x20\x09-\x0D]"))
-    return rows.select("doc", "line", let(word_set(F.col("s"), classes), row).alias("x")).select("doc", "line", "x.*")
+    got = rows.select("doc", "line", let(word_set(F.col("s"), classes), row).alias("x"))
+    return got.select("doc", "line", "x.h", "x.n", F.col("x.every").bitwiseXOR(F.col("x.map1")).alias("map0"), "x.map1", "x.prefix")
 
 
 def _postings(classes: DataFrame, *more: str) -> DataFrame:
     """One flat row for each word of a prefix.  No column can be null: Spark then adds no filters
     below the joins, and all uses share one exchange."""
-    def known(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(0)).alias(c)
-
-    post = classes.select("h", "first.doc", "first.line", "n", "map0", "map1", *more, F.posexplode("prefix").alias("pos", "word"))
-    return post.select(*[known(c) for c in post.columns if c not in more], *more)
+    post = classes.select("h", "n", "map0", "map1", *more, F.posexplode("prefix").alias("pos", "word"))
+    return post.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) if c not in more else c for c in post.columns])
 
 
-def _may_match(a, b) -> Column:
-    """The filters on two postings (fields by name) of one word; ``a`` must come first."""
+def _may_match(a, b, first: bool = True) -> Column:
+    """The filters on two postings (fields by name) of one word.  ``first``: only where the word can be
+    the first that the two share, which a similar pair has among its postings, too."""
     both = a("n") + b("n")
     need = F.ceil(both * NUM / (NUM + DEN)).cast("int")       # shared words of a similar pair
     rest = F.least(a("n") - a("pos"), b("n") - b("pos"))
+    before = F.lit(0) if first else F.least(a("pos"), b("pos"))
     apart = (F.bit_count(a("map0").bitwiseXOR(b("map0"))) + F.bit_count(a("map1").bitwiseXOR(b("map1"))))
-    first = (a("doc") < b("doc")) | ((a("doc") == b("doc")) & (a("line") < b("line")))
-    return (first & (a("n") * DEN >= b("n") * NUM) & (b("n") * DEN >= a("n") * NUM)
-            & (F.least(a("pos"), b("pos")) + rest >= need) & (apart <= both - 2 * need))
+    return ((a("n") * DEN >= b("n") * NUM) & (b("n") * DEN >= a("n") * NUM)
+            & (before + rest >= need) & (apart <= both - 2 * need))
+
+
+PAIR = ["h_a", "h_b"]
 
 
 def _suffixed(post: DataFrame, end: str) -> DataFrame:
@@ -127,54 +144,74 @@ def _of(end: str):
     return lambda c: F.col(f"{c}_{end}")
 
 
-PAIR = ["h_a", "first_a", "h_b"]
-
-
-def _pair(joined: DataFrame) -> DataFrame:
-    return joined.select("h_a", F.struct(F.col("doc_a").alias("doc"), F.col("line_a").alias("line")).alias("first_a"), "h_b")
-
-
-HUBS = (["word", "pos"], ["word", "n"], ["word"])   # one sort serves the last two
-
-
 def hub_candidates(classes: DataFrame) -> DataFrame:
-    """Pairs (earlier a, later b) of each posting with its hubs, as far as they pass the filters.
+    """Pairs (hub h_a, class h_b) of each posting with the hub of its word, as far as they pass the filters.
 
-    The hubs of a posting are the earliest ones of its word, of its word and set
-    size, and of its word and position (``HUBS``).  The pairs need no join, and a
-    group of variants of one line costs its size, not its square.  Only the rarest
-    ``HUB_WORDS`` words of a prefix are looked at: this is a first look, and what it
-    does not decide is left to ``every_candidate``.
+    The hub of a word is the class of least hash with a posting of it, so a group of
+    variants of one line mostly finds the same few hubs.  The pairs need no join, and
+    such a group costs its size, not its square.  Only the rarest ``HUB_WORDS`` words of
+    a prefix are looked at: what the hubs do not tell is left to ``every_candidate``.
     """
     post = _postings(classes.withColumn("prefix", F.slice("prefix", 1, HUB_WORDS))).repartition("word")
-    seen = post
-    for k, by in enumerate(HUBS):
-        hub = F.min(F.struct("doc", "line", "h", "n", "map0", "map1", "pos")).over(W.partitionBy(*by))
-        seen = seen.withColumn(f"hub{k}", hub)
-    near = [F.when(_may_match(lambda c, k=k: F.col(f"hub{k}.{c}"), F.col), F.struct(f"hub{k}.h", f"hub{k}.doc", f"hub{k}.line"))
-            for k in range(len(HUBS))]
-    hubs = seen.select(F.explode(F.array_compact(F.array(*near))).alias("x"), F.col("h").alias("h_b"))
-    return hubs.select(F.col("x.h").alias("h_a"), F.struct("x.doc", "x.line").alias("first_a"), "h_b").distinct()
-
-
-def every_candidate(classes: DataFrame, found: DataFrame | None = None) -> DataFrame:
-    """All pairs (earlier a, later b) that pass the filters; frequent words are joined in slices of b.
-    Where ``found`` (h) is given, only those whose b is not in it."""
-    open_ = F.lit(True)
+    seen = post.withColumn("hub", F.min(F.struct("h", "n", "map0", "map1", "pos")).over(W.partitionBy("word")))
+    near = (F.col("hub.h") != F.col("h")) & _may_match(lambda c: F.col(f"hub.{c}"), F.col, first=False)
+    return seen.filter(near).select(F.col("hub.h").alias("h_a"), F.col("h").alias("h_b")).distinct()
+
+
+def families(group: DataFrame, links: DataFrame) -> DataFrame:
+    """h, first, family and slack of the classes that are similar to a hub, hubs included.
+
+    Of its hubs a class takes that with the most links.  The slack is the class's share
+    of a similar pair's room less its distance to the hub: a similar pair has at most
+    (n_a + n_b) * (DEN - NUM) / (DEN + NUM) words that it does not share, so two members
+    of a family are similar for certain where their slacks sum up to 0 or more."""
+    size = links.groupBy(F.col("h_a").alias("hub")).agg(F.count("*").alias("size"))
+    to = links.join(size, F.col("h_a") == F.col("hub")).select(F.col("h_b").alias("m"), "size", "hub", "apart")
+    own = size.select(F.col("hub").alias("m"), "size", "hub", F.lit(0).alias("apart"))
+    best = to.union(own).groupBy("m").agg(F.max(F.struct("size", "hub", "apart")).alias("x"))
+    best = written(best.select("m", F.col("x.hub").alias("family"), "x.apart"), "lines-hubs")
+    slack = (DEN - NUM) * F.col("n") - (DEN + NUM) * F.col("apart")
+    got = group.join(_sized(best), F.col("h") == F.col("m"))
+    return written(got.select("h", "first", "family", slack.cast("int").alias("slack")), "lines-families")
+
+
+def certain(members: DataFrame) -> DataFrame:
+    """e, its number of links that are certain within its family, and the first line of the earliest
+    such class (or its own): of a family only the numbers of members by slack are sorted."""
+    at = members.groupBy("family", F.col("slack").alias("at")).agg(F.count("*").alias("c"), F.min("first").alias("f"))
+    at = written(at, "lines-slacks")
+    none = F.lit(None).cast(at.schema["f"].dataType)
+    rows = at.select("family", "at", F.lit(0).alias("ask"), "c", "f").union(
+        at.select("family", -F.col("at"), F.lit(1), F.lit(0).cast("long"), none))
+    upto = W.partitionBy("family").orderBy(F.desc("at"), "ask").rowsBetween(W.unboundedPreceding, W.currentRow)
+    told = rows.select(F.col("family").alias("g"), "at", "ask", F.sum("c").over(upto).alias("c"), F.min("f").over(upto).alias("f"))
+    j = members.join(told.filter("ask = 1"), (F.col("family") == F.col("g")) & (F.col("slack") == -F.col("at")))
+    return j.select(F.col("h").alias("e"), (F.col("c") - (F.col("slack") >= 0).cast("long")).alias("links"), F.col("f").alias("other"))
+
+
+def every_candidate(classes: DataFrame, members: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """All pairs (h_a, h_b) that pass the filters and are not certain within a family; frequent words are joined
+    in slices of b.  Where ``found`` (e) is given, only those of which a class is not in it."""
+    known = _sized(members.select(F.col("h").alias("m"), "family", "slack"))
+    classes = classes.join(known, F.col("h") == F.col("m"), "left")
+    more, open_ = ["family", "slack"], F.lit(True)
     if found is not None:
-        done = _sized(found.select(F.col("h").alias("done")))
-        classes, open_ = classes.join(done, F.col("h") == F.col("done"), "left"), F.col("done").isNull()
-    post = _postings(classes.withColumn("open", open_), "open")
+        classes = classes.join(_sized(found.select("e")), F.col("h") == F.col("e"), "left").withColumn("open", F.col("e").isNull())
+        more, open_ = [*more, "open"], F.col("open_a") | F.col("open_b")
+    # Outside all families: no slack that any other could make up for.
+    classes = classes.withColumn("slack", F.coalesce("slack", F.lit(-(1 << 30)))).withColumn("family", F.coalesce("family", F.lit(0).cast("long")))
+    post = _postings(classes, *more)
     hot = post.groupBy(F.col("word").alias("w")).agg(F.count("*").alias("c")).filter(F.col("c") > HOT)
     hot = _sized(written(hot.select("w", F.ceil(F.col("c") / HOT).cast("long").alias("slices")), "lines-hot"))
     # One exchange for both sides.
     rest = post.join(hot, F.col("word") == F.col("w"), "left_anti").repartition("word")
-    same = (F.col("word_a") == F.col("word_b")) & _may_match(_of("a"), _of("b"))
-    pairs = _pair(_suffixed(rest, "a").join(_suffixed(rest.filter("open"), "b"), same))
+    sure = (F.col("family_a") == F.col("family_b")) & (F.col("slack_a").cast("long") + F.col("slack_b") >= 0)
+    same = ((F.col("word_a") == F.col("word_b")) & (F.col("h_a") < F.col("h_b")) & open_ & ~sure & _may_match(_of("a"), _of("b")))
+    pairs = _suffixed(rest, "a").join(_suffixed(rest, "b"), same).select(*PAIR)
     wide = post.join(hot, F.col("word") == F.col("w")).drop("w")
     a = wide.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
-    b = wide.filter("open").withColumn("slice", F.pmod(F.xxhash64("h"), F.col("slices")))
-    sliced = _pair(_suffixed(a, "a").join(_suffixed(b, "b"), same & (F.col("slice_a") == F.col("slice_b"))))
+    b = wide.withColumn("slice", F.pmod(F.xxhash64("h"), F.col("slices")))
+    sliced = _suffixed(a, "a").join(_suffixed(b, "b"), same & (F.col("slice_a") == F.col("slice_b"))).select(*PAIR)
     return pairs.union(sliced).distinct()
 
 
@@ -189,11 +226,11 @@ def _sets(docs: DataFrame, need: DataFrame, classes: Column) -> DataFrame:
     at = F.broadcast(at) if need.count() <= BROADCAST_ROWS else at
     rows = docs.select(_key(), "text").join(at, F.col("doc") == F.col("d"))
     picked = let(F.split(text_of("text"), "\n", -1), lambda ls: F.transform("at", lambda x: F.struct(
-        x["h"].alias("h"), F.get(ls, x["line"]).alias("s"))))
-    rows = rows.select(F.explode(picked).alias("x")).select("x.*")
-    sets = rows.select("h", word_set(F.coalesce("s", F.lit("")), classes).alias("set"))
+        x["h"].alias("h"), x["line"].alias("line"), F.get(ls, x["line"]).alias("s"))))
+    rows = rows.select("doc", F.explode(picked).alias("x")).select("doc", "x.*")
+    sets = rows.select("h", F.struct("doc", "line").alias("first"), word_set(F.coalesce("s", F.lit("")), classes).alias("set"))
     # Where rows repeat a doc_id the set with the hash that was joined is the one.
-    return sets.filter(F.xxhash64("set") == F.col("h")).groupBy("h").agg(F.first("set").alias("set"))
+    return sets.filter(F.xxhash64("set") == F.col("h")).groupBy("h").agg(F.first("first").alias("first"), F.first("set").alias("set"))
 
 
 def _long_map(s: Column) -> Column:
@@ -207,52 +244,34 @@ def _long_map(s: Column) -> Column:
 
 
 def _allowed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that long word maps leave room for, with the number of bits in which the maps differ:
-    two maps differ in at most as many bits as there are words the sets do not share."""
+    """The pairs that long word maps leave room for: two maps differ in at most as many bits as there
+    are words the sets do not share."""
     maps = sets.select("h", F.size("set").alias("n"), "map")
     a = maps.select(F.col("h").alias("ma"), F.col("n").alias("na"), F.col("map").alias("xa"))
     b = maps.select(F.col("h").alias("mb"), F.col("n").alias("nb"), F.col("map").alias("xb"))
     apart = sum((F.bit_count(F.get("xa", F.lit(k)).bitwiseXOR(F.get("xb", F.lit(k)))) for k in range(MAP_LONGS)), F.lit(0))
     both = F.col("na") + F.col("nb")
     j = pairs.select(*PAIR).join(a, F.col("h_a") == F.col("ma")).join(b, F.col("h_b") == F.col("mb"))
-    j = j.select(*PAIR, apart.cast("int").alias("apart"), (both - 2 * F.ceil(both * NUM / (NUM + DEN))).alias("room"))
-    return j.filter(F.col("apart") <= F.col("room")).drop("room")
+    return j.filter(apart <= both - 2 * F.ceil(both * NUM / (NUM + DEN))).select(*PAIR)
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar."""
-    a = sets.select(F.col("h").alias("ga"), F.col("set").alias("set_a"))
-    b = sets.select(F.col("h").alias("gb"), F.col("set").alias("set_b"))
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    links = pairs.join(a, F.col("h_a") == F.col("ga")).join(b, F.col("h_b") == F.col("gb"))
-    return links.filter(DEN * shared >= NUM * (F.size("set_a") + F.size("set_b") - shared)).select(*PAIR)
-
-
-def _needed(docs: DataFrame, group: DataFrame, pairs: DataFrame, classes: Column) -> DataFrame:
-    """The sets of all classes in ``pairs``, with their long maps."""
-    used = pairs.select(F.col("h_a").alias("u")).union(pairs.select(F.col("h_b").alias("u"))).distinct()
-    need = written(group.select("h", "first").join(used, F.col("h") == F.col("u"), "left_semi"), "lines-need")
-    return written(_sets(docs, need, classes).select("h", "set", _long_map(F.col("set")).alias("map")), "lines-sets")
+    """The pairs whose full sets are similar, with their first lines and the number of words they do not share."""
+    a = sets.select(F.col("h").alias("ga"), F.col("first").alias("first_a"), F.col("set").alias("set_a"))
+    b = sets.select(F.col("h").alias("gb"), F.col("first").alias("first_b"), F.col("set").alias("set_b"))
+    both = F.size("set_a") + F.size("set_b")
+    j = pairs.join(a, F.col("h_a") == F.col("ga")).join(b, F.col("h_b") == F.col("gb"))
+    j = j.select(*PAIR, "first_a", "first_b", both.alias("both"), F.size(F.array_intersect("set_a", "set_b")).alias("shared"))
+    links = j.filter(DEN * F.col("shared") >= NUM * (F.col("both") - F.col("shared")))
+    return links.select(*PAIR, "first_a", "first_b", (F.col("both") - 2 * F.col("shared")).alias("apart"))
 
 
 def _links(docs: DataFrame, group: DataFrame, pairs: DataFrame, classes: Column) -> DataFrame:
     """All the pairs whose full sets are similar."""
-    sets = _needed(docs, group, pairs, classes)
-    return _similar(_allowed(pairs, sets), sets)
-
-
-def _confirmed(docs: DataFrame, group: DataFrame, pairs: DataFrame, classes: Column) -> DataFrame:
-    """(h, match): the first line of an earlier class that a class's full set is similar to.
-
-    One match decides a class, so the pair with the nearest maps is compared first
-    and the others only for classes that it does not decide."""
-    sets = _needed(docs, group, pairs, classes)
-    allowed = written(_allowed(pairs, sets), "lines-allowed")
-    near = allowed.groupBy("h_b").agg(F.min(F.struct("apart", "first_a", "h_a")).alias("x")).select("h_b", "x.first_a", "x.h_a")
-    first = written(_similar(near, sets), "lines-near")
-    rest = allowed.join(first.select(F.col("h_b").alias("d")), F.col("h_b") == F.col("d"), "left_anti")
-    links = first.union(_similar(rest, sets).select(*first.columns))
-    return links.groupBy(F.col("h_b").alias("h")).agg(F.min("first_a").alias("match"))
+    used = pairs.select(F.col("h_a").alias("u")).union(pairs.select(F.col("h_b").alias("u"))).distinct()
+    need = written(group.select("h", "first").join(used, F.col("h") == F.col("u"), "left_semi"), "lines-need")
+    sets = written(_sets(docs, need, classes).select("h", "first", "set", _long_map(F.col("set")).alias("map")), "lines-sets")
+    return written(_similar(_allowed(pairs, sets), sets), "lines-links")
 
 
 def _classes(docs: DataFrame, classes: Column) -> tuple[DataFrame, DataFrame]:
@@ -263,19 +282,33 @@ def _classes(docs: DataFrame, classes: Column) -> tuple[DataFrame, DataFrame]:
     return lines, written(group, "lines-classes")
 
 
+def _near_hubs(docs: DataFrame, group: DataFrame, classes: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links of classes with their hubs, the families they make, and what is certain within these."""
+    links = _links(docs, group, written(hub_candidates(group), "lines-near"), classes)
+    members = families(group, links)
+    return links, members, written(certain(members), "lines-certain")
+
+
+def _ends(links: DataFrame) -> DataFrame:
+    """Both ends of each link: class, number of links, first line of the other class."""
+    one = F.lit(1).cast("long").alias("links")
+    return links.select(F.col("h_b").alias("e"), one, F.col("first_a").alias("other")).union(
+        links.select("h_a", one, "first_b"))
+
+
 def linked(docs: DataFrame) -> DataFrame:
     """As ``judged`` with the earliest match, ``class`` (the first line with an equal
     set) and ``n_links``, the number of other classes similar to the line's."""
     docs = docs.select("doc_id", "text")
     classes = rarity(docs)
     lines, group = _classes(docs, classes)
-    pairs = written(every_candidate(group), "lines-pairs")
-    links = written(_links(docs, group, pairs, classes), "lines-links")
-    ends = links.select(F.col("h_b").alias("e"), F.col("first_a").alias("m")).union(
-        links.select(F.col("h_a").alias("e"), F.lit(None).alias("m")))
-    found = ends.groupBy("e").agg(F.min("m").alias("match"), F.count("*").alias("n_links"))
+    _, members, sure = _near_hubs(docs, group, classes)
+    pairs = written(every_candidate(group, members), "lines-pairs")
+    ends = sure.union(_ends(_links(docs, group, pairs, classes)))
+    found = _sized(written(ends.groupBy("e").agg(F.sum("links").alias("links"), F.min("other").alias("other")), "lines-found"))
     cls = group.select(F.col("h").alias("g"), "first").join(found, F.col("g") == F.col("e"), "left")
-    cls = written(cls.select("g", "first", "match", F.coalesce("n_links", F.lit(0)).alias("n_links")), "lines-judged")
+    match = F.when(F.col("other") < F.col("first"), F.col("other")).alias("match")
+    cls = written(cls.select("g", "first", match, F.coalesce("links", F.lit(0)).alias("n_links")), "lines-judged")
     return _decided(lines, cls, F.col("first").alias("class"), F.col("n_links"))
 
 
@@ -284,11 +317,18 @@ def judged(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     classes = rarity(docs)
     lines, group = _classes(docs, classes)
-    pairs = written(hub_candidates(group), "lines-hubs")
-    found = written(_confirmed(docs, group, pairs, classes), "lines-found")
-    more = written(every_candidate(group, found), "lines-open")
-    found = found.union(_confirmed(docs, group, more, classes))
-    cls = group.select(F.col("h").alias("g"), "first").join(found, F.col("g") == F.col("h"), "left")
+    links, members, sure = _near_hubs(docs, group, classes)
+
+    def earlier(ends: DataFrame) -> DataFrame:
+        own = ends.groupBy("e").agg(F.min("other").alias("match"))
+        j = group.select("h", "first").join(own, F.col("h") == F.col("e"))
+        return j.filter(F.col("match") < F.col("first")).select("e", "match")
+
+    found = written(earlier(sure.union(_ends(links))), "lines-found")
+    more = written(every_candidate(group, members, found), "lines-open")
+    rest = earlier(_ends(_links(docs, group, more, classes)))
+    found = _sized(written(found.union(rest).groupBy("e").agg(F.min("match").alias("match")), "lines-matches"))
+    cls = group.select(F.col("h").alias("g"), "first").join(found, F.col("g") == F.col("e"), "left")
     return _decided(lines, written(cls.select("g", "first", "match"), "lines-judged"))
 
 
