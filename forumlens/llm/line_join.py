@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from forumlens.llm.common import let, text_of, written
+from forumlens.llm.common import SPACES, let, text_of, written
 
 NUM, DEN = 4, 5
 BUCKETS = 1 << 15        # a literal of the plan, so kept small
@@ -61,9 +61,11 @@ def _bucket(h: Column) -> Column:
 def line_words(line: Column) -> Column:
     """Lower-cased words of a line.  Splitting at one character needs no regular expression;
     lines with other separators than spaces, of which there are few, get spaces first."""
-    line = F.lower(line)
-    plain = F.when(line.rlike(r"[\x09-\x0D]"), F.regexp_replace(line, r"[\x09-\x0D]", " ")).otherwise(line)
-    return F.array_remove(F.split(plain, " "), "")
+    other = F.lit(False)
+    for c in SPACES[1:]:
+        other = other | F.contains(line, F.lit(c))
+    plain = F.when(other, F.regexp_replace(line, r"[\x09-\x0D]", " ")).otherwise(line)
+    return F.array_remove(F.split(F.lower(plain), " "), "")
 
 
 def rarity(docs: DataFrame) -> Column:
@@ -115,9 +117,10 @@ def line_table(docs: DataFrame, classes: Column) -> DataFrame:
 
 
 def _postings(classes: DataFrame, *more: str) -> DataFrame:
-    """One flat row for each word of a prefix.  No column can be null: Spark then adds no filters
-    below the joins, and all uses share one exchange."""
-    post = classes.select("h", "n", "map0", "map1", *more, F.posexplode("prefix").alias("pos", "word"))
+    """One flat row for each word of a prefix, with the word before it.  No column can be null: Spark then
+    adds no filters below the joins, and all uses share one exchange."""
+    post = classes.select("h", "n", "map0", "map1", "prefix", *more, F.posexplode("prefix").alias("pos", "word"))
+    post = post.withColumn("prev", F.coalesce(F.get("prefix", F.col("pos") - 1), F.lit(-1))).drop("prefix")
     return post.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) if c not in more else c for c in post.columns])
 
 
@@ -127,10 +130,12 @@ def _may_match(a, b, first: bool = True) -> Column:
     both = a("n") + b("n")
     need = F.ceil(both * NUM / (NUM + DEN)).cast("int")       # shared words of a similar pair
     rest = F.least(a("n") - a("pos"), b("n") - b("pos"))
-    before = F.lit(0) if first else F.least(a("pos"), b("pos"))
+    before, new = F.lit(0) if first else F.least(a("pos"), b("pos")), F.lit(True)
+    if first:       # where the words before it are one, the pair has been found at that
+        new = (a("prev") != b("prev")) | (a("prev") < 0)
     apart = (F.bit_count(a("map0").bitwiseXOR(b("map0"))) + F.bit_count(a("map1").bitwiseXOR(b("map1"))))
     return ((a("n") * DEN >= b("n") * NUM) & (b("n") * DEN >= a("n") * NUM)
-            & (before + rest >= need) & (apart <= both - 2 * need))
+            & new & (before + rest >= need) & (apart <= both - 2 * need))
 
 
 PAIR = ["h_a", "h_b"]
@@ -147,13 +152,13 @@ def _of(end: str):
 def hub_candidates(classes: DataFrame) -> DataFrame:
     """Pairs (hub h_a, class h_b) of each posting with the hub of its word, as far as they pass the filters.
 
-    The hub of a word is the class of least hash with a posting of it, so a group of
-    variants of one line mostly finds the same few hubs.  The pairs need no join, and
-    such a group costs its size, not its square.  Only the rarest ``HUB_WORDS`` words of
+    The hub of a word is the earliest class with a posting of it, so a group of variants
+    of one line mostly finds the same few hubs, the original among them.  The pairs need
+    no join, and such a group costs its size, not its square.  Only the rarest ``HUB_WORDS`` words of
     a prefix are looked at: what the hubs do not tell is left to ``every_candidate``.
     """
-    post = _postings(classes.withColumn("prefix", F.slice("prefix", 1, HUB_WORDS))).repartition("word")
-    seen = post.withColumn("hub", F.min(F.struct("h", "n", "map0", "map1", "pos")).over(W.partitionBy("word")))
+    post = _postings(classes.withColumn("prefix", F.slice("prefix", 1, HUB_WORDS)), "first").drop("prev").repartition("word")
+    seen = post.withColumn("hub", F.min(F.struct("first", "h", "n", "map0", "map1", "pos")).over(W.partitionBy("word")))
     near = (F.col("hub.h") != F.col("h")) & _may_match(lambda c: F.col(f"hub.{c}"), F.col, first=False)
     return seen.filter(near).select(F.col("hub.h").alias("h_a"), F.col("h").alias("h_b")).distinct()
 
@@ -191,13 +196,15 @@ def certain(members: DataFrame) -> DataFrame:
 
 def every_candidate(classes: DataFrame, members: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """All pairs (h_a, h_b) that pass the filters and are not certain within a family; frequent words are joined
-    in slices of b.  Where ``found`` (e) is given, only those of which a class is not in it."""
+    in slices of b.  Where ``found`` (e) is given, only those of which the later class is not in it."""
     known = _sized(members.select(F.col("h").alias("m"), "family", "slack"))
     classes = classes.join(known, F.col("h") == F.col("m"), "left")
     more, open_ = ["family", "slack"], F.lit(True)
     if found is not None:
         classes = classes.join(_sized(found.select("e")), F.col("h") == F.col("e"), "left").withColumn("open", F.col("e").isNull())
-        more, open_ = [*more, "open"], F.col("open_a") | F.col("open_b")
+        more = [*more, "first", "open"]
+        # Said of both sides at once: a filter on one of them would give it an exchange of its own.
+        open_ = ((F.col("first_a") < F.col("first_b")) & F.col("open_b")) | ((F.col("first_b") < F.col("first_a")) & F.col("open_a"))
     # Outside all families: no slack that any other could make up for.
     classes = classes.withColumn("slack", F.coalesce("slack", F.lit(-(1 << 30)))).withColumn("family", F.coalesce("family", F.lit(0).cast("long")))
     post = _postings(classes, *more)
