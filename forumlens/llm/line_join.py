@@ -12,12 +12,14 @@ those leave room, verified on full sets.
 
 Lines with equal sets are one class, represented by the first line in (doc_id,
 line) order, before anything is joined, so a line that a third of the corpus
-repeats is one row.  Variants of one line are grouped into families around a hub,
-to which the distance (words not shared) of each member is known from full sets.
-Two members whose distances to the hub sum up to no more than the room of a
+repeats is one row.  Variants of one line are grouped into families around a hub;
+full sets tell the words each member does not share with it, and with the centre, the
+hub with what most members change.
+Two members whose distances to the centre sum up to no more than the room of a
 similar pair are similar by the triangle inequality: such links are counted from a
-histogram of the family, not listed.  All other pairs of classes that pass the
-filters are listed and verified.
+histogram of the family, not listed.  For two others of a family the words in which
+both differ from the centre tell the distance, so only similar ones are listed.  Of all
+other pairs of classes those that pass the filters are listed and verified.
 
 A line goes if an earlier line of the corpus has its set, or if its class's first
 line is similar to the first line of an earlier class; every such line is named
@@ -34,6 +36,8 @@ lines are judged but its text stays, an empty table gives no rows.  Only
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -41,13 +45,16 @@ from pyspark.sql import Window as W
 from forumlens.llm.common import SPACES, let, text_of, written
 
 NUM, DEN = 4, 5
-BUCKETS = 1 << 15        # a literal of the plan, so kept small
+BUCKETS = 1 << 17        # a literal of the plan, so kept small
 LOW_BITS = 57            # hash bits of a packed word; the rarity class stands above
 NO_ID = (1 << 63) - 1
 MAP_LONGS = 8            # length of a long word map
 HUB_WORDS = 8            # words of a prefix, the rarest, that are compared with hubs
 HOT = 1 << 11            # postings of a word that one slice of the full join takes
+MAY_BE_HOT = 1 << 30     # bit of a posting's word: its counter is above HOT
+NO_SLACK = -(1 << 30)    # of a class outside all families
 BROADCAST_ROWS = 1 << 20     # short rows of three or four numbers: 40 MB
+LONG_ROWS = 1 << 18          # rows with some words
 
 
 def _key() -> Column:
@@ -55,22 +62,23 @@ def _key() -> Column:
 
 
 def _bucket(h: Column) -> Column:
-    return F.pmod(h, F.lit(BUCKETS).cast("long")).cast("int")
+    return h.bitwiseAND(BUCKETS - 1).cast("int")
 
 
-def line_words(line: Column) -> Column:
-    """Lower-cased words of a line.  Splitting at one character needs no regular expression;
-    lines with other separators than spaces, of which there are few, get spaces first."""
+def _pieces(line: Column) -> Column:
+    """Lower-cased words of a line, and empty strings.  Splitting at one character needs no regular
+    expression; lines with other separators than spaces, of which there are few, get spaces first."""
     other = F.lit(False)
     for c in SPACES[1:]:
-        other = other | F.contains(line, F.lit(c))
+        if c != "\n":
+            other = other | F.contains(line, F.lit(c))
     plain = F.when(other, F.regexp_replace(line, r"[\x09-\x0D]", " ")).otherwise(line)
-    return F.array_remove(F.split(F.lower(plain), " "), "")
+    return F.split(F.lower(plain), " ")
 
 
 def rarity(docs: DataFrame) -> Column:
     """Rarity class of each hashed counter, as one constant array."""
-    w = _line_rows(docs).select(F.explode(line_words(F.col("s"))).alias("w"))
+    w = _line_rows(docs).select(F.explode(_pieces(F.col("s"))).alias("w")).filter("w != ''")
     n = w.select(_bucket(F.xxhash64("w")).alias("b")).groupBy("b").agg(F.count("*").alias("n"))
     cls = F.least(F.floor(2 * F.log2(F.col("n") + 1.0)), F.lit(63))
     every = docs.sparkSession.range(BUCKETS).join(n, F.col("id") == F.col("b"), "left").select(
@@ -78,16 +86,19 @@ def rarity(docs: DataFrame) -> Column:
     got = every.agg(F.sort_array(F.collect_list(F.struct("id", "c"))).alias("x")).select(
         F.array_join(F.transform("x", lambda x: x["c"].cast("string")), ",").alias("s")).first()["s"]
     # A foldable expression: the optimiser turns it into one literal.
-    return F.split(F.lit(got), ",").cast("array<int>")
+    return F.split(F.lit(got), ",").cast("array<long>")
 
 
-def word_set(line: Column, classes: Column) -> Column:
-    """Packed distinct words of a line, rarest first."""
-    def packed(w: Column) -> Column:
-        h = F.xxhash64(w)
-        return F.shiftleft(F.get(classes, _bucket(h)).cast("long"), LOW_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - LOW_BITS))
+def with_word_set(rows: DataFrame, line: Column, classes: Column, *keep: str) -> DataFrame:
+    """``keep``, ``n`` and ``set``: the packed distinct words of a line, rarest first.  Two steps that each use a
+    column more than once, so Spark keeps them apart and compiles all but the lambdas."""
+    def packed(h: Column) -> Column:
+        cls = F.coalesce(F.get(classes, _bucket(h)), F.lit(0).cast("long"))
+        return F.shiftleft(cls, LOW_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - LOW_BITS))
 
-    return F.sort_array(F.array_distinct(F.transform(line_words(line), packed)))
+    hashes = F.array_distinct(F.transform(_pieces(line), lambda w: F.xxhash64(w)))
+    got = rows.select(*keep, F.array_remove(hashes, F.xxhash64(F.lit(""))).alias("hashes"))
+    return got.select(*keep, F.size("hashes").alias("n"), F.sort_array(F.transform("hashes", packed)).alias("set"))
 
 
 def _line_rows(docs: DataFrame) -> DataFrame:
@@ -96,24 +107,22 @@ def _line_rows(docs: DataFrame) -> DataFrame:
 
 def line_table(docs: DataFrame, classes: Column) -> DataFrame:
     """doc, line, set hash, size, word map and prefix of every line with a word."""
-    def row(s: Column) -> Column:
-        n = F.size(s)
-
-        def word_map(bit) -> Column:
-            return F.aggregate(s, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(
-                F.call_function("shiftleft", bit(x), x.bitwiseAND(63).cast("int"))))
+    rows = _line_rows(docs).filter(F.ltrim("s", F.lit(SPACES)) != "")
+    s, n, one = F.col("set"), F.col("n"), F.lit(1).cast("long")
 
-        # Each word falls on one of two halves: the first is what all words give without the second.
-        every, second = word_map(lambda x: F.lit(1).cast("long")), word_map(lambda x: F.shiftright(x, 6).bitwiseAND(1))
-        size = n - F.ceil(n * NUM / DEN).cast("int") + 1
-        prefix = F.transform(F.slice(s, 1, F.greatest(size, F.lit(1))),
-                             lambda x: F.shiftright(x, 7).bitwiseAND(0x7FFFFFFF).cast("int"))
-        return F.struct(F.xxhash64(s).alias("h"), n.alias("n"), every.alias("every"),
-                        second.alias("map1"), prefix.alias("prefix"))
+    def word_map(bit) -> Column:
+        return F.aggregate(s, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(
+            F.call_function("shiftleft", bit(x), x.bitwiseAND(63).cast("int"))))
 
-    rows = _line_rows(docs).filter(F.col("s").rlike(r"[^\x20\x09-\x0D]"))
-    got = rows.select("doc", "line", let(word_set(F.col("s"), classes), row).alias("x"))
-    return got.select("doc", "line", "x.h", "x.n", F.col("x.every").bitwiseXOR(F.col("x.map1")).alias("map0"), "x.map1", "x.prefix")
+    # Each word falls on one of two halves: the first is what all words give without the second.
+    every, second = word_map(lambda x: one), word_map(lambda x: F.shiftright(x, 6).bitwiseAND(1))
+    # More than HOT postings need a counter above HOT, so a class of this or more.
+    hot = F.lit(int(2 * math.log2(HOT + 2)) << LOW_BITS)
+    prefix = F.transform(F.slice(s, 1, n - F.ceil(n * NUM / DEN).cast("int") + 1), lambda x: F.shiftright(x, 7).bitwiseAND(
+        MAY_BE_HOT - 1).bitwiseOR(F.when(x >= hot, F.lit(MAY_BE_HOT)).otherwise(F.lit(0))).cast("int"))
+    got = with_word_set(rows, F.col("s"), classes, "doc", "line").select(
+        "doc", "line", F.xxhash64(s).alias("h"), "n", every.alias("every"), second.alias("map1"), prefix.alias("prefix"))
+    return got.select("doc", "line", "h", "n", F.col("every").bitwiseXOR(F.col("map1")).alias("map0"), "map1", "prefix")
 
 
 def _postings(classes: DataFrame, *more: str) -> DataFrame:
@@ -127,15 +136,19 @@ def _postings(classes: DataFrame, *more: str) -> DataFrame:
 def _may_match(a, b, first: bool = True) -> Column:
     """The filters on two postings (fields by name) of one word.  ``first``: only where the word can be
     the first that the two share, which a similar pair has among its postings, too."""
-    both = a("n") + b("n")
-    need = F.ceil(both * NUM / (NUM + DEN)).cast("int")       # shared words of a similar pair
+    both = a("n") + b("n")      # a similar pair shares NUM / (NUM + DEN) of them or more
     rest = F.least(a("n") - a("pos"), b("n") - b("pos"))
     before, new = F.lit(0) if first else F.least(a("pos"), b("pos")), F.lit(True)
     if first:       # where the words before it are one, the pair has been found at that
         new = (a("prev") != b("prev")) | (a("prev") < 0)
     apart = (F.bit_count(a("map0").bitwiseXOR(b("map0"))) + F.bit_count(a("map1").bitwiseXOR(b("map1"))))
     return ((a("n") * DEN >= b("n") * NUM) & (b("n") * DEN >= a("n") * NUM)
-            & new & (before + rest >= need) & (apart <= both - 2 * need))
+            & ((before + rest) * (NUM + DEN) >= both * NUM) & new & (apart * (NUM + DEN) <= both * (DEN - NUM)))
+
+
+def _shorter(n: str) -> Column:
+    """Words of a prefix, the first that a set shares with a similar one that is not shorter among them."""
+    return F.col(n) - F.ceil(F.col(n) * (2 * NUM) / (NUM + DEN)).cast("int") + 1
 
 
 PAIR = ["h_a", "h_b"]
@@ -163,21 +176,35 @@ def hub_candidates(classes: DataFrame) -> DataFrame:
     return seen.filter(near).select(F.col("hub.h").alias("h_a"), F.col("h").alias("h_b")).distinct()
 
 
+def _centred(best: DataFrame) -> tuple[DataFrame, bool]:
+    """m, family and differ, now from the centre of the family: the hub with each word changed in which more than
+    half of the members differ from it.  Also whether the rows are few enough to be sent."""
+    n = best.groupBy(F.col("family").alias("f")).agg(F.count("*").alias("n"))
+    words = best.select("family", F.explode("differ").alias("w")).groupBy("family", "w").agg(F.count("*").alias("c"))
+    most = words.filter("c > 1").join(n, F.col("family") == F.col("f")).filter(2 * F.col("c") > F.col("n"))
+    most = _sized(written(most.groupBy("f").agg(F.collect_list("w").alias("most")), "lines-centres"), LONG_ROWS)
+    own = F.concat(F.array_except("differ", "most"), F.array_except("most", "differ"))
+    got = best.join(most, F.col("family") == F.col("f"), "left")
+    return (got.select("m", "family", F.when(F.col("most").isNull(), F.col("differ")).otherwise(own).alias("differ")),
+            best.count() <= LONG_ROWS)
+
+
 def families(group: DataFrame, links: DataFrame) -> DataFrame:
-    """h, first, family and slack of the classes that are similar to a hub, hubs included.
+    """h, first, family, slack and differ (the words it does not share with the centre) of the classes that
+    are similar to a hub, hubs included.
 
     Of its hubs a class takes that with the most links.  The slack is the class's share
-    of a similar pair's room less its distance to the hub: a similar pair has at most
+    of a similar pair's room less its distance to the centre: a similar pair has at most
     (n_a + n_b) * (DEN - NUM) / (DEN + NUM) words that it does not share, so two members
     of a family are similar for certain where their slacks sum up to 0 or more."""
     size = links.groupBy(F.col("h_a").alias("hub")).agg(F.count("*").alias("size"))
-    to = links.join(size, F.col("h_a") == F.col("hub")).select(F.col("h_b").alias("m"), "size", "hub", "apart")
-    own = size.select(F.col("hub").alias("m"), "size", "hub", F.lit(0).alias("apart"))
-    best = to.union(own).groupBy("m").agg(F.max(F.struct("size", "hub", "apart")).alias("x"))
-    best = written(best.select("m", F.col("x.hub").alias("family"), "x.apart"), "lines-hubs")
-    slack = (DEN - NUM) * F.col("n") - (DEN + NUM) * F.col("apart")
-    got = group.join(_sized(best), F.col("h") == F.col("m"))
-    return written(got.select("h", "first", "family", slack.cast("int").alias("slack")), "lines-families")
+    to = links.join(size, F.col("h_a") == F.col("hub")).select(F.col("h_b").alias("m"), "size", "hub", "differ")
+    own = size.select(F.col("hub").alias("m"), "size", "hub", F.array().cast("array<long>").alias("differ"))
+    best = to.union(own).groupBy("m").agg(F.max(F.struct("size", "hub", "differ")).alias("x"))
+    best, few = _centred(written(best.select("m", F.col("x.hub").alias("family"), "x.differ"), "lines-hubs"))
+    slack = (DEN - NUM) * F.col("n") - (DEN + NUM) * F.size("differ")
+    got = group.join(F.broadcast(best) if few else best, F.col("h") == F.col("m"))
+    return written(got.select("h", "first", "family", slack.cast("int").alias("slack"), "differ"), "lines-families")
 
 
 def certain(members: DataFrame) -> DataFrame:
@@ -195,36 +222,45 @@ def certain(members: DataFrame) -> DataFrame:
 
 
 def every_candidate(classes: DataFrame, members: DataFrame, found: DataFrame | None = None) -> DataFrame:
-    """All pairs (h_a, h_b) that pass the filters and are not certain within a family; frequent words are joined
-    in slices of b.  Where ``found`` (e) is given, only those of which the later class is not in it."""
-    known = _sized(members.select(F.col("h").alias("m"), "family", "slack"))
+    """All pairs (h_a, h_b), a not the shorter set, that pass the filters and are not certain within a family; frequent
+    words are joined in slices of b.  Where ``found`` (e) is given, only those of which the later class is not in it.
+
+    b needs the part of its prefix only that holds for sets that are not shorter.  The distance of two members
+    of a family follows from the words that both differ in from the centre, so theirs are links for certain."""
+    known = _sized(members.select(F.col("h").alias("m"), "family", "slack", "differ"), LONG_ROWS)
     classes = classes.join(known, F.col("h") == F.col("m"), "left")
-    more, open_ = ["family", "slack"], F.lit(True)
+    more, open_ = ["family", "slack", "differ"], F.lit(True)
     if found is not None:
         classes = classes.join(_sized(found.select("e")), F.col("h") == F.col("e"), "left").withColumn("open", F.col("e").isNull())
         more = [*more, "first", "open"]
         # Said of both sides at once: a filter on one of them would give it an exchange of its own.
         open_ = ((F.col("first_a") < F.col("first_b")) & F.col("open_b")) | ((F.col("first_b") < F.col("first_a")) & F.col("open_a"))
-    # Outside all families: no slack that any other could make up for.
-    classes = classes.withColumn("slack", F.coalesce("slack", F.lit(-(1 << 30)))).withColumn("family", F.coalesce("family", F.lit(0).cast("long")))
-    post = _postings(classes, *more)
-    hot = post.groupBy(F.col("word").alias("w")).agg(F.count("*").alias("c")).filter(F.col("c") > HOT)
+    classes = classes.withColumn("slack", F.coalesce("slack", F.lit(NO_SLACK))).withColumn("family", F.coalesce("family", F.lit(0).cast("long")))
+    hot = classes.filter(F.array_max("prefix") >= MAY_BE_HOT).select(F.explode("prefix").alias("w")).filter(F.col("w") >= MAY_BE_HOT)
+    hot = hot.groupBy("w").agg(F.count("*").alias("c")).filter(F.col("c") > HOT)
     hot = _sized(written(hot.select("w", F.ceil(F.col("c") / HOT).cast("long").alias("slices")), "lines-hot"))
+    post = _postings(classes, *more)
     # One exchange for both sides.
     rest = post.join(hot, F.col("word") == F.col("w"), "left_anti").repartition("word")
-    sure = (F.col("family_a") == F.col("family_b")) & (F.col("slack_a").cast("long") + F.col("slack_b") >= 0)
-    same = ((F.col("word_a") == F.col("word_b")) & (F.col("h_a") < F.col("h_b")) & open_ & ~sure & _may_match(_of("a"), _of("b")))
-    pairs = _suffixed(rest, "a").join(_suffixed(rest, "b"), same).select(*PAIR)
+    slack = F.col("slack_a").cast("long") + F.col("slack_b")
+    apart = (F.col("family_a") != F.col("family_b")) | (F.col("slack_a") == NO_SLACK) | (F.col("slack_b") == NO_SLACK)
+    near = 2 * (DEN + NUM) * F.size(F.array_intersect("differ_a", "differ_b")) + slack >= 0
+    order = (F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("h_a") < F.col("h_b")))
+    same = ((F.col("word_a") == F.col("word_b")) & order & _may_match(_of("a"), _of("b")) & open_ & (apart | ((slack < 0) & near)))
+    begins = F.col("pos") < _shorter("n")
+    # What names the partition stays above the exchange, which would not be one for both sides otherwise.
+    here = rest.filter(begins | (F.spark_partition_id() < 0))
+    pairs = _suffixed(rest, "a").join(_suffixed(here, "b"), same).select(*PAIR)
     wide = post.join(hot, F.col("word") == F.col("w")).drop("w")
     a = wide.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
-    b = wide.withColumn("slice", F.pmod(F.xxhash64("h"), F.col("slices")))
+    b = wide.filter(begins).withColumn("slice", F.pmod(F.xxhash64("h"), F.col("slices")))
     sliced = _suffixed(a, "a").join(_suffixed(b, "b"), same & (F.col("slice_a") == F.col("slice_b"))).select(*PAIR)
     return pairs.union(sliced).distinct()
 
 
-def _sized(df: DataFrame) -> DataFrame:
+def _sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """A hint for a written table of few rows; larger ones are joined by shuffle."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.count() <= most else df
 
 
 def _sets(docs: DataFrame, need: DataFrame, classes: Column) -> DataFrame:
@@ -235,7 +271,8 @@ def _sets(docs: DataFrame, need: DataFrame, classes: Column) -> DataFrame:
     picked = let(F.split(text_of("text"), "\n", -1), lambda ls: F.transform("at", lambda x: F.struct(
         x["h"].alias("h"), x["line"].alias("line"), F.get(ls, x["line"]).alias("s"))))
     rows = rows.select("doc", F.explode(picked).alias("x")).select("doc", "x.*")
-    sets = rows.select("h", F.struct("doc", "line").alias("first"), word_set(F.coalesce("s", F.lit("")), classes).alias("set"))
+    sets = with_word_set(rows, F.coalesce("s", F.lit("")), classes, "h", "doc", "line").select(
+        "h", F.struct("doc", "line").alias("first"), "set")
     # Where rows repeat a doc_id the set with the hash that was joined is the one.
     return sets.filter(F.xxhash64("set") == F.col("h")).groupBy("h").agg(F.first("first").alias("first"), F.first("set").alias("set"))
 
@@ -262,36 +299,43 @@ def _allowed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return j.filter(apart <= both - 2 * F.ceil(both * NUM / (NUM + DEN))).select(*PAIR)
 
 
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar, with their first lines and the number of words they do not share."""
+def _similar(pairs: DataFrame, sets: DataFrame, differ: bool = False) -> DataFrame:
+    """The pairs whose full sets are similar, with their first lines and, if asked, the words they do not share."""
     a = sets.select(F.col("h").alias("ga"), F.col("first").alias("first_a"), F.col("set").alias("set_a"))
     b = sets.select(F.col("h").alias("gb"), F.col("first").alias("first_b"), F.col("set").alias("set_b"))
     both = F.size("set_a") + F.size("set_b")
     j = pairs.join(a, F.col("h_a") == F.col("ga")).join(b, F.col("h_b") == F.col("gb"))
-    j = j.select(*PAIR, "first_a", "first_b", both.alias("both"), F.size(F.array_intersect("set_a", "set_b")).alias("shared"))
+    j = j.select(*PAIR, "first_a", "first_b", *["set_a", "set_b"][:2 * differ], both.alias("both"), F.size(F.array_intersect("set_a", "set_b")).alias("shared"))
     links = j.filter(DEN * F.col("shared") >= NUM * (F.col("both") - F.col("shared")))
-    return links.select(*PAIR, "first_a", "first_b", (F.col("both") - 2 * F.col("shared")).alias("apart"))
+    if not differ:
+        return links.select(*PAIR, "first_a", "first_b")
+    only = F.concat(F.array_except("set_a", "set_b"), F.array_except("set_b", "set_a"))
+    return links.select(*PAIR, "first_a", "first_b", only.alias("differ"))
 
 
-def _links(docs: DataFrame, group: DataFrame, pairs: DataFrame, classes: Column) -> DataFrame:
-    """All the pairs whose full sets are similar."""
+def _links(docs: DataFrame, group: DataFrame, pairs: DataFrame, classes: Column, differ: bool = False) -> DataFrame:
+    """All the pairs whose full sets are similar; ``differ``: of candidates that mostly are, with the words not shared."""
     used = pairs.select(F.col("h_a").alias("u")).union(pairs.select(F.col("h_b").alias("u"))).distinct()
     need = written(group.select("h", "first").join(used, F.col("h") == F.col("u"), "left_semi"), "lines-need")
-    sets = written(_sets(docs, need, classes).select("h", "first", "set", _long_map(F.col("set")).alias("map")), "lines-sets")
+    sets = _sets(docs, need, classes)
+    if differ:
+        return written(_similar(pairs, written(sets, "lines-sets"), differ), "lines-links")
+    sets = written(sets.select("h", "first", "set", _long_map(F.col("set")).alias("map")), "lines-sets")
     return written(_similar(_allowed(pairs, sets), sets), "lines-links")
 
 
 def _classes(docs: DataFrame, classes: Column) -> tuple[DataFrame, DataFrame]:
     """The lines with a word, and one row for each class of equal sets."""
     lines = written(line_table(docs, classes), "lines")
-    group = lines.groupBy("h", "n", "map0", "map1").agg(F.min(F.struct("doc", "line")).alias("first"),
-                                                        F.first("prefix").alias("prefix"))
-    return lines, written(group, "lines-classes")
+    # Equal hashes are equal sets; rows are sorted by one number.
+    same = [F.first(c).alias(c) for c in ("n", "map0", "map1", "prefix")]
+    group = lines.groupBy("h").agg(F.min(F.struct("doc", "line")).alias("first"), *same)
+    return lines, written(group.select("h", "n", "map0", "map1", "first", "prefix"), "lines-classes")
 
 
 def _near_hubs(docs: DataFrame, group: DataFrame, classes: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Links of classes with their hubs, the families they make, and what is certain within these."""
-    links = _links(docs, group, written(hub_candidates(group), "lines-near"), classes)
+    links = _links(docs, group, written(hub_candidates(group), "lines-near"), classes, differ=True)
     members = families(group, links)
     return links, members, written(certain(members), "lines-certain")
 

@@ -1,5 +1,7 @@
 """Families of variants: links that the triangle inequality makes certain are counted, all others listed and verified."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -68,6 +70,36 @@ def test_a_family_costs_its_size(spark, monkeypatch, job, kind):
         assert {r.doc_id: r.lines[0]["n_links"] for r in got} == links and sum(links.values()) == 300 * 299
 
 
+@pytest.mark.parametrize("job, kind", [("report", "lines-pairs"), ("judged", "lines-open")])
+def test_far_members_of_a_family_are_listed_only_if_similar(spark, monkeypatch, job, kind):
+    """250 variants of which most pairs are just below the threshold: none of those is a candidate."""
+    rng = np.random.default_rng(5)
+    base = [f"b{k}" for k in range(90)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 250):
+        own = {k: f"own{i}_{k}" for k in rng.choice(90, 6, replace=False)}
+        rows.append((i, " ".join(own.get(k, w) for k, w in enumerate(base))))
+    sets = [frozenset(t.split()) for _, t in rows]
+    links = {i: sum(a != b and 5 * len(a & b) >= 4 * len(a | b) for b in sets) for i, a in enumerate(sets)}
+    made = listed(monkeypatch, {kind})
+    got = getattr(line_join, job)(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert 0 < sum(links.values()) // 2 < len(rows) ** 2 // 8
+    assert made[kind] <= sum(links.values()) // 2
+    if job == "judged":
+        assert {(r.doc, r.line): r.kept for r in got} == brute_kept(rows)
+    else:
+        assert {r.doc_id: r.lines[0]["n_links"] for r in got} == links
+
+
+def test_words_of_many_postings_are_marked(spark, monkeypatch):
+    """Only marked words are counted for slices, so none with more than HOT postings may lack the mark."""
+    monkeypatch.setattr(line_join, "HOT", 8)
+    df = spark.createDataFrame(families(), "doc_id long, text string")
+    got = line_join.line_table(df, line_join.rarity(df)).dropDuplicates(["h"]).collect()
+    count = Counter(w for r in got for w in r.prefix)
+    assert max(count.values()) > 8 and all(w >= line_join.MAY_BE_HOT for w, c in count.items() if c > 8)
+
+
 def test_words_end_at_all_separators(spark):
     """Tabs, vertical tabs, form feeds and carriage returns separate words as spaces do; U+00A0 does not."""
     rows = [(1, "one\ttwo\x0bthree\x0cfour\rfive  Six"), (2, " one two three four five six\r"), (3, "one two three four five six")]
