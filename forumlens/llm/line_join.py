@@ -36,8 +36,6 @@ lines are judged but its text stays, an empty table gives no rows.  Only
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -51,7 +49,6 @@ NO_ID = (1 << 63) - 1
 MAP_LONGS = 8            # length of a long word map
 HUB_WORDS = 8            # words of a prefix, the rarest, that are compared with hubs
 HOT = 1 << 11            # postings of a word that one slice of the full join takes
-MAY_BE_HOT = 1 << 30     # bit of a posting's word: its counter is above HOT
 NO_SLACK = -(1 << 30)    # of a class outside all families
 BROADCAST_ROWS = 1 << 20     # short rows of three or four numbers: 40 MB
 LONG_ROWS = 1 << 18          # rows with some words
@@ -116,10 +113,8 @@ def line_table(docs: DataFrame, classes: Column) -> DataFrame:
 
     # Each word falls on one of two halves: the first is what all words give without the second.
     every, second = word_map(lambda x: one), word_map(lambda x: F.shiftright(x, 6).bitwiseAND(1))
-    # More than HOT postings need a counter above HOT, so a class of this or more.
-    hot = F.lit(int(2 * math.log2(HOT + 2)) << LOW_BITS)
-    prefix = F.transform(F.slice(s, 1, n - F.ceil(n * NUM / DEN).cast("int") + 1), lambda x: F.shiftright(x, 7).bitwiseAND(
-        MAY_BE_HOT - 1).bitwiseOR(F.when(x >= hot, F.lit(MAY_BE_HOT)).otherwise(F.lit(0))).cast("int"))
+    prefix = F.transform(F.slice(s, 1, n - F.ceil(n * NUM / DEN).cast("int") + 1),
+                         lambda x: F.shiftright(x, 7).bitwiseAND(0x7FFFFFFF).cast("int"))
     got = with_word_set(rows, F.col("s"), classes, "doc", "line").select(
         "doc", "line", F.xxhash64(s).alias("h"), "n", every.alias("every"), second.alias("map1"), prefix.alias("prefix"))
     return got.select("doc", "line", "h", "n", F.col("every").bitwiseXOR(F.col("map1")).alias("map0"), "map1", "prefix")
@@ -236,10 +231,9 @@ def every_candidate(classes: DataFrame, members: DataFrame, found: DataFrame | N
         # Said of both sides at once: a filter on one of them would give it an exchange of its own.
         open_ = ((F.col("first_a") < F.col("first_b")) & F.col("open_b")) | ((F.col("first_b") < F.col("first_a")) & F.col("open_a"))
     classes = classes.withColumn("slack", F.coalesce("slack", F.lit(NO_SLACK))).withColumn("family", F.coalesce("family", F.lit(0).cast("long")))
-    hot = classes.filter(F.array_max("prefix") >= MAY_BE_HOT).select(F.explode("prefix").alias("w")).filter(F.col("w") >= MAY_BE_HOT)
-    hot = hot.groupBy("w").agg(F.count("*").alias("c")).filter(F.col("c") > HOT)
-    hot = _sized(written(hot.select("w", F.ceil(F.col("c") / HOT).cast("long").alias("slices")), "lines-hot"))
     post = _postings(classes, *more)
+    hot = post.groupBy(F.col("word").alias("w")).agg(F.count("*").alias("c")).filter(F.col("c") > HOT)
+    hot = _sized(written(hot.select("w", F.ceil(F.col("c") / HOT).cast("long").alias("slices")), "lines-hot"))
     # One exchange for both sides.
     rest = post.join(hot, F.col("word") == F.col("w"), "left_anti").repartition("word")
     slack = F.col("slack_a").cast("long") + F.col("slack_b")
